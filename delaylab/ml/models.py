@@ -52,8 +52,11 @@ def gbt(features="features", label="ArrDelay_Int", max_iter=20, max_depth=5, max
                         seed=seed, **kw)
 
 
-def fit(estimator, df: DataFrame):
-    return estimator.fit(df)
+def fit(estimator, df: DataFrame, params=None):
+    """Fit with the training table spread over the cores (MLlib reads it once per iteration)."""
+    from ..operators._plan import spread
+
+    return estimator.fit(spread(df), params) if params is not None else estimator.fit(spread(df))
 
 
 def predict(model, df: DataFrame) -> DataFrame:

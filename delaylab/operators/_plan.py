@@ -60,3 +60,17 @@ def attach_small(big: DataFrame, small: DataFrame, keys, how: str = "left",
     if n * estimated_row_bytes(small.schema) <= max_broadcast_bytes:
         small = F.broadcast(small)
     return null_safe_join(big, small, keys, how)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give iterative or CPU-heavy work at least one partition per core.
+
+    A large input already has far more splits than cores and is returned unchanged (no
+    shuffle). An under-split input (one unsplittable file or row group) would run every pass
+    in a single task; it is spread round-robin once, which pays off when the data is read many
+    times (model fitting, tuning) or the per-row work is heavy.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.transforms import boxcox_value
+from ._plan import spread
 
 
 def default_lambdas(lo: float = -2.0, hi: float = 2.0, step: float = 0.1) -> list[float]:
@@ -38,7 +39,7 @@ def boxcox_profile(df: DataFrame, col: str, lambdas=None, shift: float = 0.0) ->
     over a grid of lambdas; ``llf = (l-1)*sum(ln x) - n/2 * ln(var_pop(y_l))``."""
     lambdas = list(lambdas) if lambdas is not None else default_lambdas()
     x = F.col(col).cast("double") + F.lit(float(shift))
-    pos = df.select(x.alias("_x")).where(F.col("_x") > 0)
+    pos = spread(df.select(x.alias("_x")).where(F.col("_x") > 0))  # 2 x len(lambdas) pow per row
     aggs = [F.count(F.lit(1)).alias("_n"), F.sum(F.ln("_x")).alias("_sl")]
     aggs += [F.var_pop(boxcox_value(F.col("_x"), lam)).alias(f"_v{i}")
              for i, lam in enumerate(lambdas)]

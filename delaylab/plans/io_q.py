@@ -76,7 +76,7 @@ def q_model_round_trip(spark, sf_dir):
                                  "l_returnflag_Index", "l_linestatus_Index"]),
               models.tree(label=LABEL, max_depth=4)]
     stages[2].setHandleInvalid("error")  # every input is valid: no row may be skipped
-    model = Pipeline(stages=stages).fit(li)
+    model = models.fit(Pipeline(stages=stages), li)
     path = scratch_path(spark, "model")
     sinks.save_model(model, path)
     loaded = sinks.load_model(path)

@@ -181,7 +181,7 @@ def q_linear_elastic_hashed(spark, sf_dir):
               features.assemble([*NUMERIC, "hashed"]),
               models.linear(label=LABEL, max_iter=10, reg_param=0.1, elastic_net=0.8)]
     train, test = _train_test(li)
-    model = Pipeline(stages=stages).fit(train)
+    model = models.fit(Pipeline(stages=stages), train)
     scored = model.transform(test)
     return evaluate.regression_metrics(scored, "prediction", LABEL)
 
@@ -189,7 +189,7 @@ def q_linear_elastic_hashed(spark, sf_dir):
 def _fit_trees(spark, sf_dir, estimator):
     li = _lineitem_ml(spark, sf_dir)
     train, test = _train_test(li)
-    model = Pipeline(stages=_tree_stages(estimator)).fit(train)
+    model = models.fit(Pipeline(stages=_tree_stages(estimator)), train)
     scored = model.transform(test)
     imp = evaluate.feature_importances(model.stages[-1], scored)
     return imp, evaluate.regression_metrics(scored, "prediction", LABEL)
