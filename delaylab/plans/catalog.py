@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("features_q", "explore_q", "sampling_q", "ml_q", "io_q")
+MODULES = ("features_q", "explore_q", "sampling_q", "ml_q", "io_q", "jobs_q")
 
 
 def load() -> None:

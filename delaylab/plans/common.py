@@ -61,3 +61,50 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS
        CASE WHEN o_orderkey % 23 = 0 THEN '30' ELSE CAST(day(o_orderdate) AS VARCHAR) END
          AS DayofMonth
 FROM orders"""
+
+
+def flights_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as a raw on-time table: every column a string, named like the flight files.
+
+    Dates from the ship date; carrier from return flag + line status; flight number, tail,
+    origin and destination from part / order / supplier keys; clock times from key arithmetic;
+    delays from quantity and price; one order in 41 cancelled (times and delay ``NA``, a code
+    A-D). All derived row by row, so the table grows with lineitem.
+    """
+    li = t(spark, sf_dir, "lineitem")
+    d = F.to_date("l_shipdate")
+    ok, pk, sk, ln = (F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"),
+                      F.col("l_linenumber"))
+    cancelled = ok % 41 == 0
+
+    def s(c):
+        return c.cast("string")
+
+    def na_if_cancelled(c):
+        return F.when(cancelled, F.lit("NA")).otherwise(s(c))
+
+    crs_dep = ((ok * 7 + ln * 3) % 18 + 6) * 100 + (pk % 12) * 5
+    crs_arr = ((ok * 7 + ln * 3 + 2) % 18 + 6) * 100 + (sk % 12) * 5
+    dep_delay = (F.col("l_quantity") - 20).cast("int")
+    taxi_out = (F.col("l_discount") * 200 + 5).cast("int")
+    arr_delay = (dep_delay + taxi_out - 15 + (F.col("l_extendedprice") / 10000).cast("int"))
+    code = F.element_at(F.array(*[F.lit(c) for c in "ABCD"]), (ln % 4 + 1).cast("int"))
+    return li.select(
+        s(F.year(d)).alias("Year"), s(F.month(d)).alias("Month"),
+        s(F.dayofmonth(d)).alias("DayofMonth"), s(F.weekday(d) + 1).alias("DayOfWeek"),
+        na_if_cancelled(crs_dep + (F.col("l_quantity") % 7).cast("int")).alias("DepTime"),
+        s(crs_dep).alias("CRSDepTime"), na_if_cancelled(crs_arr).alias("ArrTime"),
+        s(crs_arr).alias("CRSArrTime"),
+        F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("UniqueCarrier"),
+        s(pk % 500).alias("FlightNum"), F.concat(F.lit("N"), s(ok % 300)).alias("TailNum"),
+        na_if_cancelled(F.lit(120)).alias("ActualElapsedTime"),
+        s((F.col("l_tax") * 1000 + 60).cast("int")).alias("CRSElapsedTime"),
+        na_if_cancelled(F.lit(100)).alias("AirTime"), na_if_cancelled(arr_delay).alias("ArrDelay"),
+        na_if_cancelled(dep_delay).alias("DepDelay"), F.concat(F.lit("S"), s(sk % 50)).alias("Origin"),
+        F.concat(F.lit("P"), s(pk % 25)).alias("Dest"), s(pk % 2000 + 100).alias("Distance"),
+        na_if_cancelled(F.lit(7)).alias("TaxiIn"), s(taxi_out).alias("TaxiOut"),
+        F.when(cancelled, F.lit("1")).otherwise(F.lit("0")).alias("Cancelled"),
+        F.when(cancelled, code).otherwise(F.lit(None).cast("string")).alias("CancellationCode"),
+        F.lit("0").alias("Diverted"), F.lit("NA").alias("CarrierDelay"),
+        F.lit("NA").alias("WeatherDelay"), F.lit("NA").alias("NASDelay"),
+        F.lit("NA").alias("SecurityDelay"), F.lit("NA").alias("LateAircraftDelay"))
