@@ -143,28 +143,32 @@ def prepare_flights(df: DataFrame, with_windows: bool = True,
                     method: str = "join") -> DataFrame:
     """Raw flight strings -> typed feature columns.
 
-    Leakage columns dropped; cancellation counts per (day, origin) taken *before* the
-    sentinel filter (it removes cancelled flights); then the four-column sentinel filter,
-    integer casts, cyclic encodings, the date, and departures / arrivals per day and airport.
+    Leakage columns dropped; per (day, origin): departures among the flights that pass the
+    sentinel filter and cancellations per reason among all flights (the filter removes
+    cancelled ones, so they must be counted first) - one aggregation; per (day, destination):
+    arrivals - a second one. Both per-key tables are attached with a measured broadcast, then
+    the sentinel filter, integer casts, cyclic encodings and the date.
     """
     out = clean.drop_leakage(df)
-    if with_windows and "CancellationCode" in out.columns:
-        out = windows.add_cancellation_counts(out, method=method)
+    if with_windows:
+        keep = clean.sentinel_condition(clean.REQUIRED_COLUMNS)
+        dep = {"NrOfDepartures": F.count_if(keep & F.col("Origin").isNotNull())}
+        if "CancellationCode" in out.columns:
+            dep.update({name: F.count_if(F.col("CancellationCode") == F.lit(code))
+                        for code, name in windows.CANCELLATION_CODES.items()})
+        out = windows.add_group_aggregates(out, windows.DAY_KEYS + ("Origin",), dep, method)
+        out = windows.add_group_aggregates(
+            out, windows.DAY_KEYS + ("Dest",),
+            {"NrOfArrivals": F.count_if(keep & F.col("Dest").isNotNull())}, method)
     out = clean.drop_na_sentinel(out)
     out = clean.add_int_columns(out, ["Year", "CRSElapsedTime", "DepDelay", "Distance",
                                       "TaxiOut", "ArrDelay"])
-    out = out.withColumns({
+    return out.withColumns({
         "Month_sin": cyclic_sin(F.col("Month").try_cast("int"), MONTH_PERIOD),
         "DayofMonth_sin": cyclic_sin(F.col("DayofMonth").try_cast("int"), DAY_OF_MONTH_PERIOD),
         "DayOfWeek_sin": cyclic_sin(F.col("DayOfWeek").try_cast("int"), DAY_OF_WEEK_PERIOD),
         "Date": flight_date("Year", "Month", "DayofMonth"),
     })
-    if with_windows:
-        out = windows.add_group_count(out, windows.DAY_KEYS + ("Origin",), "Origin",
-                                      "NrOfDepartures", method=method)
-        out = windows.add_group_count(out, windows.DAY_KEYS + ("Dest",), "Dest",
-                                      "NrOfArrivals", method=method)
-    return out
 
 
 def feature_stages(feature_set: str = "indexed", num_hash_features: int = 2000) -> list:

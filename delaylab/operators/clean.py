@@ -44,11 +44,15 @@ def numeric_columns(df: DataFrame, types=("int", "double")) -> list[str]:
     return [name for name, t in df.dtypes if t in types]
 
 
+def sentinel_condition(cols=REQUIRED_COLUMNS, sentinel: str = NA):
+    """True where every column in ``cols`` is non-NULL and not the sentinel."""
+    return reduce(lambda a, b: a & b,
+                  [F.col(c).isNotNull() & (F.col(c) != F.lit(sentinel)) for c in cols])
+
+
 def drop_na_sentinel(df: DataFrame, cols=REQUIRED_COLUMNS, sentinel: str = NA) -> DataFrame:
     """Keep rows where every column in ``cols`` is non-NULL and not the sentinel."""
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(c).isNotNull() & (F.col(c) != F.lit(sentinel)) for c in cols])
-    return df.where(cond)
+    return df.where(sentinel_condition(cols, sentinel))
 
 
 def outliers(df: DataFrame, col: str, threshold) -> DataFrame:

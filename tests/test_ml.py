@@ -144,3 +144,25 @@ def test_tuning_tables(prepared):
     sel = tuning.chunked_selection(lr, grid, chunked.select("features", "ArrDelay_Int", "chunk"))
     rows = sel.collect()
     assert len(rows) == 2 and all(r["n_chunks"] == 5 for r in rows)
+
+
+def test_prepare_flights_counts_equal_reference_windows(flights):
+    """One aggregation per key set gives the same counts as the reference's three windows
+    (departures / arrivals after the sentinel filter, cancellations before it)."""
+    from pyspark.sql import Window
+
+    from delaylab.operators import clean, windows
+
+    got = features.prepare_flights(flights)
+    day_o = Window.partitionBy("Year", "Month", "DayofMonth", "Origin")
+    day_d = Window.partitionBy("Year", "Month", "DayofMonth", "Dest")
+    base = clean.drop_leakage(flights).withColumn(
+        "NrOfCancelledNAS", F.count_if(F.col("CancellationCode") == "C").over(day_o))
+    base = clean.drop_na_sentinel(base).withColumns({
+        "NrOfDepartures": F.count("Origin").over(day_o),
+        "NrOfArrivals": F.count("Dest").over(day_d)})
+    cols = ["Year", "Month", "DayofMonth", "FlightNum", "Origin", "Dest", "DepTime",
+            "NrOfDepartures", "NrOfArrivals", "NrOfCancelledNAS"]
+    assert got.select(*cols).exceptAll(base.select(*cols)).count() == 0
+    assert base.select(*cols).exceptAll(got.select(*cols)).count() == 0
+    assert windows.DAY_KEYS == ("Year", "Month", "DayofMonth")
