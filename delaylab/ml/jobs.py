@@ -10,18 +10,35 @@ the training wall time.
 from __future__ import annotations
 
 import time
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import sampling
+from ..operators._plan import spread
 from . import evaluate, features, models, tuning
 
 # The columns that identify one flight (the split key).
 FLIGHT_KEY = ("Year", "Month", "DayofMonth", "UniqueCarrier", "FlightNum", "Origin", "CRSDepTime")
 
 
+@contextmanager
+def training_table(flights: DataFrame, with_windows: bool = True):
+    """The prepared, labelled flight table, persisted for the job's many passes (indexer fits,
+    estimator iterations, scoring) and released afterwards. An under-split input is spread
+    over the cores first (a no-op for a large input)."""
+    prepared = features.prepare_flights(spread(flights), with_windows=with_windows)
+    prepared = prepared.where(F.col(features.LABEL).isNotNull()).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield prepared
+    finally:
+        prepared.unpersist()
+
+
 def split_flights(prepared: DataFrame, weights=(0.7, 0.3), seed: int = 42):
     return sampling.split_frames(prepared, list(FLIGHT_KEY), weights, seed)
 
@@ -31,18 +48,25 @@ def _metrics(scored: DataFrame, seconds: float, job: str) -> DataFrame:
     return m.select(F.lit(job).alias("job"), "*", F.lit(float(seconds)).alias("train_seconds"))
 
 
+def _freeze(df: DataFrame) -> DataFrame:
+    """A small result (one row per job or grid point) computed now, while the training table
+    is still persisted, and kept as a local table."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def run_job(flights: DataFrame, feature_set: str, estimator, job: str = "job",
             prepared: DataFrame | None = None, stages=None):
     """Prepare, split, fit ``feature_set`` + ``estimator`` on train, score test."""
-    prepared = prepared if prepared is not None else features.prepare_flights(flights)
-    prepared = prepared.where(F.col(features.LABEL).isNotNull())
+    if prepared is None:
+        with training_table(flights) as prepared:
+            return run_job(flights, feature_set, estimator, job, prepared, stages)
     train, test = split_flights(prepared)
     pipe = Pipeline(stages=stages) if stages is not None else features.build_pipeline(
         feature_set, estimator)
     t0 = time.perf_counter()
     model = models.fit(pipe, train)
     seconds = time.perf_counter() - t0
-    return _metrics(model.transform(test), seconds, job), model
+    return _freeze(_metrics(model.transform(test), seconds, job)), model
 
 
 def tree_run(flights: DataFrame, variant: str = "holiday", max_depth: int = 5,
@@ -50,38 +74,37 @@ def tree_run(flights: DataFrame, variant: str = "holiday", max_depth: int = 5,
     """Decision-tree experiments: ``hashed`` nominals (2000 slots), ``indexed`` nominals
     through a vector indexer, ``holiday_indexed`` (holiday distance + indexed nominals),
     ``holiday`` (holiday distance, no nominals)."""
-    prepared = features.prepare_flights(flights, with_windows=False)
-    label = features.LABEL
-    if variant == "hashed":
-        est = models.tree(max_depth=max_depth, label=label)
-        return run_job(flights, "hashed", est, f"tree_{variant}", prepared)
-    if variant == "holiday":
-        est = models.tree(max_depth=max_depth, label=label)
-        return run_job(flights, "holiday", est, f"tree_{variant}", prepared)
-    bins = max_bins or models.max_bins_for(prepared, features.NOMINAL_COLUMNS)
-    est = models.tree(max_depth=max_depth, max_bins=bins, label=label)
-    base = list(features.BASE_FEATURES) + (["DistanceToHoliday"] if variant == "holiday_indexed"
-                                           else [])
-    stages = [features.TimeSplitter(inputCol=c) for c in features.TIME_COLUMNS]
-    stages.append(features.string_indexer(features.NOMINAL_COLUMNS, "keep"))
-    if variant == "holiday_indexed":
-        stages.append(features.HolidayDistance(inputCol="Date", outputCol="DistanceToHoliday"))
-        stages.append(features.assemble(base + list(features.NOMINAL_INDEXES)))
-    else:
-        stages.append(features.assemble(features.NOMINAL_INDEXES, "nominal"))
-        stages.append(features.vector_indexer("nominal", "nominal_indexed", max_categories=2))
-        stages.append(features.assemble(base + ["nominal_indexed"]))
-    stages.append(est)
-    return run_job(flights, variant, est, f"tree_{variant}", prepared, stages)
+    job = f"tree_{variant}"
+    with training_table(flights, with_windows=False) as prepared:
+        if variant in ("hashed", "holiday"):
+            est = models.tree(max_depth=max_depth)
+            return run_job(flights, variant, est, job, prepared)
+        bins = max_bins or models.max_bins_for(prepared, features.NOMINAL_COLUMNS)
+        est = models.tree(max_depth=max_depth, max_bins=bins)
+        base = list(features.BASE_FEATURES)
+        stages = [features.TimeSplitter(inputCol=c) for c in features.TIME_COLUMNS]
+        stages.append(features.string_indexer(features.NOMINAL_COLUMNS, "keep"))
+        if variant == "holiday_indexed":
+            stages.append(features.HolidayDistance(inputCol="Date",
+                                                   outputCol="DistanceToHoliday"))
+            stages.append(features.assemble(base + ["DistanceToHoliday"]
+                                            + list(features.NOMINAL_INDEXES)))
+        else:
+            stages.append(features.assemble(features.NOMINAL_INDEXES, "nominal"))
+            stages.append(features.vector_indexer("nominal", "nominal_indexed",
+                                                  max_categories=2))
+            stages.append(features.assemble(base + ["nominal_indexed"]))
+        stages.append(est)
+        return run_job(flights, variant, est, job, prepared, stages)
 
 
 def boosted_job(flights: DataFrame, max_depth: int = 5, max_iter: int = 20,
                 feature_set: str = "indexed"):
     """Gradient-boosted trees on indexed nominals (``maxBins`` from the cardinalities)."""
-    prepared = features.prepare_flights(flights)
-    bins = models.max_bins_for(prepared, features.NOMINAL_COLUMNS)
-    est = models.gbt(max_depth=max_depth, max_iter=max_iter, max_bins=bins)
-    return run_job(flights, feature_set, est, "gbt_indexed", prepared)
+    with training_table(flights) as prepared:
+        bins = models.max_bins_for(prepared, features.NOMINAL_COLUMNS)
+        est = models.gbt(max_depth=max_depth, max_iter=max_iter, max_bins=bins)
+        return run_job(flights, feature_set, est, "gbt_indexed", prepared)
 
 
 def linear_hashed_job(flights: DataFrame, max_iter: int = 10, reg_param: float = 0.1,
@@ -95,8 +118,6 @@ def tuned_job(flights: DataFrame, kind: str = "gbt", grid: dict | None = None,
               feature_set: str = "windowed"):
     """Window features + a tuned linear model or boosted trees (train/validation split 0.75
     inside the training split), scored on the held-out test split."""
-    prepared = features.prepare_flights(flights).where(F.col(features.LABEL).isNotNull())
-    train, test = split_flights(prepared)
     if kind == "gbt":
         est = models.gbt(max_iter=10)
         grid = grid or {"stepSize": [0.1, 0.01], "maxDepth": [5, 7]}
@@ -105,35 +126,38 @@ def tuned_job(flights: DataFrame, kind: str = "gbt", grid: dict | None = None,
         grid = grid or {"regParam": [0.1, 0.3], "elasticNetParam": [0.0, 0.8],
                         "fitIntercept": [True, False]}
     pm = tuning.param_grid(est, grid)
-    results, best, seconds = tuning.train_validation(
-        features.build_pipeline(feature_set, est), pm, train)
-    return _metrics(best.transform(test), seconds, f"tuned_{kind}"), best, results
+    with training_table(flights) as prepared:
+        train, test = split_flights(prepared)
+        results, best, seconds = tuning.train_validation(
+            features.build_pipeline(feature_set, est), pm, train)
+        metrics = _freeze(_metrics(best.transform(test), seconds, f"tuned_{kind}"))
+    return metrics, best, results
 
 
 def forest_chunks_job(flights: DataFrame, grid: dict | None = None, n_chunks: int = 6,
                       fraction: float = 0.1):
     """Random forest, every grid point trained on each of five disjoint chunks and scored on
     the sixth; returns the per-grid-point mean / variance / std table."""
-    prepared = features.prepare_flights(flights).where(F.col(features.LABEL).isNotNull())
-    chunked = sampling.disjoint_chunks(prepared, list(FLIGHT_KEY), n_chunks, fraction)
-    prep = Pipeline(stages=features.feature_stages("indexed")).fit(
-        chunked.where(F.col("chunk") < n_chunks - 1))
-    assembled = prep.transform(chunked).select("features", features.LABEL, "chunk")
-    bins = models.max_bins_for(prepared, features.NOMINAL_COLUMNS)
-    rf = models.forest(max_bins=bins)
-    pm = tuning.param_grid(rf, grid or {"numTrees": [10, 20], "maxDepth": [5, 10]})
-    return tuning.chunked_selection(rf, pm, assembled, features.LABEL, n_train=n_chunks - 1)
+    with training_table(flights) as prepared:
+        chunked = sampling.disjoint_chunks(prepared, list(FLIGHT_KEY), n_chunks, fraction)
+        prep = Pipeline(stages=features.feature_stages("indexed")).fit(
+            chunked.where(F.col("chunk") < n_chunks - 1))
+        assembled = prep.transform(chunked).select("features", features.LABEL, "chunk")
+        bins = models.max_bins_for(prepared, features.NOMINAL_COLUMNS)
+        rf = models.forest(max_bins=bins)
+        pm = tuning.param_grid(rf, grid or {"numTrees": [10, 20], "maxDepth": [5, 10]})
+        return _freeze(tuning.chunked_selection(rf, pm, assembled, features.LABEL,
+                                                n_train=n_chunks - 1))
 
 
 def forest_cv_job(flights: DataFrame, grid: dict | None = None, sample: float | None = None,
                   folds: int = 3):
     """Random forest under k-fold cross-validation of the whole pipeline."""
-    prepared = features.prepare_flights(flights).where(F.col(features.LABEL).isNotNull())
-    if sample:
-        prepared = sampling.bernoulli_sample(prepared, sample)
-    bins = models.max_bins_for(prepared, features.NOMINAL_COLUMNS)
-    rf = models.forest(max_bins=bins)
-    pm = tuning.param_grid(rf, grid or {"numTrees": [10, 20], "maxDepth": [5, 10]})
-    results, best, _ = tuning.cross_validate(features.build_pipeline("indexed", rf), pm,
-                                             prepared, folds=folds)
-    return results, best
+    with training_table(flights) as prepared:
+        data = sampling.bernoulli_sample(prepared, sample) if sample else prepared
+        bins = models.max_bins_for(data, features.NOMINAL_COLUMNS)
+        rf = models.forest(max_bins=bins)
+        pm = tuning.param_grid(rf, grid or {"numTrees": [10, 20], "maxDepth": [5, 10]})
+        results, best, _ = tuning.cross_validate(features.build_pipeline("indexed", rf), pm,
+                                                 data, folds=folds)
+        return results, best
