@@ -55,10 +55,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; only when none is set (local tests), make one."""
+    """Use the session's checkpoint folder. Only a local-mode session (tests, the bench) with
+    none set gets a scratch folder of its own; a cluster must name a shared one."""
     existing = checkpoint_dir(spark)
     if existing:
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="delaylab-ckpt-", dir=os.environ.get("DELAYLAB_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()
