@@ -162,7 +162,8 @@ def box_stats(df: DataFrame, col: str, by=None, whisker: float = 1.5) -> DataFra
         row = q.first()  # one row of six numbers: the fences become literals
         if row is None:
             return q
-        joined = df.select(col).withColumns({k: F.lit(row[k]) for k in q.columns})
+        joined = df.select(col).withColumns(
+            {k: F.lit(row[k]).cast(q.schema[k].dataType) for k in q.columns})
     stats = joined.groupBy(*by).agg(
         F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
         F.first("q3").alias("q3"), F.first("iqr").alias("iqr"),

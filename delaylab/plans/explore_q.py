@@ -51,7 +51,8 @@ def q_frequency_excluding(spark, sf_dir):
 
 
 @register("outlier_frequency", ("FIL2", "AGG3"), oracle="""
-SELECT isodow(l_shipdate) AS DayOfWeek, month(l_shipdate) AS Month, count(*) AS n
+SELECT CAST(isodow(l_shipdate) AS INTEGER) AS DayOfWeek,
+       CAST(month(l_shipdate) AS INTEGER) AS Month, count(*) AS n
 FROM lineitem WHERE l_extendedprice > 90000 GROUP BY ALL""")
 def q_outlier_frequency(spark, sf_dir):
     li = clean.outliers(t(spark, sf_dir, "lineitem"), "l_extendedprice", 90000)
@@ -61,7 +62,8 @@ def q_outlier_frequency(spark, sf_dir):
 
 
 @register("daily_counts", "AGG5", oracle="""
-SELECT year(ts) AS Year, month(ts) AS Month, day(ts) AS DayofMonth, user_id, count(*) AS n
+SELECT CAST(year(ts) AS INTEGER) AS Year, CAST(month(ts) AS INTEGER) AS Month,
+       CAST(day(ts) AS INTEGER) AS DayofMonth, user_id, count(*) AS n
 FROM events GROUP BY ALL""")
 def q_daily_counts(spark, sf_dir):
     e = t(spark, sf_dir, "events").select(
@@ -152,7 +154,7 @@ def q_box_stats(spark, sf_dir):
     return _round_box(explore.box_stats(t(spark, sf_dir, "events"), "value"))
 
 
-_SHIFTED = f"""SELECT event_id, isodow(ts) AS DayOfWeek,
+_SHIFTED = f"""SELECT event_id, CAST(isodow(ts) AS INTEGER) AS DayOfWeek,
   ln(delay + 1 + abs((SELECT min(delay) FROM {_EV_DELAY} m))) AS delay_trans
 FROM {_EV_DELAY} e"""
 
@@ -232,8 +234,9 @@ def _ship_flights(spark, sf_dir):
         F.nullif(F.col("l_returnflag"), F.lit("N")).alias("CancellationCode"))
 
 
-_SHIP_SQL = """(SELECT l_orderkey, l_linenumber, year(l_shipdate) AS Year,
-  month(l_shipdate) AS Month, day(l_shipdate) AS DayofMonth, l_suppkey AS Origin,
+_SHIP_SQL = """(SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS INTEGER) AS Year,
+  CAST(month(l_shipdate) AS INTEGER) AS Month, CAST(day(l_shipdate) AS INTEGER) AS DayofMonth,
+  l_suppkey AS Origin,
   l_partkey % 25 AS Dest, nullif(l_returnflag, 'N') AS CancellationCode FROM lineitem)"""
 
 
@@ -324,7 +327,7 @@ x AS (SELECT delay + shift AS x FROM {_EV_DELAY} e, s WHERE delay + shift > 0),
 lams(lam) AS (VALUES {_lambda_values()}),
 agg AS (SELECT lam, count(*) AS n, sum(ln(x)) AS sl, var_pop({_bc_sql('x', 'lam')}) AS v
         FROM x, lams GROUP BY lam)
-SELECT lam AS "lambda", (lam - 1) * sl - n / 2.0 * ln(v) AS llf FROM agg"""
+SELECT CAST(lam AS DOUBLE) AS "lambda", (lam - 1) * sl - n / 2.0 * ln(v) AS llf FROM agg"""
 
 
 @register("boxcox_profile", "SCA9", oracle=f"""

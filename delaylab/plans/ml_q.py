@@ -94,7 +94,8 @@ def q_assemble(spark, sf_dir):
 
 
 @register("one_hot", ("FEA7", "FEA1"), oracle=f"""
-SELECT e.event_id, [{", ".join(f"CASE WHEN r.idx = {i} THEN 1.0 ELSE 0.0 END" for i in range(4))}]
+SELECT e.event_id,
+  CAST([{", ".join(f"CASE WHEN r.idx = {i} THEN 1.0 ELSE 0.0 END" for i in range(4))}] AS DOUBLE[])
   AS event_type_Vec
 FROM events e JOIN {_IDX_SQL.format(where="")} r ON e.event_type = r.v""")
 def q_one_hot(spark, sf_dir):
