@@ -24,7 +24,8 @@ def value_count(df: DataFrame, col: str) -> DataFrame:
     plans a partial distinct aggregation instead of materializing the distinct set.
     """
     c = F.col(col)
-    return df.agg((F.count_distinct(c) + F.max(c.isNull().cast("int"))).alias("n_values"))
+    return df.agg((F.count_distinct(c) + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0)))
+                  .alias("n_values"))
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -81,3 +81,14 @@ def q_model_round_trip(spark, sf_dir):
     sinks.save_model(model, path)
     loaded = sinks.load_model(path)
     return loaded.transform(li).select("l_orderkey", "l_linenumber", "prediction")
+
+
+@register("csv_convert_stripped", ("SRC1", "PRJ1", "SNK1"))
+def q_csv_convert_stripped(spark, sf_dir):
+    """The CSV conversion job: raw flight CSV -> CSV without the leakage columns, read back by
+    its own header."""
+    from .common import flights_from_lineitem
+
+    raw = scratch_path(spark, "flights-csv")
+    sinks.write_csv(flights_from_lineitem(spark, sf_dir), raw)
+    return flights.convert(spark, raw, scratch_path(spark, "flights-stripped"))

@@ -26,26 +26,46 @@ def string_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def read_flights(spark: SparkSession, path, mode: str = "DROPMALFORMED", columns=FLIGHT_COLUMNS,
+def header_columns(spark: SparkSession, path) -> list[str]:
+    """Column names from the header line (Spark reads only the first line: no inference)."""
+    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+
+
+def read_flights(spark: SparkSession, path, mode: str = "DROPMALFORMED", columns=None,
                  prune: bool = False) -> DataFrame:
     """Headered CSV as strings.
 
+    ``columns`` defaults to the file's own header, so the full 29-column files and the files
+    without leakage columns both read correctly; every file's header is checked against it.
     ``mode`` is ``DROPMALFORMED`` (rows with a wrong field count are dropped) or ``PERMISSIVE``.
     In ``DROPMALFORMED`` mode the set of dropped rows would depend on which columns a query reads;
     the parser therefore sees every column (``columnPruning=false``) so the row set is the same
     however the table is used. ``prune=True`` trades that for speed.
     """
+    columns = list(columns) if columns is not None else header_columns(spark, path)
     reader = (spark.read.schema(string_schema(columns)).option("header", True)
-              .option("mode", mode.upper()).option("enforceSchema", True))
+              .option("mode", mode.upper()).option("enforceSchema", False))
     if mode.upper() == "DROPMALFORMED" and not prune:
         reader = reader.option("columnPruning", False)
     return reader.csv(path)
 
 
-def read_years(spark: SparkSession, paths, mode: str = "PERMISSIVE",
-               columns=FLIGHT_COLUMNS) -> DataFrame:
+def read_years(spark: SparkSession, paths, mode: str = "PERMISSIVE", columns=None) -> DataFrame:
     """Several yearly files as one table: one scan over all paths (a UNION ALL by name)."""
-    return read_flights(spark, list(paths), mode=mode, columns=columns)
+    paths = list(paths)
+    columns = list(columns) if columns is not None else header_columns(spark, paths[0])
+    return read_flights(spark, paths, mode=mode, columns=columns)
+
+
+def convert(spark: SparkSession, src, dst: str, drop=LEAKAGE_COLUMNS,
+            num_files: int | None = None) -> DataFrame:
+    """CSV -> CSV without the leakage columns (malformed rows dropped); returns the written
+    table read back."""
+    from .sinks import write_csv
+
+    df = read_flights(spark, src).drop(*drop)
+    write_csv(df, dst, num_files)
+    return read_flights(spark, dst)
 
 
 def union_by_name(frames) -> DataFrame:

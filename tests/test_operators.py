@@ -202,3 +202,24 @@ def test_samples_bounded(spark):
     assert 850 < n < 1150
     a, b = sampling.random_split(df, (0.7, 0.3), 42)
     assert a.count() + b.count() == 10000
+
+
+def test_header_driven_reader_and_convert(spark, scratch, flights_csv):
+    full = src.read_flights(spark, flights_csv)
+    assert full.columns == list(src.FLIGHT_COLUMNS)
+    out = os.path.join(scratch, "stripped")
+    back = src.convert(spark, flights_csv, out)
+    assert back.columns == [c for c in src.FLIGHT_COLUMNS if c not in src.LEAKAGE_COLUMNS]
+    assert back.count() == full.count()
+    assert back.exceptAll(full.drop(*src.LEAKAGE_COLUMNS)).count() == 0
+    # a file whose header lists the columns in another order reads by name
+    path = os.path.join(scratch, "reordered.csv")
+    with open(path, "w") as fh:
+        fh.write("b,a\n2,1\n4,3\n")
+    got = src.read_flights(spark, path).select("a", "b").collect()
+    assert [tuple(r) for r in got] == [("1", "2"), ("3", "4")]
+
+
+def test_value_count_empty(spark):
+    df = spark.createDataFrame([], "a string")
+    assert explore.value_count(df, "a").first()[0] == 0
