@@ -80,6 +80,20 @@ def residuals(df: DataFrame, prediction: str = "prediction", label: str = "ArrDe
 def describe_model(model, max_nodes: int = 30) -> str | None:
     """Printable tree when it is small enough to read."""
     n = getattr(model, "totalNumNodes", None)
+    if n is None:
+        n = getattr(model, "numNodes", None)
     if n is not None and n <= max_nodes:
         return model.toDebugString
     return None
+
+
+def model_summary(model, max_nodes: int = 30) -> DataFrame:
+    """(``num_nodes``, ``depth``, ``tree``): size of a tree model and its printable form when it
+    has at most ``max_nodes`` nodes (NULL otherwise)."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    n = int(getattr(model, "totalNumNodes", getattr(model, "numNodes", 0)))
+    depth = int(getattr(model, "depth", -1)) if hasattr(model, "depth") else None
+    return spark.createDataFrame([(n, depth, describe_model(model, max_nodes))],
+                                 "num_nodes int, depth int, tree string")

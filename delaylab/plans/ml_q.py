@@ -196,7 +196,14 @@ def _fit_trees(spark, sf_dir, estimator):
     return imp, evaluate.regression_metrics(scored, "prediction", LABEL)
 
 
-@register("tree_fit", ("EST2", "EST5", "EVA4", "EVA5"))
+@register("tree_summary", ("EST2", "EVA5"))
+def q_tree_summary(spark, sf_dir):
+    li = _lineitem_ml(spark, sf_dir)
+    model = models.fit(Pipeline(stages=_tree_stages(models.tree(label=LABEL, max_depth=3))), li)
+    return evaluate.model_summary(model.stages[-1], max_nodes=30)
+
+
+@register("tree_fit", ("EST2", "EST5", "EVA4"))
 def q_tree_fit(spark, sf_dir):
     est = models.tree(label=LABEL, max_depth=6)
     return _fit_trees(spark, sf_dir, est)[0]

@@ -166,3 +166,11 @@ def test_prepare_flights_counts_equal_reference_windows(flights):
     assert got.select(*cols).exceptAll(base.select(*cols)).count() == 0
     assert base.select(*cols).exceptAll(got.select(*cols)).count() == 0
     assert windows.DAY_KEYS == ("Year", "Month", "DayofMonth")
+
+
+def test_model_summary_small_tree(prepared):
+    model = features.build_pipeline("holiday", models.tree(max_depth=2)).fit(prepared)
+    row = evaluate.model_summary(model.stages[-1]).first()
+    assert row["num_nodes"] <= 7 and row["depth"] <= 2 and "If (feature" in row["tree"]
+    big = evaluate.model_summary(model.stages[-1], max_nodes=1).first()
+    assert big["tree"] is None
