@@ -71,6 +71,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     times (model fitting, tuning) or the per-row work is heavy.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan:
+        # already shuffled: the shuffle sets the partition count, and asking an adaptive
+        # plan for its RDD would run its shuffle stages ahead of time
+        return df
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
