@@ -156,3 +156,79 @@ def test_join_distance_equals_expression(spark):
     joined = nearest_holiday_distance(df, "d", "j", span_years=True)
     bad = joined.where(~F.col("j").eqNullSafe(holidays.holiday_distance("d", True))).count()
     assert bad == 0 and joined.count() == 801
+
+
+def _py_calendar(y: int) -> dict:
+    """The same public rules computed with the standard library and dateutil."""
+    import calendar
+
+    from dateutil.easter import easter
+
+    def nth(month, weekday, n):
+        days = [d for d in calendar.Calendar().itermonthdates(y, month)
+                if d.month == month and d.weekday() == weekday]
+        return days[n - 1] if n > 0 else days[-1]
+
+    def obs(d):
+        return d - dt.timedelta(1) if d.weekday() == 5 else (
+            d + dt.timedelta(1) if d.weekday() == 6 else d)
+
+    e = easter(y)
+    return {
+        "new_years_day": dt.date(y, 1, 1), "new_years_day_observed": obs(dt.date(y, 1, 1)),
+        "martin_luther_king": nth(1, 0, 3), "lincolns_birthday": dt.date(y, 2, 12),
+        "valentines_day": dt.date(y, 2, 14), "presidents_day": nth(2, 0, 3),
+        "good_friday": e - dt.timedelta(2), "easter_sunday": e,
+        "easter_monday": e + dt.timedelta(1), "memorial_day": nth(5, 0, -1),
+        "independence_day": dt.date(y, 7, 4),
+        "independence_day_observed": obs(dt.date(y, 7, 4)), "labor_day": nth(9, 0, 1),
+        "columbus_day": nth(10, 0, 2), "halloween": dt.date(y, 10, 31),
+        "us_election_day": nth(11, 0, 1) + dt.timedelta(1), "veterans_day": dt.date(y, 11, 11),
+        "thanksgiving": nth(11, 3, 4), "christmas_day": dt.date(y, 12, 25),
+        "christmas_day_observed": obs(dt.date(y, 12, 25)),
+    }
+
+
+def test_calendar_matches_standard_library_1600_2400(spark):
+    rows = holidays.holiday_calendar(spark, 1600, 2400).collect()
+    assert len(rows) == 801 * 20
+    expected = {y: _py_calendar(y) for y in range(1600, 2401)}
+    bad = [(r["year"], r["holiday"], r["holiday_date"]) for r in rows
+           if expected[r["year"]][r["holiday"]] != r["holiday_date"]]
+    assert bad == []
+
+
+def test_distance_matches_brute_force(spark):
+    start = dt.date(1999, 1, 1)
+    days = [start + dt.timedelta(i) for i in range(0, 3 * 366, 3)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = {r["d"]: (r["a"], r["b"]) for r in df.select(
+        "d", holidays.holiday_distance("d").alias("a"),
+        holidays.holiday_distance("d", span_years=True).alias("b")).collect()}
+    for d in days:
+        same = min(abs((h - d).days) for n, h in _py_calendar(d.year).items()
+                   if n in holidays.DISTANCE_HOLIDAYS)
+        span = min(abs((h - d).days) for y in (d.year - 1, d.year, d.year + 1)
+                   for n, h in _py_calendar(y).items() if n in holidays.DISTANCE_HOLIDAYS)
+        assert got[d] == (same, span), d
+
+
+def test_hhmm_matches_python_rule(spark):
+    import math
+
+    vals = [str(i) for i in range(0, 2600, 7)] + ["-5", " 930", "9.5", "0930", ""]
+    df = spark.createDataFrame([(v,) for v in vals], "t string")
+    got = {r["t"]: (r["h"], r["m"]) for r in df.select(
+        "t", encode.hhmm_hours("t").alias("h"), encode.hhmm_minutes("t").alias("m")).collect()}
+    for v in vals:
+        try:
+            t = int(v.strip()) if v.strip().lstrip("-").isdigit() else None
+        except ValueError:
+            t = None
+        ok = t is not None and t >= 0 and t // 100 <= 24 and t % 100 <= 59
+        if not ok:
+            assert got[v] == (None, None), v
+        else:
+            h, m = got[v]
+            assert math.isclose(h, math.sin(2 * math.pi * (t // 100) / 24), abs_tol=1e-12), v
+            assert math.isclose(m, math.sin(2 * math.pi * (t % 100) / 60), abs_tol=1e-12), v
