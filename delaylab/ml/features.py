@@ -109,13 +109,15 @@ def feature_hasher(cols, num_features: int = 2000, out: str = "NominalHashed") -
                          categoricalCols=list(cols))
 
 
-def suggest_hash_sizes(df: DataFrame, cols, square_up_to: int = 1000, factor: int = 20
-                       ) -> DataFrame:
+def suggest_hash_sizes(df: DataFrame, cols, square_up_to: int = 1000, factor: int = 20,
+                       exact: bool = True) -> DataFrame:
     """Cardinality of each column (one aggregate) and a hash-space size: the square for small
     domains, ``factor`` x cardinality for large ones. (``column``, ``cardinality``,
-    ``num_features``)."""
+    ``num_features``). ``exact=False`` uses HyperLogLog sketches (mergeable partial states,
+    no row expansion), enough for sizing a hash space."""
     cols = list(cols)
-    wide = df.agg(*[F.count_distinct(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    count = F.count_distinct if exact else (lambda c: F.approx_count_distinct(c, 0.01))
+    wide = df.agg(*[count(c).alias(f"c{i}") for i, c in enumerate(cols)])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("cardinality"))
                      for i, c in enumerate(cols)])
     card = F.col("cardinality")

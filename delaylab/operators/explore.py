@@ -96,7 +96,10 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=None, names=None,
     probs = list(probs)
     names = list(names) if names else _quantile_names(probs)
     spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the distinct-value table can approach the row count for continuous columns: give it at
+    # least two range partitions per core of the cluster
+    parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                  2 * spark.sparkContext.defaultParallelism)
     v = F.col(col)
     counts = df.where(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(*by, col).agg(
         F.count(F.lit(1)).alias("_c"))
