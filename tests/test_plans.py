@@ -86,3 +86,13 @@ def test_no_python_in_feature_plans(spark):
     for name in ("hhmm_split", "holiday_distance", "clean_table", "custom_stage_features",
                  "reason_counts", "box_stats_by"):
         assert not plan.has_python(E.queries()[name](spark, SF_SMALL)), name
+
+
+@pytest.mark.parametrize("name", ["holiday_distance_span", "flagship_daily_features",
+                                  "boxcox_profile", "hhmm_split"])
+def test_heavy_expressions_stay_in_codegen(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    df.collect()
+    final = plan.physical(df)  # the final adaptive plan once the query ran
+    assert "*(" in final  # WholeStageCodegen subtrees
+    assert not plan.has_python(df)
