@@ -93,6 +93,9 @@ FEATURE_SETS = {
     "windowed": ("Month_sin", "DayofMonth_sin", "DayOfWeek_sin", "DepTime_Hours",
                  "CRSElapsedTime_Int", "DepDelay_Int", "TaxiOut_Int", "DistanceToHoliday",
                  "NrOfArrivals", "NrOfDepartures"),
+    "counts": ("Month_sin", "DayofMonth_sin", "DayOfWeek_sin", "DepTime_Hours",
+               "CRSElapsedTime_Int", "DepDelay_Int", "TaxiOut_Int",
+               "NrOfArrivals", "NrOfDepartures"),
 }
 LABEL = "ArrDelay_Int"
 

@@ -104,7 +104,7 @@ def boosted_job(flights: DataFrame, max_depth: int = 5, max_iter: int = 20,
     with training_table(flights) as prepared:
         bins = models.max_bins_for(prepared, features.NOMINAL_COLUMNS)
         est = models.gbt(max_depth=max_depth, max_iter=max_iter, max_bins=bins)
-        return run_job(flights, feature_set, est, "gbt_indexed", prepared)
+        return run_job(flights, feature_set, est, f"gbt_{feature_set}", prepared)
 
 
 def linear_hashed_job(flights: DataFrame, max_iter: int = 10, reg_param: float = 0.1,

@@ -64,7 +64,7 @@ def prepared(flights):
     return features.prepare_flights(flights).where(F.col("ArrDelay_Int").isNotNull())
 
 
-@pytest.mark.parametrize("feature_set", ["indexed", "hashed", "holiday", "windowed"])
+@pytest.mark.parametrize("feature_set", ["indexed", "hashed", "holiday", "windowed", "counts"])
 def test_feature_sets_build(prepared, feature_set):
     p = features.build_pipeline(feature_set)
     out = p.fit(prepared).transform(prepared)
