@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._util import as_list
@@ -223,7 +223,3 @@ def group_mean_column(df: DataFrame, keys, measure: str, out: str) -> DataFrame:
     """Attach the per-group mean of ``measure`` to every row (measured broadcast of the groups)."""
     means = df.groupBy(*keys).agg(F.avg(measure).alias(out))
     return attach_small(df, means, keys, "left")
-
-
-def cast_double(c) -> Column:
-    return F.col(c).cast("double") if isinstance(c, str) else c.cast("double")

@@ -92,3 +92,21 @@ def q_csv_convert_stripped(spark, sf_dir):
     raw = scratch_path(spark, "flights-csv")
     sinks.write_csv(flights_from_lineitem(spark, sf_dir), raw)
     return flights.convert(spark, raw, scratch_path(spark, "flights-stripped"))
+
+
+@register("stream_row_features", ("SRC1", "PRJ1", "FIL1", "SCA1", "SCA2", "SCA3", "SCA6"))
+def q_stream_row_features(spark, sf_dir):
+    """The row-wise feature steps run as a Structured Streaming query: flight CSV files (from
+    lineitem) are picked up from a folder, processed in micro-batches and appended to a parquet
+    sink with a checkpoint; the sink is read back."""
+    from ..streaming import start_feature_stream
+    from .common import flights_from_lineitem
+
+    src = scratch_path(spark, "stream-src")
+    sinks.write_csv(flights_from_lineitem(spark, sf_dir), src)
+    sink = scratch_path(spark, "stream-sink")
+    q = start_feature_stream(spark, src, sink, scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(sink)
