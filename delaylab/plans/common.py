@@ -108,3 +108,34 @@ def flights_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("0").alias("Diverted"), F.lit("NA").alias("CarrierDelay"),
         F.lit("NA").alias("WeatherDelay"), F.lit("NA").alias("NASDelay"),
         F.lit("NA").alias("SecurityDelay"), F.lit("NA").alias("LateAircraftDelay"))
+
+
+def _na_if_cancelled_sql(expr: str) -> str:
+    return f"CASE WHEN l_orderkey % 41 = 0 THEN 'NA' ELSE CAST({expr} AS VARCHAR) END"
+
+
+_CRS_DEP = "(((l_orderkey * 7 + l_linenumber * 3) % 18 + 6) * 100 + (l_partkey % 12) * 5)"
+_CRS_ARR = "(((l_orderkey * 7 + l_linenumber * 3 + 2) % 18 + 6) * 100 + (l_suppkey % 12) * 5)"
+_DEP_DELAY = "CAST(trunc(l_quantity - 20) AS INTEGER)"
+_TAXI_OUT = "CAST(trunc(l_discount * 200 + 5) AS INTEGER)"
+
+# lineitem as a raw flight table in DuckDB SQL, without the leakage columns (same rules as
+# flights_from_lineitem; casts to int truncate there, so trunc() here).
+FLIGHTS_FROM_LINEITEM_STRIPPED_SQL = f"""
+SELECT CAST(year(l_shipdate) AS VARCHAR) AS Year, CAST(month(l_shipdate) AS VARCHAR) AS Month,
+       CAST(day(l_shipdate) AS VARCHAR) AS DayofMonth,
+       CAST(isodow(l_shipdate) AS VARCHAR) AS DayOfWeek,
+       {_na_if_cancelled_sql(f"{_CRS_DEP} + CAST(trunc(l_quantity % 7) AS INTEGER)")} AS DepTime,
+       CAST({_CRS_DEP} AS VARCHAR) AS CRSDepTime, CAST({_CRS_ARR} AS VARCHAR) AS CRSArrTime,
+       l_returnflag || l_linestatus AS UniqueCarrier,
+       CAST(l_partkey % 500 AS VARCHAR) AS FlightNum, 'N' || CAST(l_orderkey % 300 AS VARCHAR) AS TailNum,
+       CAST(CAST(trunc(l_tax * 1000 + 60) AS INTEGER) AS VARCHAR) AS CRSElapsedTime,
+       {_na_if_cancelled_sql(f"{_DEP_DELAY} + {_TAXI_OUT} - 15 + CAST(trunc(l_extendedprice / 10000) AS INTEGER)")}
+         AS ArrDelay,
+       {_na_if_cancelled_sql(_DEP_DELAY)} AS DepDelay,
+       'S' || CAST(l_suppkey % 50 AS VARCHAR) AS Origin, 'P' || CAST(l_partkey % 25 AS VARCHAR) AS Dest,
+       CAST(l_partkey % 2000 + 100 AS VARCHAR) AS Distance, CAST({_TAXI_OUT} AS VARCHAR) AS TaxiOut,
+       CASE WHEN l_orderkey % 41 = 0 THEN '1' ELSE '0' END AS Cancelled,
+       CASE WHEN l_orderkey % 41 = 0 THEN ['A', 'B', 'C', 'D'][l_linenumber % 4 + 1] END
+         AS CancellationCode
+FROM lineitem"""

@@ -13,7 +13,7 @@ from ..ml import evaluate, features, models
 from ..operators import explore
 from ..session import scratch_path
 from ..sources import flights, sinks
-from .common import t
+from .common import FLIGHTS_FROM_LINEITEM_STRIPPED_SQL, t
 from .ml_q import _GROUP_MEAN_SQL, LABEL, _lineitem_ml, _rounded_metrics
 from .registry import register
 
@@ -83,7 +83,8 @@ def q_model_round_trip(spark, sf_dir):
     return loaded.transform(li).select("l_orderkey", "l_linenumber", "prediction")
 
 
-@register("csv_convert_stripped", ("SRC1", "PRJ1", "SNK1"))
+@register("csv_convert_stripped", ("SRC1", "PRJ1", "SNK1"),
+          oracle=FLIGHTS_FROM_LINEITEM_STRIPPED_SQL)
 def q_csv_convert_stripped(spark, sf_dir):
     """The CSV conversion job: raw flight CSV -> CSV without the leakage columns, read back by
     its own header."""
