@@ -26,13 +26,17 @@ FLIGHT_KEY = ("Year", "Month", "DayofMonth", "UniqueCarrier", "FlightNum", "Orig
 
 
 @contextmanager
-def training_table(flights: DataFrame, with_windows: bool = True):
+def training_table(flights: DataFrame, with_windows: bool = True, sample: float | None = None,
+                   seed: int = 42):
     """The prepared, labelled flight table, persisted for the job's many passes (indexer fits,
     estimator iterations, scoring) and released afterwards. An under-split input is spread
-    over the cores first (a no-op for a large input)."""
+    over the cores first (a no-op for a large input). With ``sample`` only that fraction is
+    kept (after the per-day counts, which see every flight) and persisted."""
     prepared = features.prepare_flights(spread(flights), with_windows=with_windows)
-    prepared = prepared.where(F.col(features.LABEL).isNotNull()).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    prepared = prepared.where(F.col(features.LABEL).isNotNull())
+    if sample:
+        prepared = sampling.bernoulli_sample(prepared, sample, seed)
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield prepared
     finally:
@@ -153,11 +157,10 @@ def forest_chunks_job(flights: DataFrame, grid: dict | None = None, n_chunks: in
 def forest_cv_job(flights: DataFrame, grid: dict | None = None, sample: float | None = None,
                   folds: int = 3):
     """Random forest under k-fold cross-validation of the whole pipeline."""
-    with training_table(flights) as prepared:
-        data = sampling.bernoulli_sample(prepared, sample) if sample else prepared
+    with training_table(flights, sample=sample) as data:
         bins = models.max_bins_for(data, features.NOMINAL_COLUMNS)
         rf = models.forest(max_bins=bins)
         pm = tuning.param_grid(rf, grid or {"numTrees": [10, 20], "maxDepth": [5, 10]})
         results, best, _ = tuning.cross_validate(features.build_pipeline("indexed", rf), pm,
-                                                 data, folds=folds)
+                                                 data, folds=folds, persist=False)
         return results, best
