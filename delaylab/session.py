@@ -73,3 +73,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{base.rstrip('/')}/delaylab-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def recommended_conf(input_bytes: float, total_cores: int,
+                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of input with ``total_cores`` cores.
+
+    Scan splits of ``target_partition_bytes`` keep each task's input bounded; the initial
+    shuffle partition count covers the input at that size (at least 2 per core) and AQE
+    coalesces it down to the advisory size at runtime, so small shuffles (per-key tables,
+    aggregates) do not leave thousands of empty tasks. Skew-join splitting stays on.
+    """
+    parts = max(2 * total_cores, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        **{k: v for k, v in SCALE_CONF.items() if not k.startswith("spark.ui.show")},
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
