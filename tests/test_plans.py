@@ -96,3 +96,14 @@ def test_heavy_expressions_stay_in_codegen(spark, name):
     final = plan.physical(df)  # the final adaptive plan once the query ran
     assert "*(" in final  # WholeStageCodegen subtrees
     assert not plan.has_python(df)
+
+
+def test_recommended_conf_scales_with_input():
+    from delaylab.session import recommended_conf
+
+    small = recommended_conf(10 * 2**30, 64)
+    big = recommended_conf(100 * 10**12, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128  # 2 per core floor
+    assert int(big["spark.sql.shuffle.partitions"]) > 300_000
+    assert big["spark.sql.adaptive.enabled"] == "true"
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
