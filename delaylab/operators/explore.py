@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._util import as_list
-from ._plan import attach_small
+from ._plan import attach_small, materialize
 
 
 def value_count(df: DataFrame, col: str) -> DataFrame:
@@ -85,7 +85,7 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=None, names=None,
     Distributed plan, no group or column ever held by one task:
 
     1. count rows per distinct (group, value), partially aggregated, so a hot value is one row;
-    2. range-partition that table by (group, value) and number the partitions;
+    2. range-partition that table by (group, value), materialize it, number the partitions;
     3. per-partition totals (at most partitions + groups rows) give each partition's offset;
     4. running sums inside each partition give every distinct value its rank interval;
     5. one aggregate picks, per group, the values at ranks ``floor`` / ``ceil`` of ``(n-1)p``.
@@ -103,7 +103,10 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=None, names=None,
     v = F.col(col)
     counts = df.where(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(*by, col).agg(
         F.count(F.lit(1)).alias("_c"))
-    ranged = counts.repartitionByRange(parts, *by, col).withColumn("_pid", F.spark_partition_id())
+    # Materialized once: partition ids must be the same for the totals and the running sums,
+    # and two evaluations of a range exchange may sample different bounds.
+    ranged = materialize(counts.repartitionByRange(parts, *by, col)).withColumn(
+        "_pid", F.spark_partition_id())
     totals = ranged.groupBy("_pid", *by).agg(F.sum("_c").alias("_t"))
     w_grp = Window.partitionBy(*by)
     offsets = totals.select(

@@ -223,3 +223,20 @@ def test_header_driven_reader_and_convert(spark, scratch, flights_csv):
 def test_value_count_empty(spark):
     df = spark.createDataFrame([], "a string")
     assert explore.value_count(df, "a").first()[0] == 0
+
+
+def test_exact_quantiles_without_exchange_reuse(spark):
+    """Partition numbering must not depend on Spark reusing the range exchange."""
+    rng = random.Random(5)
+    rows = [(rng.choice("ab"), rng.random() * 1000) for _ in range(5000)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r["g"]: r["m"] for r in explore.exact_quantiles(
+            df, "x", [0.5], by="g", names=["m"], num_partitions=12).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
+    for g in "ab":
+        assert math.isclose(got[g], _np_quantile([x for gg, x in rows if gg == g], 0.5),
+                            abs_tol=1e-9)
