@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..session import checkpoint_dir
 
 # Upper bound on what is ever broadcast. The small side is materialized and its size measured
+# (row count and string bytes)
 # before the hint is given; beyond the bound the join stays a shuffle join, where AQE splits
 # skewed partitions.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -28,16 +29,21 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
-def estimated_row_bytes(schema: T.StructType) -> int:
-    size = 16
-    for f in schema.fields:
+def measured_bytes(df: DataFrame) -> int:
+    """Rows x fixed-width bytes + the actual bytes of every string, in one small job over an
+    already materialized table (nested values are counted at a generous fixed width)."""
+    fixed = 16
+    strings = []
+    for f in df.schema.fields:
         if isinstance(f.dataType, T.StringType):
-            size += 32
+            strings.append(F.coalesce(F.sum(F.octet_length(f.name)), F.lit(0)))
+            fixed += 8
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            size += 256
+            fixed += 256
         else:
-            size += 8
-    return size
+            fixed += 8
+    row = df.agg(F.count(F.lit(1)), *strings).first()
+    return int(row[0]) * fixed + sum(int(v) for v in row[1:])
 
 
 def null_safe_join(big: DataFrame, small: DataFrame, keys, how: str = "left") -> DataFrame:
@@ -56,8 +62,7 @@ def attach_small(big: DataFrame, small: DataFrame, keys, how: str = "left",
     broadcast only when its measured size is under ``max_broadcast_bytes`` (so ``big`` is never
     shuffled and a hot key costs nothing extra), otherwise it is a shuffle join."""
     small = materialize(small)
-    n = small.count()
-    if n * estimated_row_bytes(small.schema) <= max_broadcast_bytes:
+    if measured_bytes(small) <= max_broadcast_bytes:
         small = F.broadcast(small)
     return null_safe_join(big, small, keys, how)
 
