@@ -12,9 +12,8 @@ from pyspark.sql import types as T
 from ..session import checkpoint_dir
 
 # Upper bound on what is ever broadcast. The small side is materialized and its size measured
-# (row count and string bytes)
-# before the hint is given; beyond the bound the join stays a shuffle join, where AQE splits
-# skewed partitions.
+# (row count and string bytes) before the hint is given; beyond the bound the join stays a
+# shuffle join, where AQE splits skewed partitions.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
