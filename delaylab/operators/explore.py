@@ -44,9 +44,20 @@ def mean_daily_count(df: DataFrame, day_keys, key: str, name: str = "mean_daily_
     return per_day.groupBy(key).agg(F.avg("n").alias(name), F.count(F.lit(1)).alias("n_days"))
 
 
-def daily_mean(df: DataFrame, date: str, measure: str, name: str | None = None) -> DataFrame:
-    """Mean of ``measure`` per ``date``, in date order."""
-    return (df.groupBy(date).agg(F.avg(measure).alias(name or f"avg_{measure}"))
+def exact_mean(measure: str, decimals: int | None = None):
+    """Mean aggregate. With ``decimals`` (for values with that many decimal places, such as
+    prices or minutes) the sum is exact in DECIMAL and converted to DOUBLE once, so the result
+    is bit-identical whatever the partitioning or summation order."""
+    if decimals is None:
+        return F.avg(measure)
+    dec = F.col(measure).cast(f"decimal(18,{decimals})")
+    return F.sum(dec).cast("double") / F.count(dec)
+
+
+def daily_mean(df: DataFrame, date: str, measure: str, name: str | None = None,
+               decimals: int | None = None) -> DataFrame:
+    """Mean of ``measure`` per ``date``, in date order (``decimals``: see ``exact_mean``)."""
+    return (df.groupBy(date).agg(exact_mean(measure, decimals).alias(name or f"avg_{measure}"))
             .orderBy(date))
 
 

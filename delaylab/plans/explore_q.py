@@ -87,13 +87,14 @@ def q_mean_daily_count(spark, sf_dir):
 
 
 @register("daily_mean", ("AGG7", "SRT2"), oracle="""
-SELECT CAST(o_orderdate AS DATE) AS Date, round(avg(o_totalprice), 4) AS avg_o_totalprice
+SELECT CAST(o_orderdate AS DATE) AS Date,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) / count(o_totalprice)
+         AS avg_o_totalprice
 FROM orders GROUP BY 1 ORDER BY 1""")
 def q_daily_mean(spark, sf_dir):
     o = t(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("Date"),
                                           "o_totalprice")
-    out = explore.daily_mean(o, "Date", "o_totalprice")
-    return out.select("Date", F.round("avg_o_totalprice", 4).alias("avg_o_totalprice"))
+    return explore.daily_mean(o, "Date", "o_totalprice", decimals=2)
 
 
 @register("location_stats", "AGG8", oracle="""

@@ -23,13 +23,15 @@ def daily_features(flights, date_col="Date", airport="o_orderpriority", delay="o
     day's flights is sum(n^2)/sum(n) over the (day, airport) groups, so the whole table is two
     partial aggregations: no window sort, no join, and a hot airport collapses map-side.
     """
+    # the delay sum is exact (DECIMAL), so the mean does not depend on summation order
     per_airport = flights.groupBy(date_col, airport).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(delay).alias("_s"))
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col(delay).cast("decimal(18,2)")).alias("_s"))
     daily = per_airport.groupBy(date_col).agg(
-        F.sum("_n").alias("n_flights"), (F.sum("_s") / F.sum("_n")).alias("avg_delay"),
+        F.sum("_n").alias("n_flights"),
+        (F.sum("_s").cast("double") / F.sum("_n")).alias("avg_delay"),
         (F.sum(F.col("_n") * F.col("_n")) / F.sum("_n")).alias("avg_daily_load"))
     return daily.select(
-        date_col, "n_flights", r6("avg_delay", 4).alias("avg_delay"),
+        date_col, "n_flights", "avg_delay",
         r6("avg_daily_load").alias("avg_daily_load"),
         r6(cyclic_sin(F.month(date_col), MONTH_PERIOD)).alias("month_sin"),
         holidays.holiday_distance(F.col(date_col)).alias("holiday_distance")).orderBy(date_col)
@@ -39,9 +41,9 @@ def daily_features(flights, date_col="Date", airport="o_orderpriority", delay="o
 WITH per AS (
   SELECT make_date(CAST(year(o_orderdate) AS BIGINT), CAST(month(o_orderdate) AS BIGINT),
                    CAST(day(o_orderdate) AS BIGINT)) AS Date,
-         o_orderpriority, count(*) AS n, sum(o_totalprice) AS s
+         o_orderpriority, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS s
   FROM orders GROUP BY ALL)
-SELECT Date, CAST(sum(n) AS BIGINT) AS n_flights, {duck.r6("sum(s) / sum(n)", 4)} AS avg_delay,
+SELECT Date, CAST(sum(n) AS BIGINT) AS n_flights, CAST(sum(s) AS DOUBLE) / sum(n) AS avg_delay,
        {duck.r6("CAST(sum(n * n) AS DOUBLE) / sum(n)")} AS avg_daily_load,
        {duck.r6(duck.cyc("month(Date)", MONTH_PERIOD))} AS month_sin,
        {_HD} AS holiday_distance
