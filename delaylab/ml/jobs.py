@@ -47,9 +47,15 @@ def split_flights(prepared: DataFrame, weights=(0.7, 0.3), seed: int = 42):
     return sampling.split_frames(prepared, list(FLIGHT_KEY), weights, seed)
 
 
-def _metrics(scored: DataFrame, seconds: float, job: str) -> DataFrame:
+def _metrics(scored: DataFrame, seconds: float, job: str, test: DataFrame | None = None
+             ) -> DataFrame:
+    """Test metrics; ``n`` is the rows scored and ``n_test`` the rows in the test split (the
+    difference are rows with a missing feature value, which the assembler skips)."""
     m = evaluate.regression_metrics(scored, "prediction", features.LABEL)
-    return m.select(F.lit(job).alias("job"), "*", F.lit(float(seconds)).alias("train_seconds"))
+    n_test = test.count() if test is not None else None
+    return m.select(F.lit(job).alias("job"), "*",
+                    F.lit(n_test).cast("long").alias("n_test"),
+                    F.lit(float(seconds)).alias("train_seconds"))
 
 
 def _freeze(df: DataFrame) -> DataFrame:
@@ -70,7 +76,7 @@ def run_job(flights: DataFrame, feature_set: str, estimator, job: str = "job",
     t0 = time.perf_counter()
     model = models.fit(pipe, train)
     seconds = time.perf_counter() - t0
-    return _freeze(_metrics(model.transform(test), seconds, job)), model
+    return _freeze(_metrics(model.transform(test), seconds, job, test)), model
 
 
 def tree_run(flights: DataFrame, variant: str = "holiday", max_depth: int = 5,
@@ -134,7 +140,7 @@ def tuned_job(flights: DataFrame, kind: str = "gbt", grid: dict | None = None,
         train, test = split_flights(prepared)
         results, best, seconds = tuning.train_validation(
             features.build_pipeline(feature_set, est), pm, train)
-        metrics = _freeze(_metrics(best.transform(test), seconds, f"tuned_{kind}"))
+        metrics = _freeze(_metrics(best.transform(test), seconds, f"tuned_{kind}", test))
     return metrics, best, results
 
 

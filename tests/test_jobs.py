@@ -33,3 +33,10 @@ def test_tuned_and_selection_jobs(flights):
     assert sel.first()["n_chunks"] == 2
     res, _ = jobs.forest_cv_job(flights, {"numTrees": [3], "maxDepth": [3]}, folds=2)
     assert res.count() == 1
+
+
+def test_job_metrics_report_skipped_rows(flights):
+    m = jobs.tree_run(flights, "holiday", max_depth=3)[0].first()
+    assert m["n_test"] >= m["n"] > 0
+    # the fixture plants one NA in CRSElapsedTime and one in TaxiOut with a valid delay
+    assert m["n_test"] - m["n"] <= 2
