@@ -160,15 +160,31 @@ def location_stats(df: DataFrame, col: str) -> DataFrame:
     return q.select("n", "mean", "median", "min")
 
 
-def box_stats(df: DataFrame, col: str, by=None, whisker: float = 1.5) -> DataFrame:
+def approx_quantiles(df: DataFrame, col: str, probs, by=None, names=None,
+                     accuracy: int = 10000) -> DataFrame:
+    """Approximate quantiles from mergeable sketches (``percentile_approx``): one pass with
+    partial aggregation; rank error at most ``1/accuracy`` of the group size."""
+    by = as_list(by)
+    probs = list(probs)
+    names = list(names) if names else _quantile_names(probs)
+    x = F.col(col).cast("double")
+    q = F.percentile_approx(x, probs, accuracy)
+    out = df.where(x.isNotNull()).groupBy(*by).agg(F.count(x).alias("n"), q.alias("_q"))
+    return out.select(*by, "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+
+
+def box_stats(df: DataFrame, col: str, by=None, whisker: float = 1.5, exact: bool = True
+              ) -> DataFrame:
     """Box-plot statistics per group: quartiles, IQR fences, whiskers (extreme values inside the
     fences), outlier count, min and max.
 
-    The quartiles come from ``exact_quantiles``; the per-group table (one row per group) is
-    joined back by a measured broadcast for the second pass.
+    The quartiles come from ``exact_quantiles`` (or sketches with ``exact=False``); the
+    per-group table (one row per group) is joined back by a measured broadcast for the second
+    pass.
     """
     by = as_list(by)
-    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"])
+    quantiles = exact_quantiles if exact else approx_quantiles
+    q = quantiles(df, col, [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"])
     iqr = F.col("q3") - F.col("q1")
     q = q.select(*by, "n", "q1", "median", "q3", iqr.alias("iqr"),
                  (F.col("q1") - whisker * iqr).alias("lower_fence"),

@@ -240,3 +240,15 @@ def test_exact_quantiles_without_exchange_reuse(spark):
     for g in "ab":
         assert math.isclose(got[g], _np_quantile([x for gg, x in rows if gg == g], 0.5),
                             abs_tol=1e-9)
+
+
+def test_box_stats_approx_close_to_exact(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice("ab"), rng.gauss(0, 10)) for _ in range(20000)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    exact = {r["g"]: r for r in explore.box_stats(df, "x", by="g").collect()}
+    approx = {r["g"]: r for r in explore.box_stats(df, "x", by="g", exact=False).collect()}
+    for g in "ab":
+        assert approx[g]["n"] == exact[g]["n"]
+        for k in ("q1", "median", "q3"):
+            assert abs(approx[g][k] - exact[g][k]) < 0.05, (g, k)
