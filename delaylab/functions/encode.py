@@ -28,7 +28,7 @@ def try_int(c) -> Column:
 
 
 def flight_date(year, month, day) -> Column:
-    """``Year-Month-DayofMonth`` strings (unpadded) -> DATE; invalid dates such as 30 Feb -> NULL."""
+    """``Year-Month-DayofMonth`` strings (unpadded) -> DATE; invalid dates (30 Feb) -> NULL."""
     return F.try_to_date(F.concat_ws("-", as_col(year), as_col(month), as_col(day)), "y-M-d")
 
 

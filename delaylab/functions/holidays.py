@@ -117,7 +117,7 @@ def holiday_distance(date_col, span_years: bool = False,
 
 def holidays_for_years(years: DataFrame, year_col: str = "year",
                        names: tuple[str, ...] | None = None) -> DataFrame:
-    """Calendar table (``year``, ``holiday``, ``holiday_date``) for the distinct years of a table."""
+    """Calendar (``year``, ``holiday``, ``holiday_date``) for the distinct years of a table."""
     names = tuple(names or HOLIDAY_RULES)
     y = F.col(year_col).cast("int")
     rows = F.array(*[F.struct(F.lit(n).alias("holiday"), holiday(n, y).alias("holiday_date"))

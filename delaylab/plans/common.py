@@ -100,7 +100,8 @@ def flights_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         na_if_cancelled(F.lit(120)).alias("ActualElapsedTime"),
         s((F.col("l_tax") * 1000 + 60).cast("int")).alias("CRSElapsedTime"),
         na_if_cancelled(F.lit(100)).alias("AirTime"), na_if_cancelled(arr_delay).alias("ArrDelay"),
-        na_if_cancelled(dep_delay).alias("DepDelay"), F.concat(F.lit("S"), s(sk % 50)).alias("Origin"),
+        na_if_cancelled(dep_delay).alias("DepDelay"),
+        F.concat(F.lit("S"), s(sk % 50)).alias("Origin"),
         F.concat(F.lit("P"), s(pk % 25)).alias("Dest"), s(pk % 2000 + 100).alias("Distance"),
         na_if_cancelled(F.lit(7)).alias("TaxiIn"), s(taxi_out).alias("TaxiOut"),
         F.when(cancelled, F.lit("1")).otherwise(F.lit("0")).alias("Cancelled"),
@@ -118,6 +119,8 @@ _CRS_DEP = "(((l_orderkey * 7 + l_linenumber * 3) % 18 + 6) * 100 + (l_partkey %
 _CRS_ARR = "(((l_orderkey * 7 + l_linenumber * 3 + 2) % 18 + 6) * 100 + (l_suppkey % 12) * 5)"
 _DEP_DELAY = "CAST(trunc(l_quantity - 20) AS INTEGER)"
 _TAXI_OUT = "CAST(trunc(l_discount * 200 + 5) AS INTEGER)"
+_ARR_DELAY = (f"{_DEP_DELAY} + {_TAXI_OUT} - 15 "
+              "+ CAST(trunc(l_extendedprice / 10000) AS INTEGER)")
 
 # lineitem as a raw flight table in DuckDB SQL, without the leakage columns (same rules as
 # flights_from_lineitem; casts to int truncate there, so trunc() here).
@@ -128,12 +131,13 @@ SELECT CAST(year(l_shipdate) AS VARCHAR) AS Year, CAST(month(l_shipdate) AS VARC
        {_na_if_cancelled_sql(f"{_CRS_DEP} + CAST(trunc(l_quantity % 7) AS INTEGER)")} AS DepTime,
        CAST({_CRS_DEP} AS VARCHAR) AS CRSDepTime, CAST({_CRS_ARR} AS VARCHAR) AS CRSArrTime,
        l_returnflag || l_linestatus AS UniqueCarrier,
-       CAST(l_partkey % 500 AS VARCHAR) AS FlightNum, 'N' || CAST(l_orderkey % 300 AS VARCHAR) AS TailNum,
+       CAST(l_partkey % 500 AS VARCHAR) AS FlightNum,
+       'N' || CAST(l_orderkey % 300 AS VARCHAR) AS TailNum,
        CAST(CAST(trunc(l_tax * 1000 + 60) AS INTEGER) AS VARCHAR) AS CRSElapsedTime,
-       {_na_if_cancelled_sql(f"{_DEP_DELAY} + {_TAXI_OUT} - 15 + CAST(trunc(l_extendedprice / 10000) AS INTEGER)")}
-         AS ArrDelay,
+       {_na_if_cancelled_sql(_ARR_DELAY)} AS ArrDelay,
        {_na_if_cancelled_sql(_DEP_DELAY)} AS DepDelay,
-       'S' || CAST(l_suppkey % 50 AS VARCHAR) AS Origin, 'P' || CAST(l_partkey % 25 AS VARCHAR) AS Dest,
+       'S' || CAST(l_suppkey % 50 AS VARCHAR) AS Origin,
+       'P' || CAST(l_partkey % 25 AS VARCHAR) AS Dest,
        CAST(l_partkey % 2000 + 100 AS VARCHAR) AS Distance, CAST({_TAXI_OUT} AS VARCHAR) AS TaxiOut,
        CASE WHEN l_orderkey % 41 = 0 THEN '1' ELSE '0' END AS Cancelled,
        CASE WHEN l_orderkey % 41 = 0 THEN ['A', 'B', 'C', 'D'][l_linenumber % 4 + 1] END

@@ -19,7 +19,8 @@ def events_delay(spark, sf_dir):
                     (F.col("value") - F.lit(DELAY_OFFSET)).alias("delay"))
 
 
-_EV_DELAY = f"(SELECT event_id, ts, user_id, event_type, value - {DELAY_OFFSET} AS delay FROM events)"
+_EV_DELAY = (f"(SELECT event_id, ts, user_id, event_type, value - {DELAY_OFFSET} AS delay "
+             "FROM events)")
 
 
 @register("value_count", ("AGG1", "SET3"), oracle="""

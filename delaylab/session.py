@@ -62,7 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return existing
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    local = tempfile.mkdtemp(prefix="delaylab-ckpt-", dir=os.environ.get("DELAYLAB_SCRATCH", "/tmp"))
+    scratch = os.environ.get("DELAYLAB_SCRATCH", "/tmp")
+    local = tempfile.mkdtemp(prefix="delaylab-ckpt-", dir=scratch)
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()
 
