@@ -109,8 +109,12 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=None, names=None,
     spark = df.sparkSession
     # the distinct-value table can approach the row count for continuous columns: give it at
     # least two range partitions per core of the cluster
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        cores = 0
     parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                  2 * spark.sparkContext.defaultParallelism)
+                                  2 * cores)
     v = F.col(col)
     counts = df.where(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(*by, col).agg(
         F.count(F.lit(1)).alias("_c"))

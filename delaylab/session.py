@@ -40,9 +40,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _context(spark: SparkSession):
+    """The JVM SparkContext, or None for sessions without one (e.g. Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def is_local(spark: SparkSession) -> bool:
+    sc = _context(spark)
+    return sc is not None and sc.master.startswith("local")
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the session (``spark.checkpoint.dir``), if any."""
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -60,7 +75,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = checkpoint_dir(spark)
     if existing:
         return existing
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     scratch = os.environ.get("DELAYLAB_SCRATCH", "/tmp")
     local = tempfile.mkdtemp(prefix="delaylab-ckpt-", dir=scratch)
