@@ -107,3 +107,14 @@ def test_recommended_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) > 300_000
     assert big["spark.sql.adaptive.enabled"] == "true"
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+@pytest.mark.parametrize("name", ["departures_window", "arrivals_window", "reason_counts",
+                                  "reason_counts_nonnull"])
+def test_group_counts_never_shuffle_the_big_table(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    df.collect()
+    final = plan.physical(df)
+    assert "BroadcastHashJoin" in final
+    assert "Exchange hashpartitioning" not in final and "SortMergeJoin" not in final
+    assert "Window" not in final
