@@ -78,5 +78,16 @@ def random_split(df: DataFrame, weights=(0.7, 0.3), seed: int = 42) -> list[Data
 
 
 def remaining_rows(df: DataFrame, used: DataFrame, distinct: bool = True) -> DataFrame:
-    """Rows of ``df`` not in ``used``: EXCEPT (distinct, drops duplicates) or EXCEPT ALL."""
-    return df.subtract(used) if distinct else df.exceptAll(used)
+    """Rows of ``df`` not in ``used``: EXCEPT (distinct, drops duplicates) or EXCEPT ALL.
+
+    EXCEPT is a NULL-safe anti join on all columns of the deduplicated sides. The used side is
+    collapsed by a partial aggregation; when it is small the anti join is a broadcast
+    (map-side) join and the remaining rows' copies are collapsed map-side before the only
+    shuffle, so a row repeated across a third of the table costs one row per task. With a
+    large used side AQE splits skewed anti-join partitions. EXCEPT ALL keeps multiplicities
+    (Spark counts rows per value, also partially aggregated)."""
+    if not distinct:
+        return df.exceptAll(used)
+    from ._plan import null_safe_join
+
+    return null_safe_join(df.dropDuplicates(), used.dropDuplicates(), df.columns, "left_anti")
