@@ -252,3 +252,19 @@ def test_box_stats_approx_close_to_exact(spark):
         assert approx[g]["n"] == exact[g]["n"]
         for k in ("q1", "median", "q3"):
             assert abs(approx[g][k] - exact[g][k]) < 0.05, (g, k)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_value_count_equals_distinct_count(spark, seed):
+    rng = random.Random(seed)
+    vals = [rng.choice(["a", "b", "c", None, "d"]) for _ in range(rng.randint(1, 300))]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    assert explore.value_count(df, "v").first()[0] == df.select("v").distinct().count()
+
+
+def test_reader_checks_headers(spark, scratch):
+    path = os.path.join(scratch, "other_header.csv")
+    with open(path, "w") as fh:
+        fh.write("x,y\n1,2\n")
+    with pytest.raises(Exception):
+        src.read_flights(spark, path, columns=("a", "b")).collect()
