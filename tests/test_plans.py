@@ -38,9 +38,13 @@ def duck():
 
 
 def _norm(rows, cols):
-    from tools.check_oracle import rows_of
+    import tools.check_oracle as chk
 
-    return rows_of(cols, rows)
+    strict, chk.STRICT = chk.STRICT, True  # exact floats, -0.0 distinguished
+    try:
+        return chk.rows_of(cols, rows)
+    finally:
+        chk.STRICT = strict
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
