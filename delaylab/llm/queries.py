@@ -3,15 +3,108 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import decontam, fertility, licenses, simhash, suffix
 from ._common import read_table
 
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2_SQL = rf"""
+WITH dw AS (SELECT row_number() OVER () AS rid, doc_id,
+                   regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+iw AS (SELECT DISTINCT item_id, least(13, len(w)) AS l,
+              array_to_string(w[s:s + least(13, len(w)) - 1], ' ') AS body
+       FROM (SELECT item_id, regexp_extract_all({_LOW},
+                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) i,
+            unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS r(s)
+       WHERE len(w) > 0),
+places AS (SELECT rid, l, s, array_to_string(w[s:s + l - 1], ' ') AS body
+           FROM dw, (SELECT DISTINCT l FROM iw) x, unnest(range(1, len(w) - l + 2)) AS r(s)
+           WHERE len(w) >= l),
+hits AS (SELECT DISTINCT rid, l, s, item_id FROM places JOIN iw USING (l, body)),
+covered AS (SELECT rid, count(DISTINCT p) AS n_hit
+            FROM hits, unnest(range(s, s + l)) AS r(p) GROUP BY rid),
+found AS (SELECT rid, count(*) AS n_items,
+                 string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+          FROM (SELECT DISTINCT rid, item_id FROM hits) h GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)
+"""
+
+
+def op10_sql() -> str:
+    """The look-up of op10 in DuckDB, from the same fixed values."""
+    def lit(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def lines(text: str) -> str:
+        low = (f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+               "'abcdefghijklmnopqrstuvwxyz')")
+        plain = (f"regexp_replace(regexp_replace({low}, {lit(licenses.COPYRIGHT_LINE)}, '', 'g'), "
+                 f"{lit(licenses.BREAKS)}, ' ', 'g')")
+        for variant, canonical in licenses.SPELLINGS:
+            plain = f"replace({plain}, {lit(variant)}, {lit(canonical)})"
+        return (f"list_filter(list_transform(string_split({plain}, chr(10)), "
+                "lambda x: trim(x, ' ')), lambda x: x <> '')")
+
+    known = ", ".join(f"({lit(i)}, {lit(t)})" for i, t in licenses.KNOWN)
+    return f"""
+WITH known AS (SELECT body, min(license_id) AS license_id
+               FROM (SELECT license_id, array_to_string({lines("text")}, ' ') AS body
+                     FROM (VALUES {known}) k(license_id, text)) b GROUP BY body),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {lines("text")} AS lines FROM documents),
+notices AS (SELECT rid, count(*) AS n,
+                   array_to_string(list_sort(list_distinct(list(license_id))), ',') AS ids
+            FROM (SELECT rid, unnest(lines) AS body FROM d) l JOIN known USING (body)
+            GROUP BY rid)
+SELECT doc_id, sha256(array_to_string(lines, ' ')) AS text_digest, license_id,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_notices, coalesce(ids, '') AS notice_ids
+FROM d LEFT JOIN known ON known.body = array_to_string(lines, ' ') AND len(lines) > 0
+       LEFT JOIN notices USING (rid)
+"""
+
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     return simhash.simhash_dedup(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash}
-ORACLE: dict[str, str] = {}
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    return decontam.decontaminate(read_table(spark, sf_dir, "documents"),
+                                  read_table(spark, sf_dir, "benchmark"))
+
+
+def op3_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base quality counts, token measures and verdict of every document."""
+    return fertility.quality_rules(read_table(spark, sf_dir, "documents")).drop("_key")
+
+
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated passages."""
+    done = suffix.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "repeats.n_bytes", "repeats.n_removed", "repeats.n_spans",
+                       F.sha2("repeats.kept", 256).alias("kept_sha256"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences in every document, as its whole text and as single lines."""
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_fertility": op3_fertility,
+    "op5_repeats": op5_repeats,
+    "op10_licenses": op10_licenses,
+}
+ORACLE = {
+    "op2_decontaminate": OP2_SQL,
+    "op10_licenses": op10_sql(),
+}
