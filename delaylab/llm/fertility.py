@@ -25,7 +25,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Words whose tokens a task remembers; beyond it the memory starts anew.
 REMEMBERED = 400_000
 # Fixed value: how this vocabulary's texts are split before merging.
-PATTERN = (r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Widths of the bands below and above the quartiles, in quartile distances; a text of this many

@@ -77,7 +77,7 @@ def canonical_lines(text: Column) -> Column:
     for variant, canonical in SPELLINGS:
         plain = F.replace(plain, F.lit(variant), F.lit(canonical))
     lines = F.split(plain, "\n")
-    return F.coalesce(F.array_remove(F.transform(lines, F.trim), ""),
+    return F.coalesce(F.array_remove(F.transform(lines, lambda x: F.trim(x)), ""),
                       F.array().cast("array<string>"))
 
 
