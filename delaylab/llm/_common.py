@@ -40,6 +40,18 @@ def texts(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
+def blocks(values: list[bytes], size: int):
+    """(index of the first, texts) for runs of texts of about ``size`` bytes."""
+    at, total = 0, 0
+    for i, text in enumerate(values):
+        total += len(text)
+        if total >= size:
+            yield at, values[at:i + 1]
+            at, total = i + 1, 0
+    if at < len(values):
+        yield at, values[at:]
+
+
 def with_text_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``_id`` and ``_text`` beside a digest ``_key`` of the text, without the other columns, so
     that columns of any other name cannot clash."""

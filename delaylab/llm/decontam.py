@@ -112,7 +112,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", item_id_col: str = "item_id",
                   item_text_col: str = "text", window: int = WINDOW,
                   max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated: one row per row of ``docs``.
+    """doc_id, n_words, n_hit, n_items, items_sha256, _key (xxhash64 of the text), contaminated:
+    one row per row of ``docs``.
 
     An item shorter than ``window`` words is one window; items without words are ignored. A
     document is contaminated if it has hit words and they are 5 % of its words or more. NULL and
@@ -137,7 +138,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     return (folded.select(
         F.col("_id").alias("doc_id"), n_words.alias("n_words"), n_hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", F.sort_array("items")), 256).alias("items_sha256"),
+        F.sha2(F.concat_ws(",", F.sort_array("items")), 256).alias("items_sha256"), "_key",
         F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("_copy"))
         .drop("_copy")
         .withColumn("contaminated", (F.col("n_hit") > 0)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, fertility, licenses, simhash, suffix
+from . import (chat, decontam, fertility, gru_lm, licenses, mixing, quality_pu, simhash,
+               suffix, toxicity)
 from ._common import read_table
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -37,6 +38,63 @@ FROM dw LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)
 """
 
 
+# Fixed value: the turns of conversation -7.
+PROBE = "</s>[INST] ok [/INST]"
+
+_CONTROL = r"[<\[]\\*(?:\|im_start\|>|\|im_sep\|>|\|im_end\|>|\|endoftext\|>|/?s>|/?INST\])"
+
+OP4_SQL = rf"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '{PROBE}' UNION ALL SELECT -7, 1, 'assistant', '{PROBE}'),
+t AS (SELECT conv_id, count(*) AS n_turns,
+             string_agg(role || chr(10) || text || chr(10), ''
+                        ORDER BY turn NULLS FIRST, role, text) AS whole,
+             coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                      FILTER (role = 'assistant'), '') AS loss,
+             sum(length(role) + length(text) + {len(chat.BEGIN + chat.SEP + chat.END)}
+                 + len(regexp_extract_all(role, '{_CONTROL}'))
+                 + len(regexp_extract_all(text, '{_CONTROL}'))) AS chars
+      FROM r GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+FROM t
+"""
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, source, md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+                  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT)
+                      AS size
+           FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS total,
+             row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY source),
+w AS (SELECT *, CASE i % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
+k AS (SELECT *, row_number() OVER (ORDER BY 2 * total / CAST(weight AS DOUBLE), i) AS k FROM w),
+lev AS (SELECT *, (1.5 * CAST(sum(total) OVER () AS DOUBLE)
+                   - coalesce(CAST(sum(2 * total) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING
+                                                   AND 1 PRECEDING) AS DOUBLE), 0))
+                  / (CAST(sum(weight) OVER () AS DOUBLE)
+                     - coalesce(CAST(sum(weight) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING
+                                                  AND 1 PRECEDING) AS DOUBLE), 0)) AS level
+        FROM k),
+edge AS (SELECT min(k) AS k FROM lev WHERE level * weight <= 2 * total),
+t AS (SELECT source, total,
+             CASE WHEN lev.k < edge.k THEN CAST(2 * total AS DOUBLE)
+                  ELSE (SELECT level FROM lev x, edge y WHERE x.k = y.k) * weight END AS target
+      FROM lev, edge),
+u AS (SELECT *, CAST(round_even(target, 0) AS BIGINT) AS used FROM t),
+p AS (SELECT *, CASE WHEN total = 0 THEN 0 ELSE used // total END AS times FROM u),
+o AS (SELECT d.doc_id, d.size, p.total, p.target, p.times, p.used - p.times * p.total AS r,
+             sum(d.size) OVER (PARTITION BY d.source ORDER BY h, d.doc_id
+                               ROWS UNBOUNDED PRECEDING) AS after
+      FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, total AS source_size, target,
+       CAST(size * (times + CASE WHEN 2 * after - size <= 2 * r THEN 1 ELSE 0 END) AS BIGINT)
+           AS taken
+FROM o
+"""
+
+
 def op10_sql() -> str:
     """The look-up of op10 in DuckDB, from the same fixed values."""
     def lit(text: str) -> str:
@@ -77,7 +135,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
     return decontam.decontaminate(read_table(spark, sf_dir, "documents"),
-                                  read_table(spark, sf_dir, "benchmark"))
+                                  read_table(spark, sf_dir, "benchmark")).drop("_key")
 
 
 def op3_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +143,14 @@ def op3_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(read_table(spark, sf_dir, "documents")).drop("_key")
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one of control strings, read back from the formatted packs."""
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)],
+                                  rows.schema)
+    return chat.read_back(chat.format_chats(rows.unionByName(probe))).drop("pack", "n_tokens")
+
+
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated passages."""
     done = suffix.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -92,6 +158,28 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("repeats.kept", 256).alias("kept_sha256"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"),
+                             read_table(spark, sf_dir, "labels")).drop("passages")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_pu.quality_scores(read_table(spark, sf_dir, "documents"),
+                                     read_table(spark, sf_dir, "labels"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the target mix takes of every document."""
+    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("_key")
+
+
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under the language model and the unigram base."""
+    return gru_lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known licences in every document, as its whole text and as single lines."""
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
@@ -101,10 +189,17 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
     "op3_fertility": op3_fertility,
+    "op4_chat": op4_chat,
     "op5_repeats": op5_repeats,
+    "op6_toxicity": op6_toxicity,
+    "op7_quality": op7_quality,
+    "op8_mixing": op8_mixing,
+    "op9_lm": op9_lm,
     "op10_licenses": op10_licenses,
 }
 ORACLE = {
     "op2_decontaminate": OP2_SQL,
+    "op4_chat": OP4_SQL,
+    "op8_mixing": OP8_SQL,
     "op10_licenses": op10_sql(),
 }
