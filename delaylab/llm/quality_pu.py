@@ -150,7 +150,7 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray, rng: np.random.Gen
     cuts = zp[: int(0.9 * len(zp)) + 1]
     above_p = 1 - np.searchsorted(zp, cuts) / len(zp)
     above_u = 1 - np.searchsorted(zu, cuts) / len(zu)
-    slack = 0.5 * (np.sqrt(1 / len(zp)) + np.sqrt(1 / len(zu)))
+    slack = 1.36 * (np.sqrt(1 / len(zp)) + np.sqrt(1 / len(zu)))  # 90 % bounds of both shares
     ratio = (above_u + slack) / above_p
     best = int(np.argmin(ratio))
     return float(np.clip(above_u[best] / above_p[best], 0.05, 0.99))

@@ -32,7 +32,8 @@ STEMS = range(4, 9)
 REMEMBERED = 1_000_000
 #: Weight of the prior, as a share of all training counts.
 PRIOR = 0.05
-MIN_Z = 5.0
+#: Least significance of a lexicon token (root of twice its log-likelihood ratio).
+MIN_Z = 4.5
 #: Size of the model: tokens of the lexicon, those with the largest z.
 LEXICON = 5000
 #: Texts used to fit the three curves (lambda and K, the logistic's two numbers).
@@ -107,8 +108,15 @@ def lexicon(train: DataFrame, size: int = LEXICON, min_z: float = MIN_Z):
     a = F.lit(a0) * F.col("y") / F.lit(n)
     in1, in0 = F.col("y1") + a, F.col("y") - F.col("y1") + a
     odds = (F.log(in1 / (F.lit(n1 + a0) - in1)) - F.log(in0 / (F.lit(n0 + a0) - in0)))
+    y0, share = F.col("y") - F.col("y1"), n1 / n
+
+    def part(seen, expected):
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    gain = part(F.col("y1"), F.col("y") * share) + part(y0, F.col("y") * (1 - share))
     top = cut(tokens.withColumn("odds", odds)
-              .withColumn("z", F.col("odds") / F.sqrt(1 / in1 + 1 / in0))
+              .where(F.col("y1") > F.col("y") * share)
+              .withColumn("z", F.sqrt(F.greatest(2 * gain, F.lit(0.0))))
               .where(F.col("z") >= min_z).orderBy(F.desc("z"), "token").limit(size)
               .select("token", "odds"))
     hits = (parts.join(F.broadcast(top), "token").select("word", "y1", "y").distinct()
