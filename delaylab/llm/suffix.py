@@ -26,9 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators._plan import MAX_BROADCAST_BYTES, measured_bytes
 from ..session import scratch_path
-from ._common import texts
+from ._common import blocks, texts
 
 LENGTH = 200
 GRAM = 8
@@ -117,23 +116,11 @@ def _digests(joined: bytes, first, last, length: int) -> np.ndarray:
                     dtype=np.uint64).view(np.int64)
 
 
-def _blocks(values: list[bytes]):
-    """(index of the first, texts) for runs of texts of about ``BLOCK_BYTES``."""
-    at, size = 0, 0
-    for i, text in enumerate(values):
-        size += len(text)
-        if size >= BLOCK_BYTES:
-            yield at, values[at:i + 1]
-            at, size = i + 1, 0
-    if at < len(values):
-        yield at, values[at:]
-
-
 def _census(source: DataFrame, length: int) -> DataFrame:
     """(context, mixed): trigger contexts seen twice or more, and whether in different phrases."""
     def run(batches):
         for batch in batches:
-            for _, block in _blocks(texts(batch.column(0))):
+            for _, block in blocks(texts(batch.column(0)), BLOCK_BYTES):
                 joined, _, first, last, _, context = phrases(block, length)
                 if not len(first):
                     continue
@@ -206,7 +193,7 @@ def _occurrences(source: DataFrame, filters, length: int) -> DataFrame:
         bits, seen, mixed = filters.value
         for batch in batches:
             ids, keys = batch.column(0), batch.column(1)
-            for start, block in _blocks(texts(batch.column(2))):
+            for start, block in blocks(texts(batch.column(2)), BLOCK_BYTES):
                 joined, owner, first, last, offsets, context = phrases(block, length)
                 some = np.flatnonzero(_hits(seen, bits, context))
                 if not len(some):
@@ -336,11 +323,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    length: int = LENGTH, into: str = "repeats", filter_bits: int = FILTER_BITS,
-                   hot_phrases: int = HOT_PHRASES,
-                   max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+                   hot_phrases: int = HOT_PHRASES) -> DataFrame:
     """The rows of ``docs`` with one more column ``into``, a struct (n_bytes, n_removed, n_spans,
-    kept): each byte covered by a ``length``-byte string that also starts elsewhere in the table
-    is removed, judged on the input; kept holds the remaining bytes.
+    kept, text): each byte covered by a ``length``-byte string that also starts elsewhere in the
+    table is removed, judged on the input; kept holds the remaining bytes, text the whole
+    characters among them.
 
     NULL and empty texts have no bytes and nothing is removed; texts shorter than ``length`` are
     left whole; a repeated row repeats all its strings; an empty table gives an empty result;
@@ -350,24 +337,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"docs already has a column {into}")
     if length < 4 * GRAM:
         raise ValueError(f"length must be {4 * GRAM} or more")
-    spark = docs.sparkSession
     spans = repeated_spans(docs, id_col, text_col, length, filter_bits, hot_phrases)
-    path = scratch_path(spark, "spans")
-    spans.write.parquet(path)
-    spans = spark.read.schema(spans.schema).parquet(path)
-    sizes = spans.agg(F.sum(F.size("begins")), F.count(F.lit(1))).first()
-    if 16 * (sizes[0] or 0) + 64 * sizes[1] <= max_broadcast_bytes:
-        spans = F.broadcast(spans)
     names = docs.columns
     packed = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"),
                          docs[id_col].alias("_i"), F.xxhash64(docs[text_col]).alias("_k"),
                          docs[text_col].alias("_text"))
     same = packed["_i"].eqNullSafe(spans["_id"]) & (packed["_k"] == spans["_key"])
-    joined = packed.join(spans, same, "left").select("_row", "_text", "begins", "counts")
+    joined = packed.join(spans.hint("shuffle_merge"), same, "left").select(
+        "_row", "_text", "begins", "counts")
     kind = T.StructType([T.StructField("n_bytes", T.LongType()),
                          T.StructField("n_removed", T.LongType()),
                          T.StructField("n_spans", T.LongType()),
-                         T.StructField("kept", T.BinaryType())])
+                         T.StructField("kept", T.BinaryType()),
+                         T.StructField("text", T.StringType())])
 
     def run(batches):
         for batch in batches:
@@ -375,18 +357,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for text, begins, counts in zip(texts(batch.column(1)), batch.column(2).to_pylist(),
                                             batch.column(3).to_pylist()):
                 if not begins:
-                    out.append((len(text), 0, 0, text))
+                    out.append((len(text), 0, 0, text, text.decode("utf-8", "ignore")))
                     continue
                 begin = np.array(begins, dtype=np.int64)
                 begin, end = _merge(begin, begin + np.array(counts, dtype=np.int64) + length - 1)
                 keep = [text[a:b] for a, b in zip([0, *end.tolist()],
                                                   [*begin.tolist(), len(text)])]
                 kept = b"".join(keep)
-                out.append((len(text), len(text) - len(kept), len(begin), kept))
+                out.append((len(text), len(text) - len(kept), len(begin), kept,
+                            kept.decode("utf-8", "ignore")))
             columns = [pa.array(x, type=t) for x, t in zip(
-                zip(*out) if out else ((), (), (), ()),
-                (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
-            fields = ["n_bytes", "n_removed", "n_spans", "kept"]
+                zip(*out) if out else ((),) * 5,
+                (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()))]
+            fields = ["n_bytes", "n_removed", "n_spans", "kept", "text"]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.StructArray.from_arrays(columns, fields)], ["_row", "_new"])
 
