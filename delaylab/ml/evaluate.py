@@ -53,7 +53,7 @@ def feature_names(df: DataFrame, features_col: str = "features") -> list[str]:
 def linear_report(model, df: DataFrame | None = None, features_col: str = "features"
                   ) -> DataFrame:
     """(``term``, ``value``): intercept, one coefficient per feature, then the training
-    summary (RMSE, R^2, iterations, last objective value)."""
+    summary (RMSE, R^2, iterations, the objective after each iteration)."""
     from pyspark.sql import SparkSession
 
     spark = df.sparkSession if df is not None else SparkSession.getActiveSession()
@@ -65,12 +65,26 @@ def linear_report(model, df: DataFrame | None = None, features_col: str = "featu
         s = model.summary
         rows += [("rmse", float(s.rootMeanSquaredError)), ("r2", float(s.r2)),
                  ("iterations", float(s.totalIterations))]
-        hist = s.objectiveHistory
-        if hist:
-            rows.append(("objective", float(hist[-1])))
+        rows += [(f"objective_{i}", float(v)) for i, v in enumerate(s.objectiveHistory or [])]
     return spark.createDataFrame(rows, "term string, value double")
 
 
+def best_report(stage, scored: DataFrame, label: str, features_col: str = "features") -> DataFrame:
+    """(``term``, ``value``, ``text``) of a tuned run's best model: importances or coefficients,
+    the model's size and, if small, its tree, then the test metrics."""
+    metrics = regression_metrics(scored, "prediction", label).first()
+    rows = [(k, float(metrics[k]), None) for k in ("rmse", "mse", "mae", "r2", "var")]
+    if hasattr(stage, "featureImportances"):
+        rows += [(f"importance {r['feature']}", r["importance"], None)
+                 for r in feature_importances(stage, scored, features_col).collect()]
+        size = float(getattr(stage, "totalNumNodes", getattr(stage, "numNodes", 0)))
+        rows.append(("nodes", size, describe_model(stage)))
+    else:
+        rows += [(r["term"], r["value"], None)
+                 for r in linear_report(stage, scored, features_col).collect()]
+    return scored.sparkSession.createDataFrame(rows, "term string, value double, text string")
+
+
 def residuals(df: DataFrame, prediction: str = "prediction", label: str = "ArrDelay_Int",
               out: str = "residual") -> DataFrame:
     """Label minus prediction per row, as a DataFrame (never collected)."""
@@ -82,14 +96,14 @@ def describe_model(model, max_nodes: int = 30) -> str | None:
     n = getattr(model, "totalNumNodes", None)
     if n is None:
         n = getattr(model, "numNodes", None)
-    if n is not None and n <= max_nodes:
+    if n is not None and n < max_nodes:
         return model.toDebugString
     return None
 
 
 def model_summary(model, max_nodes: int = 30) -> DataFrame:
     """(``num_nodes``, ``depth``, ``tree``): size of a tree model and its printable form when it
-    has at most ``max_nodes`` nodes (NULL otherwise)."""
+    has fewer than ``max_nodes`` nodes (NULL otherwise)."""
     from pyspark.sql import SparkSession
 
     spark = SparkSession.getActiveSession()

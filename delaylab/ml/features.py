@@ -8,6 +8,8 @@ with the pipeline (``DefaultParamsWritable``).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.feature import (FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler,
@@ -23,6 +25,7 @@ from ..functions.encode import (DAY_OF_MONTH_PERIOD, DAY_OF_WEEK_PERIOD, MONTH_P
                                 cyclic_sin, flight_date, hhmm_hours, hhmm_minutes)
 from ..functions.holidays import holiday_distance
 from ..operators import clean, windows
+from ..operators._plan import attach_small, materialize
 
 _TIME_TYPES = (T.StringType, T.IntegerType, T.LongType, T.ShortType)
 
@@ -86,6 +89,8 @@ BASE_FEATURES = (
     "CRSElapsedTime_Int", "DepDelay_Int", "Distance_Int", "TaxiOut_Int",
 )
 NOMINAL_INDEXES = tuple(f"{c}_Index" for c in NOMINAL_COLUMNS)
+COUNT_COLUMNS = ("NrOfArrivals", "NrOfDepartures", "NrOfCancelledNAS", "NrOfCancelledSecurity",
+                 "NrOfCancelledCarrier", "NrOfCancelledWeather")
 FEATURE_SETS = {
     "indexed": BASE_FEATURES + ("DistanceToHoliday",) + NOMINAL_INDEXES,
     "hashed": BASE_FEATURES + ("NominalHashed",),
@@ -93,9 +98,14 @@ FEATURE_SETS = {
     "windowed": ("Month_sin", "DayofMonth_sin", "DayOfWeek_sin", "DepTime_Hours",
                  "CRSElapsedTime_Int", "DepDelay_Int", "TaxiOut_Int", "DistanceToHoliday",
                  "NrOfArrivals", "NrOfDepartures"),
-    "counts": ("Month_sin", "DayofMonth_sin", "DayOfWeek_sin", "DepTime_Hours",
-               "CRSElapsedTime_Int", "DepDelay_Int", "TaxiOut_Int",
-               "NrOfArrivals", "NrOfDepartures"),
+    "counts": BASE_FEATURES + NOMINAL_INDEXES + ("NrOfDepartures",),
+    "cancellations": (
+        "Year_Int", "Month_sin", "DayofMonth_sin", "DayOfWeek_sin", "DepTime_Hours",
+        "DepTime_Minutes", "CRSDepTime_Hours", "CRSDepTime_Minutes", "CRSArrTime_Hours",
+        "CRSArrTime_Minutes", "CRSElapsedTime_Int", "DepDelay_Int", "TaxiOut_Int",
+        "DistanceToHoliday", "UniqueCarrier_Index", "Origin_Index", "Dest_Index",
+        "NrOfArrivals", "NrOfDepartures", "NrOfCancelledNAS", "NrOfCancelledSecurity",
+        "NrOfCancelledCarrier", "NrOfCancelledWeather"),
 }
 LABEL = "ArrDelay_Int"
 
@@ -114,17 +124,25 @@ def feature_hasher(cols, num_features: int = 2000, out: str = "NominalHashed") -
 
 def suggest_hash_sizes(df: DataFrame, cols, square_up_to: int = 1000, factor: int = 20,
                        exact: bool = True) -> DataFrame:
-    """Cardinality of each column (one aggregate) and a hash-space size: the square for small
-    domains, ``factor`` x cardinality for large ones. (``column``, ``cardinality``,
-    ``num_features``). ``exact=False`` uses HyperLogLog sketches (mergeable partial states,
-    no row expansion), enough for sizing a hash space."""
+    """Cardinality of each column and a hash-space size: the square for small domains,
+    ``factor`` x cardinality for large ones. (``column``, ``cardinality``, ``num_features``).
+    Exact counts are one distinct aggregation per column (several distinct counts in one
+    aggregate would multiply every row by their number); ``exact=False`` uses mergeable sketches
+    in a single pass, enough for sizing a hash space."""
     cols = list(cols)
-    count = F.count_distinct if exact else (lambda c: F.approx_count_distinct(c, 0.01))
-    wide = df.agg(*[count(c).alias(f"c{i}") for i, c in enumerate(cols)])
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("cardinality"))
-                     for i, c in enumerate(cols)])
+    if exact:
+        sized = reduce(DataFrame.unionByName, [
+            df.select(c).where(F.col(c).isNotNull()).distinct().agg(
+                F.count(F.lit(1)).alias("cardinality"))
+            .select(F.lit(c).alias("column"), "cardinality") for c in cols])
+    else:
+        wide = df.agg(*[F.approx_count_distinct(c, 0.01).alias(f"c{i}")
+                        for i, c in enumerate(cols)])
+        sized = wide.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("cardinality"))
+            for i, c in enumerate(cols)])))
     card = F.col("cardinality")
-    return wide.select(F.inline(rows)).withColumn(
+    return sized.withColumn(
         "num_features", F.when(card <= square_up_to, card * card).otherwise(card * factor))
 
 
@@ -134,8 +152,9 @@ def one_hot(cols, suffix: str = "_Vec", drop_last: bool = True) -> OneHotEncoder
                          dropLast=drop_last, handleInvalid="keep")
 
 
-def assemble(cols, out: str = "features", handle_invalid: str = "skip") -> VectorAssembler:
-    """``handle_invalid``: ``error`` (fail on NULL), ``skip`` (drop the row), ``keep`` (NaN)."""
+def assemble(cols, out: str = "features", handle_invalid: str = "error") -> VectorAssembler:
+    """``handle_invalid``: ``error`` (fail on NULL), ``keep`` (NaN), ``skip`` (drop the row; no
+    pipeline or job of this library uses it)."""
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid=handle_invalid)
 
 
@@ -144,27 +163,36 @@ def vector_indexer(col: str, out: str, max_categories: int = 2) -> VectorIndexer
                          handleInvalid="keep")
 
 
-def prepare_flights(df: DataFrame, with_windows: bool = True,
-                    method: str = "join") -> DataFrame:
-    """Raw flight strings -> typed feature columns.
-
-    Leakage columns dropped; per (day, origin): departures among the flights that pass the
-    sentinel filter and cancellations per reason among all flights (the filter removes
-    cancelled ones, so they must be counted first) - one aggregation; per (day, destination):
-    arrivals - a second one. Both per-key tables are attached with a measured broadcast, then
-    the sentinel filter, integer casts, cyclic encodings and the date.
-    """
+def add_day_counts(df: DataFrame) -> DataFrame:
+    """Per (day, origin): departures among the flights that pass the sentinel filter and
+    cancellations per reason among all flights (the filter removes cancelled ones, so they must
+    be counted first); per (day, destination): arrivals. One aggregation over the raw scan holds
+    both groupings; the two per-key tables are attached with a measured broadcast."""
+    keep = clean.sentinel_condition(clean.REQUIRED_COLUMNS)
+    aggs = [F.count_if(keep & F.col("Origin").isNotNull()).alias("NrOfDepartures"),
+            F.count_if(keep & F.col("Dest").isNotNull()).alias("NrOfArrivals")]
+    names = ["NrOfDepartures"]
+    if "CancellationCode" in df.columns:
+        for code, name in windows.CANCELLATION_CODES.items():
+            aggs.append(F.count_if(F.col("CancellationCode") == F.lit(code)).alias(name))
+            names.append(name)
+    day = list(windows.DAY_KEYS)
+    both = materialize(
+        df.groupingSets([[*day, "Origin"], [*day, "Dest"]], *day, "Origin", "Dest")
+        .agg(*aggs, F.grouping("Dest").alias("_by_origin")))
+    out = attach_small(df, both.where("_by_origin = 1").select(*day, "Origin", *names),
+                       [*day, "Origin"])
+    return attach_small(out, both.where("_by_origin = 0").select(*day, "Dest", "NrOfArrivals"),
+                        [*day, "Dest"])
+
+
+def prepare_flights(df: DataFrame, with_windows: bool = True) -> DataFrame:
+    """Raw flight strings -> typed feature columns: leakage columns dropped, per-day counts
+    (``add_day_counts``) attached if asked for, then the sentinel filter, integer casts, cyclic
+    encodings and the date."""
     out = clean.drop_leakage(df)
     if with_windows:
-        keep = clean.sentinel_condition(clean.REQUIRED_COLUMNS)
-        dep = {"NrOfDepartures": F.count_if(keep & F.col("Origin").isNotNull())}
-        if "CancellationCode" in out.columns:
-            dep.update({name: F.count_if(F.col("CancellationCode") == F.lit(code))
-                        for code, name in windows.CANCELLATION_CODES.items()})
-        out = windows.add_group_aggregates(out, windows.DAY_KEYS + ("Origin",), dep, method)
-        out = windows.add_group_aggregates(
-            out, windows.DAY_KEYS + ("Dest",),
-            {"NrOfArrivals": F.count_if(keep & F.col("Dest").isNotNull())}, method)
+        out = add_day_counts(out)
     out = clean.drop_na_sentinel(out)
     out = clean.add_int_columns(out, ["Year", "CRSElapsedTime", "DepDelay", "Distance",
                                       "TaxiOut", "ArrDelay"])
@@ -176,21 +204,36 @@ def prepare_flights(df: DataFrame, with_windows: bool = True,
     })
 
 
-def feature_stages(feature_set: str = "indexed", num_hash_features: int = 2000) -> list:
-    """Only the stages the chosen feature set needs."""
-    cols = FEATURE_SETS[feature_set]
+def row_wise_stages(cols) -> list:
+    """The custom transformers that the feature columns ``cols`` need."""
     stages: list = [TimeSplitter(inputCol=c) for c in TIME_COLUMNS
                     if any(f.startswith(c + "_") for f in cols)]
-    if any(c in cols for c in NOMINAL_INDEXES):
-        stages.append(string_indexer(NOMINAL_COLUMNS, "keep"))
-    if "NominalHashed" in cols:
-        stages.append(feature_hasher(NOMINAL_COLUMNS, num_hash_features))
     if "DistanceToHoliday" in cols:
         stages.append(HolidayDistance(inputCol="Date", outputCol="DistanceToHoliday"))
-    stages.append(assemble(cols))
     return stages
 
 
+def nominal_columns(cols) -> list[str]:
+    """Nominal source columns behind the feature columns ``cols``."""
+    if "NominalHashed" in cols:
+        return list(NOMINAL_COLUMNS)
+    return [c for c in NOMINAL_COLUMNS if f"{c}_Index" in cols]
+
+
+def nominal_stages(cols, num_hash_features: int = 2000) -> list:
+    """Indexer or hasher for the nominal features among ``cols``."""
+    names = nominal_columns(cols)
+    if "NominalHashed" in cols:
+        return [feature_hasher(names, num_hash_features)]
+    return [string_indexer(names, "keep")] if names else []
+
+
+def feature_stages(feature_set: str = "indexed", num_hash_features: int = 2000) -> list:
+    """Only the stages the chosen feature set needs, from prepared flights to ``features``."""
+    cols = FEATURE_SETS[feature_set]
+    return [*row_wise_stages(cols), *nominal_stages(cols, num_hash_features), assemble(cols)]
+
+
 def build_pipeline(feature_set: str = "indexed", estimator=None, **kw) -> Pipeline:
     """Feature stages (+ an estimator) as one MLlib ``Pipeline``: fit on the training split
     only, so test rows never shape the indexes."""

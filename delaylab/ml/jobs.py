@@ -1,10 +1,15 @@
 """End-to-end training jobs over a raw flight table (all-string columns as read from CSV).
 
-Each job is the same chain: ``prepare_flights`` (leakage dropped, cancellations counted,
-sentinels filtered, casts, encodings, per-day loads) -> reproducible hash split on the flight's
-identity -> a feature pipeline fitted on the training split only -> an estimator -> metrics on
-the test split. Each returns ``(metrics DataFrame, fitted model)``; the metrics table carries
-the training wall time.
+Each job is the same chain: ``prepare_flights`` (leakage dropped, per-day loads counted if the
+feature set uses them, sentinels filtered, casts, encodings), the row-wise transformers, and a
+reproducible hash split on the flight's identity. The result, pruned to the label, the numeric
+features and the nominal columns of the feature set, is persisted once: no later pass evaluates a
+row-wise expression again. Indexers are fitted on the training split only, then the estimator, and
+the metrics come from the test split. Each job returns ``(metrics DataFrame, fitted model)``.
+
+Missing feature values never remove a row: ``missing="error"`` (the default) fails on them,
+``missing="impute"`` fills the training split's mean and adds the number of filled values as one
+more feature (``NrOfMissing``).
 """
 
 from __future__ import annotations
@@ -21,40 +26,71 @@ from ..operators import sampling
 from ..operators._plan import spread
 from . import evaluate, features, models, tuning
 
-# The columns that identify one flight (the split key).
+# The columns that identify one flight (the split key), and the reference's grids.
 FLIGHT_KEY = ("Year", "Month", "DayofMonth", "UniqueCarrier", "FlightNum", "Origin", "CRSDepTime")
+GBT_GRID = {"stepSize": [0.1, 0.01], "maxDepth": [5, 7]}
+LINEAR_GRID = {"regParam": [0.1, 0.01], "fitIntercept": [True, False],
+               "elasticNetParam": [0.0, 1.0]}
+#: Depths 50 and 100 of the reference are beyond what Spark accepts; both become its limit, 30.
+FOREST_GRID = {"numTrees": [10, 20, 30], "maxDepth": [10, models.MAX_TREE_DEPTH]}
+MISSING = "NrOfMissing"
+
+
+class TrainingTable:
+    """The persisted table of a job: ``columns`` are the features to assemble."""
+
+    def __init__(self, data: DataFrame, columns: list[str]):
+        self.data, self.columns = data, columns
+        self.train = data.where(F.col("split") == 0)
+        self.test = data.where(F.col("split") == 1)
 
 
 @contextmanager
-def training_table(flights: DataFrame, with_windows: bool = True, sample: float | None = None,
-                   seed: int = 42):
-    """The prepared, labelled flight table, persisted for the job's many passes (indexer fits,
-    estimator iterations, scoring) and released afterwards. An under-split input is spread
-    over the cores first (a no-op for a large input). With ``sample`` only that fraction is
-    kept (after the per-day counts, which see every flight) and persisted."""
-    prepared = features.prepare_flights(spread(flights), with_windows=with_windows)
-    prepared = prepared.where(F.col(features.LABEL).isNotNull())
+def training_table(flights: DataFrame, columns, sample: float | None = None, seed: int = 42,
+                   weights=(0.7, 0.3), missing: str = "error", partitions: int | None = None,
+                   chunks: tuple[int, float] | None = None):
+    """Prepare, split and persist the ``columns`` of a feature set; released afterwards. With
+    ``sample`` only that fraction is kept (after the per-day counts, which see every flight);
+    ``chunks = (n, fraction)`` adds a disjoint ``chunk`` number; ``partitions`` deals the rows
+    over so many tasks (for an input of few splits)."""
+    if missing not in ("error", "impute"):
+        raise ValueError("missing must be 'error' or 'impute'")
+    columns = list(columns)
+    counts = any(c in features.COUNT_COLUMNS for c in columns)
+    out = features.prepare_flights(flights, with_windows=counts)
+    out = out.where(F.col(features.LABEL).isNotNull())
+    for stage in features.row_wise_stages(columns):
+        out = stage.transform(out)
+    nominal = features.nominal_columns(columns)
+    numeric = [c for c in columns if c in out.columns]
+    out = sampling.hash_split(out, list(FLIGHT_KEY), weights, seed, "split")
+    extra = ["split"]
+    if chunks:
+        out = sampling.disjoint_chunks(out, list(FLIGHT_KEY), *chunks, keep_unassigned=True)
+        extra.append("chunk")
+    out = out.select(features.LABEL, *numeric, *nominal, *extra)
     if sample:
-        prepared = sampling.bernoulli_sample(prepared, sample, seed)
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+        out = sampling.bernoulli_sample(out, sample, seed)
+    out = spread(out, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield prepared
+        if missing == "impute":
+            row = out.where("split = 0").agg(*[F.avg(c).alias(c) for c in numeric]).first()
+            lost = sum((F.col(c).isNull().cast("int") for c in numeric), F.lit(0))
+            filled = out.withColumn(MISSING, lost).withColumns(
+                {c: F.coalesce(F.col(c).cast("double"), F.lit(row[c] or 0.0)) for c in numeric})
+            yield TrainingTable(filled, [*columns, MISSING])
+        else:
+            yield TrainingTable(out, columns)
     finally:
-        prepared.unpersist()
-
+        out.unpersist()
 
-def split_flights(prepared: DataFrame, weights=(0.7, 0.3), seed: int = 42):
-    return sampling.split_frames(prepared, list(FLIGHT_KEY), weights, seed)
 
-
-def _metrics(scored: DataFrame, seconds: float, job: str, test: DataFrame | None = None
-             ) -> DataFrame:
-    """Test metrics; ``n`` is the rows scored and ``n_test`` the rows in the test split (the
-    difference are rows with a missing feature value, which the assembler skips)."""
+def _metrics(scored: DataFrame, seconds: float, job: str, test: DataFrame) -> DataFrame:
+    """Test metrics; ``n`` is the rows scored and ``n_test`` the rows in the test split (always
+    equal: no row is skipped)."""
     m = evaluate.regression_metrics(scored, "prediction", features.LABEL)
-    n_test = test.count() if test is not None else None
     return m.select(F.lit(job).alias("job"), "*",
-                    F.lit(n_test).cast("long").alias("n_test"),
+                    F.lit(test.count()).cast("long").alias("n_test"),
                     F.lit(float(seconds)).alias("train_seconds"))
 
 
@@ -64,109 +100,111 @@ def _freeze(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
-def run_job(flights: DataFrame, feature_set: str, estimator, job: str = "job",
-            prepared: DataFrame | None = None, stages=None):
-    """Prepare, split, fit ``feature_set`` + ``estimator`` on train, score test."""
-    if prepared is None:
-        with training_table(flights) as prepared:
-            return run_job(flights, feature_set, estimator, job, prepared, stages)
-    train, test = split_flights(prepared)
-    pipe = Pipeline(stages=stages) if stages is not None else features.build_pipeline(
-        feature_set, estimator)
+def indexed_stages(table: TrainingTable) -> tuple[list, int]:
+    """Fitted indexer and assembler of a table's features, and the ``maxBins`` its labels need."""
+    nominal = features.nominal_columns(table.columns)
+    if not nominal or "NominalHashed" in table.columns:
+        return [*features.nominal_stages(table.columns), features.assemble(table.columns)], 32
+    indexer = features.string_indexer(nominal, "keep").fit(table.train)
+    return [indexer, features.assemble(table.columns)], models.max_bins_of(indexer)
+
+
+def run_job(table: TrainingTable, stages, job: str = "job"):
+    """Fit the stages on the training split, score the test split."""
     t0 = time.perf_counter()
-    model = models.fit(pipe, train)
+    model = models.fit(Pipeline(stages=list(stages)), table.train)
     seconds = time.perf_counter() - t0
-    return _freeze(_metrics(model.transform(test), seconds, job, test)), model
+    return _freeze(_metrics(model.transform(table.test), seconds, job, table.test)), model
 
 
 def tree_run(flights: DataFrame, variant: str = "holiday", max_depth: int = 5,
-             max_bins: int | None = None):
+             max_bins: int | None = None, **kw):
     """Decision-tree experiments: ``hashed`` nominals (2000 slots), ``indexed`` nominals
     through a vector indexer, ``holiday_indexed`` (holiday distance + indexed nominals),
     ``holiday`` (holiday distance, no nominals)."""
-    job = f"tree_{variant}"
-    with training_table(flights, with_windows=False) as prepared:
-        if variant in ("hashed", "holiday"):
-            est = models.tree(max_depth=max_depth)
-            return run_job(flights, variant, est, job, prepared)
-        bins = max_bins or models.max_bins_for(prepared, features.NOMINAL_COLUMNS)
-        est = models.tree(max_depth=max_depth, max_bins=bins)
-        base = list(features.BASE_FEATURES)
-        stages = [features.TimeSplitter(inputCol=c) for c in features.TIME_COLUMNS]
-        stages.append(features.string_indexer(features.NOMINAL_COLUMNS, "keep"))
-        if variant == "holiday_indexed":
-            stages.append(features.HolidayDistance(inputCol="Date",
-                                                   outputCol="DistanceToHoliday"))
-            stages.append(features.assemble(base + ["DistanceToHoliday"]
-                                            + list(features.NOMINAL_INDEXES)))
-        else:
-            stages.append(features.assemble(features.NOMINAL_INDEXES, "nominal"))
-            stages.append(features.vector_indexer("nominal", "nominal_indexed",
-                                                  max_categories=2))
-            stages.append(features.assemble(base + ["nominal_indexed"]))
-        stages.append(est)
-        return run_job(flights, variant, est, job, prepared, stages)
-
-
-def boosted_job(flights: DataFrame, max_depth: int = 5, max_iter: int = 20,
-                feature_set: str = "indexed"):
-    """Gradient-boosted trees on indexed nominals (``maxBins`` from the cardinalities)."""
-    with training_table(flights) as prepared:
-        bins = models.max_bins_for(prepared, features.NOMINAL_COLUMNS)
+    columns = {"holiday_indexed": features.FEATURE_SETS["indexed"],
+               "indexed": features.BASE_FEATURES + features.NOMINAL_INDEXES}.get(
+        variant) or features.FEATURE_SETS[variant]
+    with training_table(flights, columns, **kw) as table:
+        stages, bins = indexed_stages(table)
+        if variant == "indexed":
+            rest = [c for c in table.columns if c not in features.NOMINAL_INDEXES]
+            stages = [stages[0], features.assemble(features.NOMINAL_INDEXES, "nominal"),
+                      features.vector_indexer("nominal", "nominal_indexed", max_categories=2),
+                      features.assemble([*rest, "nominal_indexed"])]
+        est = models.tree(max_depth=max_depth, max_bins=max_bins or bins)
+        return run_job(table, [*stages, est], f"tree_{variant}")
+
+
+def boosted_job(flights: DataFrame, max_depth: int = models.MAX_TREE_DEPTH, max_iter: int = 20,
+                feature_set: str = "indexed", **kw):
+    """Gradient-boosted trees on indexed nominals (``maxBins`` from the indexer's labels)."""
+    with training_table(flights, features.FEATURE_SETS[feature_set], **kw) as table:
+        stages, bins = indexed_stages(table)
         est = models.gbt(max_depth=max_depth, max_iter=max_iter, max_bins=bins)
-        return run_job(flights, feature_set, est, f"gbt_{feature_set}", prepared)
+        return run_job(table, [*stages, est], f"gbt_{feature_set}")
 
 
-def linear_hashed_job(flights: DataFrame, max_iter: int = 10, reg_param: float = 0.1,
-                      elastic_net: float = 0.8):
-    """Elastic-net linear regression on numeric features + hashed nominals."""
+def linear_hashed_job(flights: DataFrame, max_iter: int = 10, reg_param: float = 0.0,
+                      elastic_net: float = 0.8, **kw):
+    """Linear regression on numeric features + hashed nominals."""
     est = models.linear(max_iter=max_iter, reg_param=reg_param, elastic_net=elastic_net)
-    return run_job(flights, "hashed", est, "linear_hashed")
+    with training_table(flights, features.FEATURE_SETS["hashed"], **kw) as table:
+        return run_job(table, [*indexed_stages(table)[0], est], "linear_hashed")
 
 
 def tuned_job(flights: DataFrame, kind: str = "gbt", grid: dict | None = None,
-              feature_set: str = "windowed"):
-    """Window features + a tuned linear model or boosted trees (train/validation split 0.75
-    inside the training split), scored on the held-out test split."""
-    if kind == "gbt":
-        est = models.gbt(max_iter=10)
-        grid = grid or {"stepSize": [0.1, 0.01], "maxDepth": [5, 7]}
-    else:
-        est = models.linear()
-        grid = grid or {"regParam": [0.1, 0.3], "elasticNetParam": [0.0, 0.8],
-                        "fitIntercept": [True, False]}
-    pm = tuning.param_grid(est, grid)
-    with training_table(flights) as prepared:
-        train, test = split_flights(prepared)
+              feature_set: str | None = None, parallelism: int = 1, **kw):
+    """A tuned linear model (23 features with the cancellation counts) or boosted trees (10
+    features with the daily loads): train/validation split 0.75 inside the training split, scored
+    on the test split. Returns (metrics with the best model's parameters, best model, results,
+    report of the best model)."""
+    est = models.gbt() if kind == "gbt" else models.linear(max_iter=100, elastic_net=0.0)
+    pm = tuning.param_grid(est, grid or (GBT_GRID if kind == "gbt" else LINEAR_GRID))
+    name = feature_set or ("windowed" if kind == "gbt" else "cancellations")
+    with training_table(flights, features.FEATURE_SETS[name], **kw) as table:
+        stages = [*features.nominal_stages(table.columns), features.assemble(table.columns), est]
         results, best, seconds = tuning.train_validation(
-            features.build_pipeline(feature_set, est), pm, train)
-        metrics = _freeze(_metrics(best.transform(test), seconds, f"tuned_{kind}", test))
-    return metrics, best, results
+            Pipeline(stages=stages), pm, table.train, parallelism=parallelism, persist=False)
+        scored = best.transform(table.test)
+        stage = tuning.best_stage(best)
+        text = tuning.params_text({p: stage.getOrDefault(p.name) for p in pm[0]})
+        metrics = _freeze(_metrics(scored, seconds, f"tuned_{kind}", table.test)
+                          .withColumn("best_stage", F.lit(type(stage).__name__))
+                          .withColumn("best_params", F.lit(text)))
+        report = _freeze(evaluate.best_report(stage, scored, features.LABEL))
+    return metrics, best, results, report
 
 
 def forest_chunks_job(flights: DataFrame, grid: dict | None = None, n_chunks: int = 6,
-                      fraction: float = 0.1):
+                      fraction: float = 0.001, parallelism: int = 1, **kw):
     """Random forest, every grid point trained on each of five disjoint chunks and scored on
-    the sixth; returns the per-grid-point mean / variance / std table."""
-    with training_table(flights) as prepared:
-        chunked = sampling.disjoint_chunks(prepared, list(FLIGHT_KEY), n_chunks, fraction)
-        prep = Pipeline(stages=features.feature_stages("indexed")).fit(
-            chunked.where(F.col("chunk") < n_chunks - 1))
-        assembled = prep.transform(chunked).select("features", features.LABEL, "chunk")
-        bins = models.max_bins_for(prepared, features.NOMINAL_COLUMNS)
+    the sixth; returns the per-grid-point mean / variance / std table with the rows scored."""
+    with training_table(flights, features.FEATURE_SETS["indexed"], chunks=(n_chunks, fraction),
+                        **kw) as table:
+        chunked = table.data.where(F.col("chunk").isNotNull())
+        known = TrainingTable(chunked, table.columns)
+        known.train = chunked.where(F.col("chunk") < n_chunks - 1)
+        stages, bins = indexed_stages(known)
+        assembled = Pipeline(stages=stages).fit(known.train).transform(chunked).select(
+            "features", features.LABEL, "chunk")
         rf = models.forest(max_bins=bins)
-        pm = tuning.param_grid(rf, grid or {"numTrees": [10, 20], "maxDepth": [5, 10]})
-        return _freeze(tuning.chunked_selection(rf, pm, assembled, features.LABEL,
-                                                n_train=n_chunks - 1))
+        return _freeze(tuning.chunked_selection(
+            rf, tuning.param_grid(rf, grid or FOREST_GRID), assembled, features.LABEL,
+            n_train=n_chunks - 1, parallelism=parallelism))
 
 
 def forest_cv_job(flights: DataFrame, grid: dict | None = None, sample: float | None = None,
-                  folds: int = 3):
-    """Random forest under k-fold cross-validation of the whole pipeline."""
-    with training_table(flights, sample=sample) as data:
-        bins = models.max_bins_for(data, features.NOMINAL_COLUMNS)
+                  folds: int = 3, parallelism: int = 1, **kw):
+    """Random forest under k-fold cross-validation of indexers and estimator; returns the results
+    table (with the rows of the table validated on) and the best model."""
+    with training_table(flights, features.FEATURE_SETS["indexed"], sample=sample, **kw) as table:
+        bins = models.max_bins_for(table.data, features.nominal_columns(table.columns))
         rf = models.forest(max_bins=bins)
-        pm = tuning.param_grid(rf, grid or {"numTrees": [10, 20], "maxDepth": [5, 10]})
-        results, best, _ = tuning.cross_validate(features.build_pipeline("indexed", rf), pm,
-                                                 data, folds=folds, persist=False)
-        return results, best
+        pm = tuning.param_grid(rf, grid or FOREST_GRID)
+        stages = [*features.nominal_stages(table.columns), features.assemble(table.columns), rf]
+        results, best, _ = tuning.cross_validate(Pipeline(stages=stages), pm, table.data,
+                                                 folds=folds, parallelism=parallelism,
+                                                 persist=False)
+        n = table.data.count()
+        return _freeze(results.withColumn("n", F.lit(n).cast("long"))), best

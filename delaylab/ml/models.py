@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
-
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.sql import DataFrame
@@ -14,18 +12,20 @@ MAX_TREE_DEPTH = 30  # Spark rejects deeper trees
 
 def _depth(d: int) -> int:
     if d > MAX_TREE_DEPTH:
-        warnings.warn(f"maxDepth {d} is above Spark's limit; using {MAX_TREE_DEPTH}")
-        return MAX_TREE_DEPTH
+        raise ValueError(f"maxDepth {d} is above Spark's limit of {MAX_TREE_DEPTH}")
     return d
 
 
 def max_bins_for(df: DataFrame, cols, minimum: int = 32) -> int:
-    """``maxBins`` must exceed the largest category count (+1 for the ``keep`` bucket)."""
-    cols = list(cols)
-    if not cols:
-        return minimum
-    row = df.agg(*[F.count_distinct(c) for c in cols]).first()
-    return max(minimum, max(int(x) for x in row) + 1)
+    """``maxBins`` must exceed the largest category count (+1 for the ``keep`` bucket); one
+    distinct aggregation per column. With a fitted indexer use ``max_bins_of`` (no scan)."""
+    sizes = [df.select(c).where(F.col(c).isNotNull()).distinct().count() for c in cols]
+    return max([minimum, *[n + 1 for n in sizes]])
+
+
+def max_bins_of(indexer, minimum: int = 32) -> int:
+    """``maxBins`` from the labels of a fitted multi-column indexer."""
+    return max([minimum, *[len(labels) + 1 for labels in indexer.labelsArray]])
 
 
 def linear(features: str = "features", label: str = "ArrDelay_Int", max_iter: int = 10,
@@ -53,10 +53,7 @@ def gbt(features="features", label="ArrDelay_Int", max_iter=20, max_depth=5, max
 
 
 def fit(estimator, df: DataFrame, params=None):
-    """Fit with the training table spread over the cores (MLlib reads it once per iteration)."""
-    from ..operators._plan import spread
-
-    return estimator.fit(spread(df), params) if params is not None else estimator.fit(spread(df))
+    return estimator.fit(df, params) if params is not None else estimator.fit(df)
 
 
 def predict(model, df: DataFrame) -> DataFrame:

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import ensure_checkpoint_dir
 
 # Upper bound on what is ever broadcast. The small side is materialized and its size measured
 # (row count and string bytes) before the hint is given; beyond the bound the join stays a
@@ -19,13 +18,10 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage in the shared checkpoint folder named by the
-    session (``spark.checkpoint.dir``). Without one, persist (recomputable if an executor is
-    lost)."""
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out
+    session (``spark.checkpoint.dir``); a local session without one gets a scratch folder, a
+    cluster session without one is an error."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -66,23 +62,8 @@ def attach_small(big: DataFrame, small: DataFrame, keys, how: str = "left",
     return null_safe_join(big, small, keys, how)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give iterative or CPU-heavy work at least one partition per core.
-
-    A large input already has far more splits than cores and is returned unchanged (no
-    shuffle). An under-split input (one unsplittable file or row group) would run every pass
-    in a single task; it is spread round-robin once, which pays off when the data is read many
-    times (model fitting, tuning) or the per-row work is heavy.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        plan = df._jdf.queryExecution().executedPlan().toString()
-    except Exception:  # noqa: BLE001  (no JVM-side plan access: leave the layout alone)
-        return df
-    if "Exchange" in plan:
-        # already shuffled: the shuffle sets the partition count, and asking an adaptive
-        # plan for its RDD would run its shuffle stages ahead of time
-        return df
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal the rows round-robin over ``partitions`` tasks before iterative or CPU-heavy work on
+    an under-split input (one unsplittable file); ``None`` leaves the layout alone. The number is
+    the caller's choice, so that seeded estimators see the same layout on every cluster."""
+    return df if partitions is None else df.repartition(partitions)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.holidays import DISTANCE_HOLIDAYS, holidays_for_years
-from ._plan import attach_small
+from ._plan import attach_small, materialize
 
 
 def nearest_holiday_distance(df: DataFrame, date_col: str, out: str,
@@ -20,7 +20,8 @@ def nearest_holiday_distance(df: DataFrame, date_col: str, out: str,
                              names=DISTANCE_HOLIDAYS) -> DataFrame:
     """Add ``out`` = days from ``date_col`` to the nearest ``calendar`` date of the same year
     (or of the neighbouring years with ``span_years``). NULL date -> NULL."""
-    dates = df.select(F.col(date_col).alias("_d")).where(F.col("_d").isNotNull()).distinct()
+    dates = materialize(df.select(F.col(date_col).alias("_d")).where(F.col("_d").isNotNull())
+                        .distinct())
     y = F.year("_d")
     if calendar is None:
         calendar = holidays_for_years(dates.select(y.alias("year")), "year", tuple(names))

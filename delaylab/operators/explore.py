@@ -8,13 +8,13 @@ aggregatable, so hot keys collapse map-side before the shuffle.
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._util import as_list
-from ._plan import attach_small, materialize
+from ._plan import attach_small, materialize, null_safe_join
 
 
 def value_count(df: DataFrame, col: str) -> DataFrame:
@@ -89,6 +89,11 @@ def _quantile_names(probs) -> list[str]:
     return [f"q{int(round(p * 1000)):04d}" for p in probs]
 
 
+def _present(v):
+    """Neither NULL nor NaN: the one rule for missing values of quantiles and box statistics."""
+    return v.isNotNull() & ~F.isnan(v.cast("double"))
+
+
 def exact_quantiles(df: DataFrame, col: str, probs, by=None, names=None,
                     num_partitions: int | None = None, with_moments: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation (``percentile`` / ``quantile_cont``) per group.
@@ -116,7 +121,7 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=None, names=None,
     parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                                   2 * cores)
     v = F.col(col)
-    counts = df.where(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(*by, col).agg(
+    counts = df.where(_present(v)).groupBy(*by, col).agg(
         F.count(F.lit(1)).alias("_c"))
     # Materialized once: partition ids must be the same for the totals and the running sums,
     # and two evaluations of a range exchange may sample different bounds.
@@ -134,8 +139,7 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=None, names=None,
     ranked = ranged.withColumn("_run", F.sum("_c").over(w_in))
     if not by:
         offsets = F.broadcast(offsets)  # at most `parts` rows
-    ranked = ranked.join(offsets, ["_pid", *by], "inner") if by else ranked.join(
-        offsets, "_pid", "inner")
+    ranked = null_safe_join(ranked, offsets, ["_pid", *by], "inner")
     after = F.col("_off") + F.col("_run")
     before = after - F.col("_c")
     aggs = [F.max("_n").alias("n")]
@@ -173,7 +177,7 @@ def approx_quantiles(df: DataFrame, col: str, probs, by=None, names=None,
     names = list(names) if names else _quantile_names(probs)
     x = F.col(col).cast("double")
     q = F.percentile_approx(x, probs, accuracy)
-    out = df.where(x.isNotNull()).groupBy(*by).agg(F.count(x).alias("n"), q.alias("_q"))
+    out = df.where(_present(F.col(col))).groupBy(*by).agg(F.count(x).alias("n"), q.alias("_q"))
     return out.select(*by, "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
@@ -184,9 +188,10 @@ def box_stats(df: DataFrame, col: str, by=None, whisker: float = 1.5, exact: boo
 
     The quartiles come from ``exact_quantiles`` (or sketches with ``exact=False``); the
     per-group table (one row per group) is joined back by a measured broadcast for the second
-    pass.
+    pass. NULL and NaN values are left out of every statistic; NULL is a group like any other.
     """
     by = as_list(by)
+    df = df.where(_present(F.col(col)))
     quantiles = exact_quantiles if exact else approx_quantiles
     q = quantiles(df, col, [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"])
     iqr = F.col("q3") - F.col("q1")
@@ -224,15 +229,16 @@ def correlations(df: DataFrame, pairs) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols) -> DataFrame:
-    """All pairwise correlations of ``cols`` in long form, both orders and the diagonal."""
-    cols = list(cols)
-    upper = correlations(df, list(combinations(cols, 2)))
-    lower = upper.select(F.col("y").alias("x"), F.col("x").alias("y"), "corr")
-    diag = df.agg(*[F.corr(F.col(c).cast("double"), F.col(c).cast("double")).alias(f"d{i}")
-                    for i, c in enumerate(cols)]).select(F.inline(F.array(*[
-                        F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"),
-                                 F.col(f"d{i}").alias("corr")) for i, c in enumerate(cols)])))
-    return upper.unionByName(lower).unionByName(diag)
+    """All pairwise correlations of ``cols`` in long form, both orders and the diagonal, from one
+    aggregate."""
+    pairs = list(combinations_with_replacement(list(cols), 2))
+    wide = df.agg(*[F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"c{i}")
+                    for i, (x, y) in enumerate(pairs)])
+    entries = [(x, y, i) for i, (x, y) in enumerate(pairs)]
+    entries += [(y, x, i) for x, y, i in entries if x != y]
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"c{i}").alias("corr"))
+        for x, y, i in entries])))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:

@@ -8,37 +8,44 @@ SQL. Disjoint chunks are ranges of that number: one scan, no chain of anti-joins
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .._util import as_list
+from ._plan import null_safe_join
+
+#: Copies of a value regenerated by one row's expansion.
+COPY_BLOCK = 10_000
 
-HASH_MODULUS = 1_000_000
+HASH_BITS = 60
 
 
 def hash_unit(keys, seed: int = 42) -> Column:
-    """Integer in [0, 2^32) from the first 8 hex digits of ``md5("<seed>:<k1>:<k2>...")``."""
+    """Integer in [0, 2^60) from the first 15 hex digits of ``md5("<seed>:<k1>:<k2>...")``."""
     parts = [F.lit(str(seed))] + [F.coalesce(F.col(k).cast("string"), F.lit(""))
                                   for k in as_list(keys)]
-    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("bigint")
 
 
-def hash_bucket(keys, seed: int = 42, modulus: int = HASH_MODULUS) -> Column:
-    return hash_unit(keys, seed) % F.lit(modulus)
+def hash_bound(share: float) -> int:
+    """The bound below which a share of all hashes lies."""
+    return int(Fraction(share).limit_denominator(10 ** 15) * (1 << HASH_BITS))
 
 
 def hash_split(df: DataFrame, keys, weights=(0.7, 0.3), seed: int = 42,
                out: str = "split") -> DataFrame:
-    """Add ``out`` = index of the split each row falls into (weights are normalized)."""
-    total = float(sum(weights))
-    b = hash_bucket(keys, seed)
-    bounds, acc = [], 0.0
-    for w in weights[:-1]:
-        acc += w / total
-        bounds.append(int(round(acc * HASH_MODULUS)))
+    """Add ``out`` = index of the split each row falls into (weights are normalized); the whole
+    60-bit hash is compared with the bounds."""
+    total = sum(weights)
+    if any(w < 0 for w in weights) or total <= 0:
+        raise ValueError("weights must not be negative and must not all be zero")
+    h = hash_unit(keys, seed)
+    bounds = [hash_bound(sum(weights[:i + 1]) / total) for i in range(len(weights) - 1)]
     expr = F.lit(len(weights) - 1)
     for i in reversed(range(len(bounds))):
-        expr = F.when(b < F.lit(bounds[i]), F.lit(i)).otherwise(expr)
+        expr = F.when(h < F.lit(bounds[i]), F.lit(i)).otherwise(expr)
     return df.withColumn(out, expr)
 
 
@@ -54,9 +61,13 @@ def disjoint_chunks(df: DataFrame, keys, n: int = 6, fraction: float = 0.001, se
     interval, so chunks are disjoint, each about ``fraction`` of the rows."""
     if n * fraction > 1.0:
         raise ValueError("n * fraction must be at most 1")
-    width = int(round(fraction * HASH_MODULUS))
-    b = hash_bucket(keys, seed)
-    chunk = F.when(b < F.lit(n * width), F.floor(b / F.lit(width)).cast("int"))
+    width = hash_bound(fraction)
+    if width < 1:
+        raise ValueError("fraction is too small: its hash range is empty")
+    h = hash_unit(keys, seed)
+    chunk = F.when(h < F.lit(width), F.lit(0))
+    for i in range(1, n):
+        chunk = chunk.when(h < F.lit((i + 1) * width), F.lit(i))
     tagged = df.withColumn(out, chunk)
     return tagged if keep_unassigned else tagged.where(F.col(out).isNotNull())
 
@@ -84,10 +95,20 @@ def remaining_rows(df: DataFrame, used: DataFrame, distinct: bool = True) -> Dat
     collapsed by a partial aggregation; when it is small the anti join is a broadcast
     (map-side) join and the remaining rows' copies are collapsed map-side before the only
     shuffle, so a row repeated across a third of the table costs one row per task. With a
-    large used side AQE splits skewed anti-join partitions. EXCEPT ALL keeps multiplicities
-    (Spark counts rows per value, also partially aggregated)."""
-    if not distinct:
-        return df.exceptAll(used)
-    from ._plan import null_safe_join
-
-    return null_safe_join(df.dropDuplicates(), used.dropDuplicates(), df.columns, "left_anti")
+    large used side AQE splits skewed anti-join partitions. EXCEPT ALL counts the copies of each
+    value on both sides (partially aggregated) and regenerates the difference in blocks of
+    ``COPY_BLOCK`` copies that are dealt over the tasks, so one value with very many copies is
+    not one task's work."""
+    names = df.columns
+    if distinct:
+        return null_safe_join(df.dropDuplicates(), used.dropDuplicates(), names, "left_anti")
+    have = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_have"))
+    gone = used.groupBy(*names).agg(F.count(F.lit(1)).alias("_gone"))
+    left = null_safe_join(have, gone, names, "left").withColumn(
+        "_left", F.col("_have") - F.coalesce("_gone", F.lit(0))).where("_left > 0")
+    blocks = left.select(*names, "_left", F.explode(
+        F.expr(f"sequence(0, (_left - 1) div {COPY_BLOCK})")).alias("_block"))
+    dealt = blocks.repartition(*names, "_block")
+    return dealt.select(*names, F.explode(F.expr(
+        f"sequence(1, least({COPY_BLOCK}, _left - _block * {COPY_BLOCK}))")).alias("_copy")
+    ).drop("_copy")

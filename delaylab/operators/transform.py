@@ -34,12 +34,25 @@ def shifted_log(df: DataFrame, col: str, out: str, shift: float | None = None) -
     return df.withColumn(out, F.ln(F.col(col).cast("double") + F.lit(s)))
 
 
-def boxcox_profile(df: DataFrame, col: str, lambdas=None, shift: float = 0.0) -> DataFrame:
+def require_positive(df: DataFrame, col: str, shift: float) -> None:
+    """Box-Cox needs positive values; fail instead of leaving rows out of the likelihood."""
+    x = F.col(col).cast("double")
+    low = df.where(~F.isnan(x)).agg(F.min(x)).first()[0]
+    if low is not None and low + shift <= 0:
+        raise ValueError(f"{col} + {shift} has the value {low + shift}; Box-Cox needs positive "
+                         "values (shift=None shifts by 1 + abs(min))")
+
+
+def boxcox_profile(df: DataFrame, col: str, lambdas=None, shift: float = 0.0,
+                   partitions: int | None = None) -> DataFrame:
     """Profile log-likelihood (``lambda``, ``llf``) of the Box-Cox transform of ``col + shift``
-    over a grid of lambdas; ``llf = (l-1)*sum(ln x) - n/2 * ln(var_pop(y_l))``."""
+    over a grid of lambdas; ``llf = (l-1)*sum(ln x) - n/2 * ln(var_pop(y_l))``. NULL and NaN are
+    missing; a value that is not positive after the shift is an error. ``partitions`` deals an
+    under-split input over so many tasks."""
     lambdas = list(lambdas) if lambdas is not None else default_lambdas()
     x = F.col(col).cast("double") + F.lit(float(shift))
-    pos = spread(df.select(x.alias("_x")).where(F.col("_x") > 0))  # 2 x len(lambdas) pow per row
+    require_positive(df, col, shift)
+    pos = spread(df.select(x.alias("_x")).where(F.col("_x") > 0), partitions)
     aggs = [F.count(F.lit(1)).alias("_n"), F.sum(F.ln("_x")).alias("_sl")]
     aggs += [F.var_pop(boxcox_value(F.col("_x"), lam)).alias(f"_v{i}")
              for i, lam in enumerate(lambdas)]
@@ -52,20 +65,36 @@ def boxcox_profile(df: DataFrame, col: str, lambdas=None, shift: float = 0.0) ->
     return wide.select(F.inline(rows))
 
 
+#: Widest bracket searched for lambda.
+MAX_LAMBDA = 64.0
+
+
+def _peak(df: DataFrame, col: str, lambdas, shift: float) -> float | None:
+    prof = [r for r in boxcox_profile(df, col, lambdas, shift).collect()
+            if r["llf"] is not None and not math.isnan(r["llf"]) and not math.isinf(r["llf"])]
+    return max(prof, key=lambda r: (r["llf"], -r["lambda"]))["lambda"] if prof else None
+
+
 def best_lambda(df: DataFrame, col: str, lambdas=None, shift: float = 0.0,
                 refine: bool = True) -> float:
-    """Arg-max of the profile on the grid, then (``refine``) on a 20x finer grid around it.
-    Only the profile (one row per lambda) reaches the driver."""
-    lambdas = list(lambdas) if lambdas is not None else default_lambdas()
-    prof = boxcox_profile(df, col, lambdas, shift).collect()
-    best = max((r for r in prof if r["llf"] is not None and not math.isnan(r["llf"])),
-               key=lambda r: (r["llf"], -r["lambda"]))["lambda"]
-    if refine and len(lambdas) > 1:
-        step = abs(lambdas[1] - lambdas[0])
-        fine = [round(best - step + i * step / 10.0, 10) for i in range(21)]
-        prof = boxcox_profile(df, col, fine, shift).collect()
-        best = max((r for r in prof if r["llf"] is not None and not math.isnan(r["llf"])),
-                   key=lambda r: (r["llf"], -r["lambda"]))["lambda"]
+    """Arg-max of the profile on the grid, then (``refine``) on a 20x finer grid around it. While
+    the maximum is at an end of the grid the bracket is doubled; if it is still there at
+    ``MAX_LAMBDA``, or the column is constant, there is no maximum and that is an error. An
+    explicit ``lambdas`` grid is searched as given, but its ends must not win either. Only the
+    profile (one row per lambda) reaches the driver."""
+    grid = list(lambdas) if lambdas is not None else default_lambdas()
+    best, reach = _peak(df, col, grid, shift), 2.0
+    while lambdas is None and best in (grid[0], grid[-1]) and reach < MAX_LAMBDA:
+        reach *= 2
+        grid = default_lambdas(-reach, reach, reach / 20)
+        best = _peak(df, col, grid, shift)
+    if best is None or len(grid) > 1 and best in (grid[0], grid[-1]):
+        raise ValueError(f"the Box-Cox likelihood of {col} has no maximum inside "
+                         f"[{grid[0]}, {grid[-1]}]")
+    step = abs(grid[1] - grid[0]) if len(grid) > 1 else 0
+    while refine and step > 0.01:
+        best = _peak(df, col, [round(best - step + i * step / 10.0, 10) for i in range(21)], shift)
+        step /= 10
     return float(best)
 
 

@@ -92,7 +92,7 @@ def flights_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         s(F.year(d)).alias("Year"), s(F.month(d)).alias("Month"),
         s(F.dayofmonth(d)).alias("DayofMonth"), s(F.weekday(d) + 1).alias("DayOfWeek"),
-        na_if_cancelled(crs_dep + (F.col("l_quantity") % 7).cast("int")).alias("DepTime"),
+        na_if_cancelled(crs_dep + (F.col("l_quantity") % 5).cast("int")).alias("DepTime"),
         s(crs_dep).alias("CRSDepTime"), na_if_cancelled(crs_arr).alias("ArrTime"),
         s(crs_arr).alias("CRSArrTime"),
         F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("UniqueCarrier"),
@@ -128,7 +128,7 @@ FLIGHTS_FROM_LINEITEM_STRIPPED_SQL = f"""
 SELECT CAST(year(l_shipdate) AS VARCHAR) AS Year, CAST(month(l_shipdate) AS VARCHAR) AS Month,
        CAST(day(l_shipdate) AS VARCHAR) AS DayofMonth,
        CAST(isodow(l_shipdate) AS VARCHAR) AS DayOfWeek,
-       {_na_if_cancelled_sql(f"{_CRS_DEP} + CAST(trunc(l_quantity % 7) AS INTEGER)")} AS DepTime,
+       {_na_if_cancelled_sql(f"{_CRS_DEP} + CAST(trunc(l_quantity % 5) AS INTEGER)")} AS DepTime,
        CAST({_CRS_DEP} AS VARCHAR) AS CRSDepTime, CAST({_CRS_ARR} AS VARCHAR) AS CRSArrTime,
        l_returnflag || l_linestatus AS UniqueCarrier,
        CAST(l_partkey % 500 AS VARCHAR) AS FlightNum,

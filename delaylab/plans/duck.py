@@ -93,4 +93,4 @@ def r6(x: str, digits: int = 6) -> str:
 def hash_unit(keys: list[str], seed: int = 42) -> str:
     parts = " || ':' || ".join([f"'{seed}'"] + [f"coalesce(CAST({k} AS VARCHAR), '')"
                                                 for k in keys])
-    return f"CAST(('0x' || substr(md5({parts}), 1, 8)) AS BIGINT)"
+    return f"CAST(('0x' || substr(md5({parts}), 1, 15)) AS BIGINT)"

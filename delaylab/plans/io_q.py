@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
+from ..functions.encode import MONTH_PERIOD
 from ..ml import evaluate, features, models
-from ..operators import explore
+from ..operators import clean, explore
 from ..session import scratch_path
 from ..sources import flights, sinks
-from .common import FLIGHTS_FROM_LINEITEM_STRIPPED_SQL, t
-from .ml_q import _GROUP_MEAN_SQL, LABEL, _lineitem_ml, _rounded_metrics
+from . import duck
+from .common import FLIGHTS_FROM_LINEITEM_STRIPPED_SQL, r6, t
+from .ml_q import _GROUP_MEAN_SQL, LABEL, _lineitem_ml, _rounded_metrics, hhmm_sql
 from .registry import register
 
 _ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
@@ -27,7 +29,7 @@ def _typed_orders(df):
                      "o_orderpriority")
 
 
-@register("csv_round_trip", ("SNK1", "SRC1", "SRC2"), oracle=f"""
+@register("csv_round_trip", ("SNK1", "SRC2"), oracle=f"""
 SELECT {", ".join(_ORDER_COLS)} FROM orders""")
 def q_csv_round_trip(spark, sf_dir):
     path = scratch_path(spark, "orders-csv")
@@ -37,22 +39,26 @@ def q_csv_round_trip(spark, sf_dir):
 
 
 @register("csv_dropmalformed", ("SRC1",), oracle=f"""
-SELECT {", ".join(_ORDER_COLS)} FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0""")
+SELECT {", ".join(_ORDER_COLS)}, count(*) OVER () AS n_rows
+FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0""")
 def q_csv_dropmalformed(spark, sf_dir):
     """Lines with a field missing (key % 11 = 0) or an extra field (key % 13 = 0) are written
-    as text, then read in DROPMALFORMED mode: those rows are dropped however the table is
-    projected."""
+    as text, then read by the library's reader: those rows are dropped however the table is
+    projected (``n_rows`` counts them over one column)."""
     o = t(spark, sf_dir, "orders").select(*_ORDER_COLS)
     k = F.col("o_orderkey")
     fields = [F.col(c).cast("string") for c in _ORDER_COLS]
     line = (F.when(k % 11 == 0, F.concat_ws(",", *fields[:-1]))
             .when(k % 13 == 0, F.concat_ws(",", *fields, F.lit("extra")))
             .otherwise(F.concat_ws(",", *fields)))
+    # one column of whole lines, named by the header line and written with a separator that no
+    # line has: every file starts with the header, as the reader asks of every file
     path = scratch_path(spark, "orders-malformed")
-    o.select(line.alias("value")).write.mode("overwrite").text(path)
-    reader = (spark.read.schema(flights.string_schema(_ORDER_COLS)).option("header", False)
-              .option("mode", "DROPMALFORMED").option("columnPruning", False))
-    return _typed_orders(reader.csv(path))
+    (o.select(line.alias(",".join(_ORDER_COLS))).write.mode("overwrite")
+     .option("header", True).option("sep", "\u0001").csv(path))
+    back = flights.read_flights(spark, path, columns=_ORDER_COLS)
+    return _typed_orders(back).withColumn("n_rows", F.lit(back.select("o_custkey").count())
+                                          .cast("long"))
 
 
 @register("results_round_trip", ("SNK3", "SNK4"), oracle=_GROUP_MEAN_SQL)
@@ -61,12 +67,15 @@ def q_results_round_trip(spark, sf_dir):
     scored = explore.group_mean_column(li, ["l_returnflag"], LABEL, "prediction")
     path = scratch_path(spark, "results")
     sinks.write_results(evaluate.regression_metrics(scored, "prediction", LABEL), path)
-    view = f"results_{abs(hash(path)) % 10**8}"
+    view = "results_round_trip"
     sinks.register_view(spark.read.parquet(path), view)
-    return _rounded_metrics(spark.sql(f"SELECT * FROM {view}"))
+    out = _rounded_metrics(spark.sql(f"SELECT * FROM {view}"))
+    spark.catalog.dropTempView(view)
+    return out
 
 
-@register("model_round_trip", ("SNK2", "EST5"))
+@register("model_round_trip", ("SNK2", "EST5"), oracle="""
+SELECT l_orderkey, l_linenumber, true AS same FROM lineitem""")
 def q_model_round_trip(spark, sf_dir):
     li = _lineitem_ml(spark, sf_dir).withColumn(
         "hhmm", (F.col("l_linenumber") * 100 + F.col("l_suppkey") % 60).cast("string"))
@@ -75,12 +84,14 @@ def q_model_round_trip(spark, sf_dir):
               features.assemble(["l_quantity", "l_discount", "hhmm_Hours",
                                  "l_returnflag_Index", "l_linestatus_Index"]),
               models.tree(label=LABEL, max_depth=4)]
-    stages[2].setHandleInvalid("error")  # every input is valid: no row may be skipped
     model = models.fit(Pipeline(stages=stages), li)
     path = scratch_path(spark, "model")
     sinks.save_model(model, path)
     loaded = sinks.load_model(path)
-    return loaded.transform(li).select("l_orderkey", "l_linenumber", "prediction")
+    both = models.predict(loaded, models.predict(model, li).select(
+        *li.columns, F.col("prediction").alias("saved")))
+    return both.select("l_orderkey", "l_linenumber",
+                       (F.col("prediction") == F.col("saved")).alias("same"))
 
 
 @register("csv_convert_stripped", ("SRC1", "PRJ1", "SNK1"),
@@ -95,7 +106,22 @@ def q_csv_convert_stripped(spark, sf_dir):
     return flights.convert(spark, raw, scratch_path(spark, "flights-stripped"))
 
 
-@register("stream_row_features", ("SRC1", "PRJ1", "FIL1", "SCA1", "SCA2", "SCA3", "SCA6"))
+_STREAM_SQL = f"""
+SELECT Year, Month, DayofMonth, DayOfWeek, Origin, Dest, FlightNum, TailNum,
+       {", ".join(f"TRY_CAST({c} AS INTEGER) AS {c}_Int" for c in (
+           "CRSElapsedTime", "DepDelay", "Distance", "TaxiOut", "ArrDelay"))},
+       {duck.r6(duck.cyc("TRY_CAST(Month AS INTEGER)", MONTH_PERIOD))} AS Month_sin,
+       {", ".join(f"{duck.r6(duck.cyc(hhmm_sql(c)[i], p))} AS {c}_{n}" for c in (
+           "DepTime", "CRSDepTime", "CRSArrTime") for i, (n, p) in enumerate(
+           (("Hours", 24.0), ("Minutes", 60.0))))},
+       {duck.holiday_distance("Date")} AS DistanceToHoliday
+FROM (SELECT *, make_date(CAST(Year AS BIGINT), CAST(Month AS BIGINT), CAST(DayofMonth AS BIGINT))
+             AS Date FROM ({FLIGHTS_FROM_LINEITEM_STRIPPED_SQL}) f
+      WHERE {" AND ".join(f"{c} <> 'NA'" for c in clean.REQUIRED_COLUMNS)}) g"""
+
+
+@register("stream_row_features", ("SRC1", "PRJ1", "FIL1", "SCA1", "SCA2", "SCA3", "SCA6"),
+          oracle=_STREAM_SQL)
 def q_stream_row_features(spark, sf_dir):
     """The row-wise feature steps run as a Structured Streaming query: flight CSV files (from
     lineitem) are picked up from a folder, processed in micro-batches and appended to a parquet
@@ -110,4 +136,10 @@ def q_stream_row_features(spark, sf_dir):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(sink)
+    out = spark.read.parquet(sink)
+    sines = ["Month_sin"] + [f"{c}_{n}" for c in ("DepTime", "CRSDepTime", "CRSArrTime")
+                             for n in ("Hours", "Minutes")]
+    return out.select("Year", "Month", "DayofMonth", "DayOfWeek", "Origin", "Dest", "FlightNum",
+                      "TailNum", "CRSElapsedTime_Int", "DepDelay_Int", "Distance_Int",
+                      "TaxiOut_Int", "ArrDelay_Int", *[r6(c).alias(c) for c in sines],
+                      "DistanceToHoliday")

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from ..ml import evaluate, features, models, tuning
 from ..operators import explore, sampling
+from ..operators._plan import attach_small
+from ..session import scratch_path
+from ..sources.sinks import write_results
 from . import duck
 from .common import r6, t
 from .registry import register
@@ -64,11 +66,24 @@ def q_string_index_keep(spark, sf_dir):
     return model.transform(e)
 
 
-@register("feature_hash", "FEA3")
+@register("feature_hash", "FEA3", oracle="""
+SELECT l_orderkey, l_linenumber, true AS slots_fit, true AS same_as_first FROM lineitem""")
 def q_feature_hash(spark, sf_dir):
+    """Facts that hold whatever the hash function: one to three slots of value 1 to 3 that sum to
+    three, inside the hash space, and equal inputs have equal slots (compared with the first row
+    of the same inputs)."""
     li = _lineitem_ml(spark, sf_dir)
-    h = features.feature_hasher(["l_returnflag", "l_linestatus", "l_suppkey"], 2000, "hashed")
-    return h.transform(li).select("l_orderkey", "l_linenumber", "hashed")
+    names = ["l_returnflag", "l_linestatus", "l_suppkey"]
+    v = features.feature_hasher(names, 2000, "hashed").transform(li).select(
+        "l_orderkey", "l_linenumber", *names, vector_to_array("hashed").alias("v"))
+    used = F.filter("v", lambda x: x != 0)
+    v = v.select("l_orderkey", "l_linenumber", *names, F.xxhash64("v").alias("slots"), (
+        (F.size("v") == 2000) & F.size(used).between(1, 3)
+        & (F.aggregate(used, F.lit(0.0), lambda a, x: a + x) == 3)).alias("slots_fit"))
+    seen = v.groupBy(*names).agg(F.min("slots").alias("first"))
+    return attach_small(v, seen, names).select(
+        "l_orderkey", "l_linenumber", "slots_fit",
+        (F.col("slots") == F.col("first")).alias("same_as_first"))
 
 
 @register("hash_sizes", "FEA4", oracle="""
@@ -106,7 +121,14 @@ def q_one_hot(spark, sf_dir):
     return out.select("event_id", vector_to_array("event_type_Index_Vec").alias("event_type_Vec"))
 
 
-@register("vector_index", "FEA6")
+@register("vector_index", "FEA6", oracle=f"""
+WITH c AS (SELECT l_returnflag, l_linestatus, count(*) OVER (PARTITION BY l_returnflag) AS n_flag,
+                  count(*) OVER (PARTITION BY l_linestatus) AS n_status,
+                  l_orderkey, l_linenumber, l_tax FROM lineitem),
+i AS (SELECT *, dense_rank() OVER (ORDER BY n_flag DESC, l_returnflag) - 1 AS flag,
+             dense_rank() OVER (ORDER BY n_status DESC, l_linestatus) - 1 AS status FROM c)
+SELECT l_orderkey, l_linenumber,
+       CAST([flag, status, l_tax] AS DOUBLE[]) AS nominal_indexed FROM i""")
 def q_vector_index(spark, sf_dir):
     li = _lineitem_ml(spark, sf_dir)
     stages = [features.string_indexer(NOMINAL, "keep"),
@@ -117,15 +139,16 @@ def q_vector_index(spark, sf_dir):
                       vector_to_array("nominal_indexed").alias("nominal_indexed"))
 
 
-def _hhmm_duck():
-    tt = "TRY_CAST(hhmm AS INTEGER)"
+def hhmm_sql(col):
+    """Hour and minute of an hhmm text in DuckDB, NULL for invalid clock values."""
+    tt = f"TRY_CAST({col} AS INTEGER)"
     valid = f"({tt} >= 0 AND {tt} // 100 <= 24 AND {tt} % 100 <= 59)"
     return (f"CASE WHEN {valid} THEN {tt} // 100 END", f"CASE WHEN {valid} THEN {tt} % 100 END")
 
 
-@register("custom_stage_features", ("FEA8", "FEA9", "FEA10", "FEA11"), oracle=f"""
-SELECT event_id, {duck.r6(duck.cyc(_hhmm_duck()[0], 24.0))} AS hhmm_Hours,
-       {duck.r6(duck.cyc(_hhmm_duck()[1], 60.0))} AS hhmm_Minutes,
+@register("custom_stage_features", ("FEA8", "FEA9", "FEA11"), oracle=f"""
+SELECT event_id, {duck.r6(duck.cyc(hhmm_sql('hhmm')[0], 24.0))} AS hhmm_Hours,
+       {duck.r6(duck.cyc(hhmm_sql('hhmm')[1], 60.0))} AS hhmm_Minutes,
        {duck.holiday_distance("Date")} AS DistanceToHoliday
 FROM (SELECT event_id, CAST(hour(ts) * 100 + minute(ts) AS VARCHAR) AS hhmm,
              CAST(ts AS DATE) AS Date FROM events) e""")
@@ -142,9 +165,8 @@ def q_custom_stage_features(spark, sf_dir):
 
 def _linear_model(spark, sf_dir):
     li = t(spark, sf_dir, "lineitem")
-    a = features.assemble(["l_quantity"], "features", "skip").transform(li)
-    lr = LinearRegression(featuresCol="features", labelCol=LABEL, regParam=0.0, solver="normal")
-    return a, lr.fit(a)
+    a = features.assemble(["l_quantity"], "features").transform(li)
+    return a, models.fit(models.linear(label=LABEL, solver="normal"), a)
 
 
 @register("linear_fit", ("EST1", "EVA3"), oracle=f"""
@@ -170,7 +192,7 @@ SELECT l_orderkey, l_linenumber, round({LABEL} - (a + b * l_quantity), 2) AS res
 FROM lineitem, c""")
 def q_residuals(spark, sf_dir):
     a, model = _linear_model(spark, sf_dir)
-    r = evaluate.residuals(model.transform(a), "prediction", LABEL)
+    r = evaluate.residuals(models.predict(model, a), "prediction", LABEL)
     return r.select("l_orderkey", "l_linenumber", F.round("residual", 2).alias("residual"))
 
 
@@ -203,6 +225,57 @@ def q_tree_summary(spark, sf_dir):
     return evaluate.model_summary(model.stages[-1], max_nodes=30)
 
 
+_STATUS_MEAN = f"""SELECT l_orderkey, l_linenumber,
+  round(avg({LABEL}) OVER (PARTITION BY l_linestatus), 4) AS prediction FROM lineitem"""
+
+
+def _status_mean(spark, sf_dir, estimator):
+    """Predictions of a model on one two-valued feature: the mean of each value's rows."""
+    li = _lineitem_ml(spark, sf_dir)
+    stages = [features.string_indexer(["l_linestatus"], "error"),
+              features.assemble(["l_linestatus_Index"]), estimator]
+    model = models.fit(Pipeline(stages=stages), li)
+    return models.predict(model, li).select(
+        "l_orderkey", "l_linenumber", F.round("prediction", 4).alias("prediction"))
+
+
+@register("tree_group_means", ("EST2", "EST5"), oracle=_STATUS_MEAN)
+def q_tree_group_means(spark, sf_dir):
+    return _status_mean(spark, sf_dir, models.tree(label=LABEL, max_depth=1))
+
+
+@register("forest_group_means", ("EST3", "EST5"), oracle=_STATUS_MEAN)
+def q_forest_group_means(spark, sf_dir):
+    """One tree on all rows, without bootstrap."""
+    return _status_mean(spark, sf_dir, models.forest(
+        label=LABEL, num_trees=1, max_depth=1, bootstrap=False, subsamplingRate=1.0))
+
+
+@register("gbt_group_means", ("EST4", "EST5"), oracle=_STATUS_MEAN)
+def q_gbt_group_means(spark, sf_dir):
+    """One boosting iteration."""
+    return _status_mean(spark, sf_dir, models.gbt(label=LABEL, max_iter=1, max_depth=1))
+
+
+@register("tree_importances", ("EVA4", "EVA5"), oracle="""
+SELECT 'l_linestatus_Index' AS feature, 1.0::DOUBLE AS importance, 3 AS num_nodes, 1 AS depth,
+       true AS printed
+UNION ALL SELECT 'constant', 0.0, 3, 1, true""")
+def q_tree_importances(spark, sf_dir):
+    """A constant feature has no importance, the only informative one has all of it; a tree of
+    three nodes is printed."""
+    li = _lineitem_ml(spark, sf_dir).withColumn("constant", F.lit(1.0))
+    stages = [features.string_indexer(["l_linestatus"], "error"),
+              features.assemble(["l_linestatus_Index", "constant"]),
+              models.tree(label=LABEL, max_depth=1)]
+    model = models.fit(Pipeline(stages=stages), li)
+    rep = evaluate.model_summary(tuning.best_stage(model), max_nodes=30).first()
+    imp = evaluate.feature_importances(tuning.best_stage(model), model.transform(li))
+    return imp.select("feature", "importance", F.lit(rep["num_nodes"]).alias("num_nodes"),
+                      F.lit(rep["depth"]).alias("depth"),
+                      F.lit(bool(rep["tree"])).alias("printed"))
+
+
 @register("tree_fit", ("EST2", "EST5", "EVA4"))
 def q_tree_fit(spark, sf_dir):
     est = models.tree(label=LABEL, max_depth=6)
@@ -245,25 +318,123 @@ def q_regression_metrics(spark, sf_dir):
     return _rounded_metrics(evaluate.regression_metrics(scored, "prediction", LABEL))
 
 
-@register("tune_cv", ("TUN1", "TUN2", "TUN5", "TUN6", "EVA6"))
+_U = duck.hash_unit(["l_orderkey", "l_linenumber"], 42)
+_THIRD, _QUARTERS = sampling.hash_bound(1 / 3), sampling.hash_bound(0.75)
+_TENTH = sampling.hash_bound(0.1)
+
+
+def _regr(train: str, test: str) -> str:
+    """RMSE on ``test`` rows of the line through quantity fitted on ``train`` rows, in DuckDB."""
+    return f"""(SELECT sqrt(avg(pow({LABEL} - (a + b * l_quantity), 2))) FROM h,
+  (SELECT regr_intercept({LABEL}, l_quantity) AS a, regr_slope({LABEL}, l_quantity) AS b
+   FROM h WHERE {train}) f WHERE {test})"""
+
+
+def _tagged(spark, sf_dir, **kw):
+    li = t(spark, sf_dir, "lineitem")
+    return features.assemble(["l_quantity"]).transform(li), models.linear(label=LABEL, **kw)
+
+
+@register("tune_cv_folds", ("TUN1", "TUN2", "TUN5", "TUN6", "EVA6"), oracle=f"""
+WITH h AS (SELECT {LABEL}, l_quantity, CAST(least({_U} // {_THIRD}, 2) AS INTEGER) AS f
+           FROM lineitem),
+r AS (SELECT unnest([{", ".join(_regr(f"f <> {i}", f"f = {i}") for i in range(3))}]) AS rmse)
+SELECT g.grid_point, g.params, round(avg(rmse), 3) AS mean_rmse,
+       round(stddev_pop(rmse), 3) AS std_rmse, true AS timed, 'LinearRegressionModel' AS best_stage
+FROM r, (VALUES (0, 'maxIter=5'), (1, 'maxIter=10')) g(grid_point, params)
+GROUP BY g.grid_point, g.params""")
+def q_tune_cv_folds(spark, sf_dir):
+    """Cross-validation over folds that the md5 hash names: one feature, exact solver, so each
+    grid point is the regression line itself."""
+    data, lr = _tagged(spark, sf_dir, solver="normal")
+    data = sampling.hash_split(data, ["l_orderkey", "l_linenumber"], (1, 1, 1), 42, "fold")
+    grid = tuning.param_grid(lr, {"maxIter": [5, 10]})
+    results, best, _ = tuning.cross_validate(lr, grid, data, LABEL, folds=3, fold_col="fold")
+    return results.select(
+        "grid_point", "params", F.round("mean_rmse", 3).alias("mean_rmse"),
+        F.round("std_rmse", 3).alias("std_rmse"), (F.col("train_seconds") > 0).alias("timed"),
+        F.lit(type(tuning.best_stage(best)).__name__).alias("best_stage"))
+
+
+@register("tune_tvs_hash", ("TUN1", "TUN3", "TUN6", "EVA6"), oracle=f"""
+WITH h AS (SELECT {LABEL}, l_quantity, {_U} < {_QUARTERS} AS train FROM lineitem)
+SELECT 0 AS grid_point, 'solver=normal' AS params,
+       round({_regr("train", "NOT train")}, 3) AS rmse, true AS timed,
+       'LinearRegressionModel' AS best_stage""")
+def q_tune_tvs_hash(spark, sf_dir):
+    """Train/validation tuning with a hash-based validation set."""
+    data, lr = _tagged(spark, sf_dir)
+    data = sampling.hash_split(data, ["l_orderkey", "l_linenumber"], (0.75, 0.25), 42, "part")
+    grid = tuning.param_grid(lr, {"solver": ["normal"]})
+    results, best, _ = tuning.train_validation(lr, grid, data, LABEL, split_col="part")
+    return results.select(
+        "grid_point", "params", F.round("rmse", 3).alias("rmse"),
+        (F.col("train_seconds") > 0).alias("timed"),
+        F.lit(type(tuning.best_stage(best)).__name__).alias("best_stage"))
+
+
+@register("chunked_linear", ("TUN4", "TUN5", "SAM4", "SAM5", "EVA6", "SNK3"), oracle=f"""
+WITH h AS (SELECT {LABEL}, l_quantity, CAST({_U} // {_TENTH} AS INTEGER) AS c FROM lineitem
+           WHERE {_U} < {6 * _TENTH}),
+r AS (SELECT unnest([{", ".join(_regr(f"c = {i}", "c = 5") for i in range(5))}]) AS rmse)
+SELECT 0 AS grid_point, 'solver=normal' AS params, round(avg(rmse), 3) AS mean_rmse,
+       round(var_pop(rmse), 2) AS var_rmse, round(stddev_pop(rmse), 3) AS std_rmse,
+       count(*) AS n_chunks, true AS timed, (SELECT count(*) FROM h WHERE c = 5) AS n FROM r""")
+def q_chunked_linear(spark, sf_dir):
+    """A line fitted on each of five hash chunks and scored on the sixth; the results table goes
+    through the results sink."""
+    data, lr = _tagged(spark, sf_dir)
+    chunked = sampling.disjoint_chunks(data, ["l_orderkey", "l_linenumber"], n=6, fraction=0.1)
+    results = tuning.chunked_selection(lr, tuning.param_grid(lr, {"solver": ["normal"]}), chunked,
+                                       LABEL, parallelism=2)
+    path = scratch_path(spark, "tuning-results")
+    write_results(results, path)
+    return spark.read.parquet(path).select(
+        "grid_point", "params", F.round("mean_rmse", 3).alias("mean_rmse"),
+        F.round("var_rmse", 2).alias("var_rmse"), F.round("std_rmse", 3).alias("std_rmse"),
+        "n_chunks", (F.col("train_seconds") > 0).alias("timed"), "n")
+
+
+@register("feature_errors", ("FEA10",), oracle="""
+SELECT 'hhmm_Hours' AS stage, true AS rejected
+UNION ALL SELECT 'DistanceToHoliday', true UNION ALL SELECT 'missing feature', true""")
+def q_feature_errors(spark, sf_dir):
+    """Wrong input types and missing feature values are errors, not NULLs or lost rows."""
+    li = t(spark, sf_dir, "lineitem")
+    gaps = li.select(F.when(F.col("l_linenumber") > 1, F.col("l_tax")).alias("x"))
+    cases = {"hhmm_Hours": lambda: features.TimeSplitter(inputCol="l_tax").transform(li),
+             "DistanceToHoliday": lambda: features.HolidayDistance(
+                 inputCol="l_tax", outputCol="d").transform(li),
+             "missing feature": lambda: features.assemble(["x"]).transform(gaps).agg(
+                 F.max(F.size(vector_to_array("features")))).collect()}
+    rows = []
+    for name, run in cases.items():
+        try:
+            run()
+            rows.append((name, False))
+        except Exception:  # noqa: BLE001  (TypeError of the stage, or Spark's task error)
+            rows.append((name, True))
+    return spark.createDataFrame(rows, "stage string, rejected boolean")
+
+
+@register("tune_cv", ("TUN1", "TUN2", "TUN5", "EVA6"))
 def q_tune_cv(spark, sf_dir):
     li = _lineitem_ml(spark, sf_dir)
     lr = models.linear(label=LABEL, max_iter=10)
     stages = [features.string_indexer(NOMINAL, "keep"),
               features.assemble([*NUMERIC, *[c + "_Index" for c in NOMINAL]]), lr]
     grid = tuning.param_grid(lr, {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 0.8]})
-    results, best, _ = tuning.cross_validate(Pipeline(stages=stages), grid, li, LABEL, folds=3)
-    tuning.best_stage(best)
-    return results
+    return tuning.cross_validate(Pipeline(stages=stages), grid, li, LABEL, folds=3,
+                                 parallelism=4)[0]
 
 
-@register("tune_tvs", ("TUN1", "TUN3", "TUN6", "EVA6"))
+@register("tune_tvs", ("TUN1", "TUN3", "EVA6"))
 def q_tune_tvs(spark, sf_dir):
     li = _lineitem_ml(spark, sf_dir)
-    g = models.gbt(label=LABEL, max_iter=5)
-    grid = tuning.param_grid(g, {"stepSize": [0.1, 0.3], "maxDepth": [3, 4]})
-    results, best, _ = tuning.train_validation(Pipeline(stages=_tree_stages(g)), grid, li, LABEL)
-    return results
+    g = models.gbt(label=LABEL)
+    grid = tuning.param_grid(g, {"stepSize": [0.1, 0.01], "maxDepth": [5, 7]})
+    return tuning.train_validation(Pipeline(stages=_tree_stages(g)), grid, li, LABEL,
+                                   parallelism=4)[0]
 
 
 @register("chunked_selection", ("TUN4", "TUN5", "SAM4", "SAM5"))

@@ -68,12 +68,13 @@ def convert(spark: SparkSession, src, dst: str, drop=LEAKAGE_COLUMNS,
     return read_flights(spark, dst)
 
 
-def union_by_name(frames) -> DataFrame:
-    """UNION ALL of frames matched by column name (missing columns become NULL)."""
+def union_by_name(frames, allow_missing: bool = False) -> DataFrame:
+    """UNION ALL of frames matched by column name; frames with other columns are an error, with
+    ``allow_missing`` their missing columns become NULL."""
     frames = list(frames)
     out = frames[0]
     for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
+        out = out.unionByName(f, allowMissingColumns=allow_missing)
     return out
 
 

@@ -3,8 +3,8 @@
 Cleaning, integer casts, cyclic and hhmm encodings and the holiday distance are all row-wise
 expressions, so the same functions apply to a streaming DataFrame unchanged. The per-day
 counts (WIN1-3) are not offered here: they are unordered non-time windows, which Structured
-Streaming rejects. The sink is parquet with its checkpoint under the session's shared
-checkpoint folder, so a restarted query resumes exactly once from its last batch.
+Streaming rejects. The sink is parquet; the caller names the checkpoint folder, and a query restarted
+with the same folder resumes exactly once from its last batch.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from ..functions.encode import (DAY_OF_MONTH_PERIOD, DAY_OF_WEEK_PERIOD, MONTH_P
                                 cyclic_sin, flight_date, hhmm_hours, hhmm_minutes)
 from ..functions.holidays import holiday_distance
 from ..operators import clean
-from ..session import scratch_path
 from ..sources.flights import FLIGHT_COLUMNS, string_schema
 
 TIME_COLUMNS = ("DepTime", "CRSDepTime", "CRSArrTime")
@@ -25,8 +24,9 @@ TIME_COLUMNS = ("DepTime", "CRSDepTime", "CRSArrTime")
 def read_flight_stream(spark: SparkSession, folder: str, columns=FLIGHT_COLUMNS,
                        max_files_per_trigger: int | None = None) -> DataFrame:
     """New headered CSV files in ``folder`` as a stream of all-string rows (malformed rows
-    dropped, as in the batch reader)."""
+    dropped and headers checked against ``columns``, as in the batch reader)."""
     r = (spark.readStream.schema(string_schema(columns)).option("header", True)
+         .option("enforceSchema", False)
          .option("mode", "DROPMALFORMED").option("columnPruning", False))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -51,12 +51,16 @@ def row_features(df: DataFrame) -> DataFrame:
     return out.withColumn("DistanceToHoliday", holiday_distance("Date"))
 
 
-def start_feature_stream(spark: SparkSession, source: str, sink: str,
-                         checkpoint: str | None = None, available_now: bool = True):
-    """Start the stream source -> row features -> parquet sink; returns the StreamingQuery."""
-    stream = row_features(read_flight_stream(spark, source))
+def start_feature_stream(spark: SparkSession, source: str, sink: str, checkpoint: str,
+                         available_now: bool = True, max_files_per_trigger: int | None = None,
+                         columns=FLIGHT_COLUMNS):
+    """Start the stream source -> row features -> parquet sink; returns the StreamingQuery.
+
+    ``checkpoint`` is the caller's own stable folder for this source and sink: a restart with the
+    same folder goes on after the last committed file, each file's rows written exactly once."""
+    stream = row_features(read_flight_stream(spark, source, columns, max_files_per_trigger))
     writer = (stream.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="30 seconds")
     return writer.start(sink)

@@ -5,38 +5,61 @@ from __future__ import annotations
 
 import pytest
 
-from delaylab.ml import jobs
+from delaylab.ml import features, jobs
 
 
 @pytest.mark.parametrize("variant", ["hashed", "indexed", "holiday_indexed", "holiday"])
 def test_tree_runs(flights, variant):
-    m = jobs.tree_run(flights, variant, max_depth=5)[0].first()
-    assert m["n"] > 0 and m["train_seconds"] > 0
-    if variant in ("hashed", "holiday"):
+    m = jobs.tree_run(flights, variant, max_depth=5, missing="impute")[0].first()
+    assert m["n"] == m["n_test"] > 0 and m["train_seconds"] > 0
+    if variant == "holiday":
         assert m["r2"] > 0.3, (variant, m)
     # With ~300 flight numbers in 1.5k rows, unseen test categories share a leaf with the
-    # planted 300-minute outlier, so the indexed variants are only required to run here; on
-    # the lineitem mapping (job_tree_indexed) they reach R^2 ~ 0.94.
+    # planted 300-minute outlier, so the variants with nominals are only required to run here;
+    # on the lineitem mapping (job_tree_indexed) they reach R^2 ~ 0.94.
 
 
 def test_boosted_and_linear_jobs(flights):
-    g = jobs.boosted_job(flights, max_depth=3, max_iter=5, feature_set="windowed")[0].first()
+    g = jobs.boosted_job(flights, max_depth=3, max_iter=5, feature_set="windowed",
+                         missing="impute")[0].first()
     assert g["r2"] > 0.3
-    lin = jobs.linear_hashed_job(flights)[0].first()
+    lin = jobs.linear_hashed_job(flights, missing="impute")[0].first()
     assert lin["r2"] > 0.3
 
 
 def test_tuned_and_selection_jobs(flights):
-    metrics, best, results = jobs.tuned_job(flights, "linear", {"regParam": [0.0, 0.1]})
-    assert results.count() == 2 and metrics.first()["r2"] > 0.3
-    sel = jobs.forest_chunks_job(flights, {"numTrees": [3]}, n_chunks=3, fraction=0.3)
-    assert sel.first()["n_chunks"] == 2
-    res, _ = jobs.forest_cv_job(flights, {"numTrees": [3], "maxDepth": [3]}, folds=2)
-    assert res.count() == 1
-
-
-def test_job_metrics_report_skipped_rows(flights):
-    m = jobs.tree_run(flights, "holiday", max_depth=3)[0].first()
-    assert m["n_test"] >= m["n"] > 0
-    # the fixture plants one NA in CRSElapsedTime and one in TaxiOut with a valid delay
-    assert m["n_test"] - m["n"] <= 2
+    metrics, best, results, report = jobs.tuned_job(flights, "linear", {"regParam": [0.0, 0.1]},
+                                                    missing="impute")
+    m = metrics.first()
+    assert results.count() == 2 and m["r2"] > 0.3 and m["n"] == m["n_test"]
+    assert m["best_stage"] == "LinearRegressionModel" and m["best_params"].startswith("regParam=")
+    terms = {r["term"] for r in report.collect()}
+    assert {"rmse", "r2", "var", "intercept", "NrOfCancelledNAS", "objective_0"} <= terms
+    sel = jobs.forest_chunks_job(flights, {"numTrees": [3]}, n_chunks=3, fraction=0.3,
+                                 missing="impute", parallelism=2)
+    assert sel.first()["n_chunks"] == 2 and sel.first()["n"] > 0
+    res, _ = jobs.forest_cv_job(flights, {"numTrees": [3], "maxDepth": [3]}, folds=2,
+                                missing="impute")
+    assert res.count() == 1 and res.first()["n"] > 0
+
+
+def test_missing_values_fail_or_are_imputed(flights):
+    # the fixture plants one NA in CRSElapsedTime, one in TaxiOut, an invalid date and two invalid
+    # departure times (hour and minute each) with valid delays
+    with pytest.raises(Exception):
+        jobs.tree_run(flights, "holiday", max_depth=3)
+    with jobs.training_table(flights, features.FEATURE_SETS["holiday"],
+                             missing="impute") as table:
+        rows = table.data.select(jobs.MISSING, "CRSElapsedTime_Int", "TaxiOut_Int").collect()
+    assert sum(r[0] for r in rows) == 7 and all(None not in r for r in rows)
+
+
+def test_feature_sets_and_unused_counts(flights):
+    sizes = {k: len(v) for k, v in features.FEATURE_SETS.items()}
+    assert sizes["counts"] == 20 and sizes["cancellations"] == 23 and sizes["windowed"] == 10
+    for name, columns in features.FEATURE_SETS.items():
+        with jobs.training_table(flights, columns, missing="impute") as table:
+            plan = table.data._jdf.queryExecution().optimizedPlan().toString()
+            counted = any(c in features.COUNT_COLUMNS for c in columns)
+            assert ("Join" in plan) == counted, name
+            assert "Expand" not in plan

@@ -61,10 +61,17 @@ def test_prepare_flights_and_plan_is_native(flights):
 
 @pytest.fixture(scope="module")
 def prepared(flights):
-    return features.prepare_flights(flights).where(F.col("ArrDelay_Int").isNotNull())
+    """Prepared flights without the planted missing values."""
+    out = features.prepare_flights(flights).where(F.col("ArrDelay_Int").isNotNull())
+    full = out
+    for stage in features.row_wise_stages(features.FEATURE_SETS["indexed"]):
+        full = stage.transform(full)
+    numeric = [c for c in features.FEATURE_SETS["indexed"] if c in full.columns]
+    return full.dropna(subset=numeric).select(*out.columns)
 
 
-@pytest.mark.parametrize("feature_set", ["indexed", "hashed", "holiday", "windowed", "counts"])
+@pytest.mark.parametrize("feature_set", ["indexed", "hashed", "holiday", "windowed", "counts",
+                                         "cancellations"])
 def test_feature_sets_build(prepared, feature_set):
     p = features.build_pipeline(feature_set)
     out = p.fit(prepared).transform(prepared)
@@ -96,9 +103,10 @@ def test_models_beat_constant(prepared):
     assert evaluate.describe_model(model.stages[-1], max_nodes=10**6) is not None
 
 
-def test_depth_clamped():
-    with pytest.warns(UserWarning):
-        assert models.tree(max_depth=50).getMaxDepth() == 30
+def test_depth_beyond_the_limit_is_an_error():
+    assert models.tree(max_depth=30).getMaxDepth() == 30
+    with pytest.raises(ValueError):
+        models.tree(max_depth=50)
 
 
 def test_linear_matches_sql(spark, prepared):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import os
 import random
@@ -167,11 +168,12 @@ def test_boxcox_finds_log_on_lognormal(spark):
 
 def test_hash_golden_and_partition_independence(spark):
     df = spark.createDataFrame([(7,)], "k long")
-    assert df.select(sampling.hash_unit(["k"], 42)).first()[0] == 1409445407
+    golden = int(hashlib.md5(b"42:7").hexdigest()[:15], 16)
+    assert df.select(sampling.hash_unit(["k"], 42)).first()[0] == golden
     keys = spark.range(1, 15001).withColumnRenamed("id", "k")
-    share = keys.select((sampling.hash_unit(["k"], 42) % 100 < 70).cast("int").alias("t")) \
-        .agg(F.avg("t")).first()[0]
-    assert abs(share - 0.7006) < 1e-9
+    share = keys.select((sampling.hash_unit(["k"], 42) < sampling.hash_bound(0.7)).cast("int")
+                        .alias("t")).agg(F.avg("t")).first()[0]
+    assert abs(share - 0.7) < 0.01
     a = sampling.hash_split(keys.repartition(3), ["k"]).select("k", "split")
     b = sampling.hash_split(keys.repartition(11), ["k"]).select("k", "split")
     assert a.exceptAll(b).count() == 0
@@ -268,3 +270,65 @@ def test_reader_checks_headers(spark, scratch):
         fh.write("x,y\n1,2\n")
     with pytest.raises(Exception):
         src.read_flights(spark, path, columns=("a", "b")).collect()
+
+
+def test_small_chunks_are_exact_shares_and_empty_ones_an_error(spark):
+    keys = spark.range(0, 2_000_000).withColumnRenamed("id", "k")
+    n = sampling.disjoint_chunks(keys, ["k"], n=6, fraction=1.4e-5).count()
+    assert 100 < n < 240  # 6 x 28 expected
+    with pytest.raises(ValueError):
+        sampling.disjoint_chunks(keys, ["k"], n=1, fraction=1e-19)
+
+
+def test_boxcox_finds_a_far_lambda_and_rejects_what_has_none(spark):
+    # y = (x^5 - 1) / 5 is normal: the likelihood peaks near 5
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = (1 + 5 * rng.normal(50, 8, 4000)) ** (1 / 5)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    assert abs(transform.best_lambda(df, "x") - 5) < 1.5
+    with pytest.raises(ValueError):
+        transform.best_lambda(spark.createDataFrame([(3.0,), (3.0,)], "x double"), "x")
+    mixed = spark.createDataFrame([(float(v),) for v in range(-2, 5)], "x double")
+    with pytest.raises(ValueError):
+        transform.boxcox(mixed, "x", "y")
+    assert transform.boxcox(mixed, "x", "y", shift=None).where("y is null").count() == 0
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_null_group_and_nan_rows_in_box_stats(spark, exact):
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [("a", float(i)) for i in range(1, 6)] + [("b", 1.0), ("b", nan), ("b", 3.0), ("b", None)]
+        + [(None, float(i)) for i in range(3)], "g string, x double")
+    got = {r["g"]: r for r in explore.box_stats(df, "x", by="g", exact=exact).collect()}
+    assert set(got) == {"a", "b", None}
+    assert (got["b"]["n"], got["b"]["max"], got["b"]["n_outliers"]) == (2, 3.0, 0)
+    assert got[None]["n"] == 3 and got["a"]["median"] == 3.0
+
+
+def test_except_all_splits_a_hot_value(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "COPY_BLOCK", 100)
+    df = spark.range(5000).selectExpr("if(id < 4000, null, id) AS k")
+    used = spark.range(1234).selectExpr("cast(null AS bigint) AS k")
+    out = sampling.remaining_rows(df, used, distinct=False)
+    assert out.where("k is null").count() == 4000 - 1234 and out.count() == 5000 - 1234
+
+
+def test_correlation_matrix_is_one_scan(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 1.0), (2.0, 1.0, 5.0), (3.0, 7.0, 2.0)],
+                               "a double, b double, c double")
+    out = explore.correlation_matrix(df, ["a", "b", "c"])
+    assert out.count() == 9
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1
+
+
+def test_unions_do_not_hide_a_missing_column(spark):
+    from delaylab.sources.flights import union_by_name
+
+    a, b = spark.range(1), spark.range(1).selectExpr("id", "id AS other")
+    with pytest.raises(Exception):
+        union_by_name([b, a]).collect()
+    assert union_by_name([b, a], allow_missing=True).count() == 2

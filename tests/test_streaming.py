@@ -20,3 +20,13 @@ def test_stream_equals_batch(spark, scratch, flights_csv):
     batch = row_features(read_flights(spark, flights_csv))
     assert streamed.count() == batch.count() > 0
     assert streamed.select(*batch.columns).exceptAll(batch).count() == 0
+
+
+def test_restart_with_the_same_checkpoint_reads_only_new_files(spark, scratch, flights_csv):
+    src, sink, ckpt = (os.path.join(scratch, f"restart-{n}") for n in ("src", "sink", "ckpt"))
+    os.makedirs(src, exist_ok=True)
+    batch = row_features(read_flights(spark, flights_csv)).count()
+    for i in range(2):
+        shutil.copy(flights_csv, os.path.join(src, f"part-{i}.csv"))
+        start_feature_stream(spark, src, sink, ckpt).awaitTermination(120)
+        assert spark.read.parquet(sink).count() == (i + 1) * batch
