@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,16 @@ def texts(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
+def seeded_rows(df: DataFrame, key: str, bound: int, seed: int) -> DataFrame:
+    """At most ``bound`` rows, those with the smallest hashes of ``key``. All but about half as
+    many again are filtered where they lie, so a task sends few rows on whatever the table's
+    size."""
+    h, n = F.xxhash64(F.col(key), F.lit(seed)), df.count()
+    if n > 2 * bound:
+        df = df.where(h < F.lit(int(1.5 * bound / n * 2.0 ** 64) - (1 << 63)))
+    return df.orderBy(h, key).limit(bound)
+
+
 def blocks(values: list[bytes], size: int):
     """(index of the first, texts) for runs of texts of about ``size`` bytes."""
     at, total = 0, 0
@@ -52,6 +64,16 @@ def blocks(values: list[bytes], size: int):
         yield at, values[at:]
 
 
+def pieces(batch: pa.RecordBatch, column: int, size: int):
+    """The batch in slices of about ``size`` bytes of text, so that few texts are Python objects
+    at a time."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+    turn = np.cumsum(lengths, dtype=np.int64) // size
+    starts = np.flatnonzero(np.r_[True, turn[1:] != turn[:-1]]) if len(turn) else []
+    for a, b in zip(starts, [*starts[1:], len(turn)]):
+        yield batch.slice(int(a), int(b - a))
+
+
 def with_text_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``_id`` and ``_text`` beside a digest ``_key`` of the text, without the other columns, so
     that columns of any other name cannot clash."""

@@ -25,14 +25,15 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ._common import LOWER_BYTES, blocks, crc_mod, cut, texts
 
-HEAD = 4096
+HEAD = 2048
 CLASS_WORDS = 64
-TAIL_CLASSES = 64
+TAIL_CLASSES = 48
 #: Words whose counts are sent to the tasks.
 KNOWN = 1 << 18
 EMBED, UNITS = 16, 24
 WINDOW = 32
 STREAMS = 32
+PART = 1024
 ROUNDS = 4
 WORKERS = 12
 #: Share of the training documents that the network is fitted on (counts are over all).
@@ -75,11 +76,20 @@ def count_words(train: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """What tasks know of the counts: the ``KNOWN`` most frequent words, of which the first
-    ``HEAD`` have outputs of their own, and totals."""
+    """What tasks know of the counts: up to ``KNOWN`` most frequent words (all of one count or
+    none), of which the first ``HEAD`` have outputs of their own, and totals."""
 
     def __init__(self, spark, counts: DataFrame):
-        top = (counts.orderBy(F.desc("c"), "w").limit(KNOWN).select("w", "c", "tail").toPandas())
+        # the least count that at most KNOWN words reach: only these words come to the driver
+        least, held = 1, 0
+        for r in (counts.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+                  .orderBy(F.desc("c")).limit(KNOWN).toLocalIterator()):
+            if held + r["n"] > KNOWN:
+                least = r["c"] + 1
+                break
+            held += r["n"]
+        top = counts.where(F.col("c") >= least).select("w", "c", "tail").toPandas()
+        top = top.sort_values(["c", "w"], ascending=[False, True], ignore_index=True)
         head = min(HEAD, len(top))
         n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
         self.n, self.v, self.head = int(n), int(v), head
@@ -242,15 +252,18 @@ def _sigmoid(x):
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _epoch(model: Model, texts_: list[np.ndarray]) -> int:
-    """Train on symbol sequences laid end to end over ``STREAMS`` streams; the state of a stream
-    is carried over windows and cleared where a text begins. Returns the number of symbols."""
+def _epoch(model: Model, texts_: list[np.ndarray], moments: dict, step: int) -> tuple[int, int]:
+    """Train on symbol sequences, in parts of ``PART`` symbols (so that a long one does not leave
+    the other streams empty), laid end to end over ``STREAMS`` streams; the state of a stream is
+    carried over windows and cleared where a part begins. Returns the number of symbols and
+    the steps taken so far."""
     start = len(model.p["embed"]) - 1
     loads, streams = [0] * STREAMS, [[] for _ in range(STREAMS)]
     for text in texts_:
-        at = int(np.argmin(loads))
-        streams[at].append(text)
-        loads[at] += len(text)
+        for k in range(0, len(text), PART):
+            at = int(np.argmin(loads))
+            streams[at].append(text[k:k + PART])
+            loads[at] += len(text[k:k + PART])
     steps = max(loads)
     symbols = np.zeros((steps, STREAMS), dtype=np.int64)
     inputs = np.full((steps, STREAMS), start, dtype=np.int64)
@@ -262,11 +275,11 @@ def _epoch(model: Model, texts_: list[np.ndarray]) -> int:
             inputs[at + 1:at + len(part), s] = part[:-1]
             at += len(part)
         live[:at, s] = True
-    state, moments = np.zeros((STREAMS, UNITS), dtype=np.float32), {}
-    for step, at in enumerate(range(0, steps, WINDOW), 1):
-        part = slice(at, at + WINDOW)
+    state = np.zeros((STREAMS, UNITS), dtype=np.float32)
+    for at in range(0, steps, WINDOW):
+        part, step = slice(at, at + WINDOW), step + 1
         state = model.learn(inputs[part], symbols[part], live[part], state, moments, step)
-    return sum(loads)
+    return sum(loads), step
 
 
 def encode_block(block: list[bytes], vocabulary: Vocabulary):
@@ -281,8 +294,9 @@ def encode_block(block: list[bytes], vocabulary: Vocabulary):
 def train_model(train: DataFrame, vocabulary: Vocabulary, sample: float = SAMPLE,
                 rounds: int = ROUNDS, workers: int = WORKERS) -> Model:
     """Fit on a seeded share of ``train(doc_id, text)``: every round the current parameters go to
-    ``workers`` tasks, each trains on its part of the round's texts, and the results are averaged
-    by the number of symbols."""
+    ``workers`` tasks, each trains on its part of the round's texts, one batch in memory at a
+    time, and the results (``workers`` sets of parameters) are averaged by the number of
+    symbols."""
     spark = train.sparkSession
     model = Model(vocabulary)
     shared = spark.sparkContext.broadcast(vocabulary)
@@ -301,24 +315,27 @@ def train_model(train: DataFrame, vocabulary: Vocabulary, sample: float = SAMPLE
         F.xxhash64("doc_id", F.lit(SEED + 1)).alias("h"), "text")
     sampled = cut(chosen.mapInArrow(encode, "h long, s array<int>")
                   .repartition(rounds * workers, "h"))
-    worker = F.pmod(F.shiftright("h", 20), F.lit(workers)).cast("int").alias("worker")
     for r in range(rounds):
         current = spark.sparkContext.broadcast(model)
 
-        def work(table: pa.Table) -> pa.Table:
-            rows = table.sort_by([("h", "ascending")]).column("s")
-            local = Model.__new__(Model)
+        def work(batches):
+            local, n, moments, step = Model.__new__(Model), 0, {}, 0
             local.head, local.classes = current.value.head, current.value.classes
             local.p = {k: v.copy() for k, v in current.value.p.items()}
-            n = _epoch(local, [np.asarray(x.values, dtype=np.int64) for x in rows])
-            flat = np.concatenate([v.ravel() for v in local.p.values()]).astype(np.float32)
-            return pa.table({"n": pa.array([n], type=pa.int64()),
-                             "flat": pa.array([flat.tobytes()], type=pa.binary())})
+            for batch in batches:
+                rows = [np.asarray(x.values, dtype=np.int64) for x in batch.column(1)]
+                more, step = _epoch(local, rows, moments, step)
+                n += more
+            if n:
+                flat = np.concatenate([v.ravel() for v in local.p.values()]).astype(np.float32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([n], type=pa.int64()),
+                     pa.array([flat.tobytes()], type=pa.binary())], ["n", "flat"])
 
-        part = sampled.where(F.pmod("h", F.lit(rounds)) == r).select(worker, "h", "s")
+        part = (sampled.where(F.pmod("h", F.lit(rounds)) == r).select("h", "s")
+                .repartition(workers, "h").sortWithinPartitions("h"))
         total, mean = 0, 0.0
-        for row in (part.groupBy("worker").applyInArrow(work, "n long, flat binary")
-                    .toLocalIterator()):
+        for row in part.mapInArrow(work, "n long, flat binary").collect():
             flat = np.frombuffer(row["flat"], dtype=np.float32).astype(np.float64)
             total += row["n"]
             mean = mean + (flat - mean) * (row["n"] / total)
