@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators._plan import MAX_BROADCAST_BYTES, measured_bytes
-from ._common import LOWER_BYTES, UPPER, crc_mod, cut, texts
+from ._common import LOWER_BYTES, UPPER, crc_mod, cut, seeded_rows, texts
 
 #: Bounds of the samples that the classifier is fitted on.
 POSITIVES = 20_000
@@ -177,8 +177,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality
         good = F.broadcast(good)
 
     def draw(rows: DataFrame, bound: int) -> np.ndarray:
-        got = rows.select("x", F.xxhash64("doc_id", F.lit(seed)).alias("_h")).orderBy(
-            "_h").limit(bound).select("x").toPandas()["x"]
+        got = seeded_rows(rows.select("doc_id", "x"), "doc_id", bound, seed).toPandas()["x"]
         return np.array(got.tolist(), dtype=np.float64).reshape(-1, len(NAMES))
 
     p = draw(x.join(good, "doc_id", "left_semi"), positives)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators._plan import MAX_BROADCAST_BYTES, measured_bytes
-from ._common import LOWER_BYTES, crc_mod, cut, texts
+from ._common import LOWER_BYTES, crc_mod, cut, seeded_rows, texts
 from .decontam import words
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -39,6 +39,7 @@ LEXICON = 5000
 #: Texts used to fit the three curves (lambda and K, the logistic's two numbers).
 FIT_ROWS = 50_000
 THRESHOLD = 0.3
+SEED = 17
 
 
 def segments(positions, scores, gap: float) -> list[tuple[int, int, float]]:
@@ -209,8 +210,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds
     found = cut(passages(docs, lex, gap))
     best = F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0))
     fit = (found.withColumn("best", best)
-           .join(F.broadcast(known.select(F.col("_id").alias("doc_id"), "label")
-                             .orderBy(F.xxhash64("_id"), "_id").limit(fit_rows)), "doc_id")
+           .join(F.broadcast(seeded_rows(cut(known.select(F.col("_id").alias("doc_id"), "label")),
+                                         "doc_id", fit_rows, SEED)), "doc_id")
            .select("n", "best", "label", F.expr("transform(spans, s -> s.score)").alias("scores"))
            .toPandas())
     clean = fit[fit["label"] == 0]
