@@ -4,7 +4,7 @@ A conversation is a path of turns; conversations with the same first turns share
 those turns. Each node is named by a digest of all turns down to it, so ordering conversations by
 the list of their nodes' names is the depth-first order of all trees: a distributed range sort.
 One pass over the sorted rows then emits each node when it is first met, into packs of bounded
-size. Tokens keep the position they have in their conversation and see, besides the tokens before
+size, one tree after another. Tokens keep the position they have in their conversation and see, besides the tokens before
 them in their own node, the intervals of their ancestors in the pack.
 
 A tree larger than a pack, and one that crosses the border of two sort partitions, goes on in the
@@ -139,7 +139,7 @@ def forest(paths: DataFrame, vocabulary: str = VOCABULARY, pack_tokens: int = PA
                 shared = 0
                 while shared < min(len(names), len(stack)) and stack[shared][0] == names[shared]:
                     shared += 1
-                if not shared or filled >= pack_tokens or members >= pack_conversations:
+                if pack < 0 or filled >= pack_tokens or members >= pack_conversations:
                     pack, filled, members, shared = pack + 1, 0, 0, 0
                 del stack[shared:]
                 nodes = []
@@ -175,9 +175,12 @@ def read_back(packs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Conversations as they stand in the packs: conv_id, n_turns, turns_sha256, loss_chars,
     loss_sha256, formatted_chars, n_tokens, pack. A group is one pack, of bounded size."""
     kind = packs.schema["conv_id"].dataType.simpleString()
+    loaded: list[Codec] = []  # once per task, not per pack
 
     def run(table: pa.Table) -> pa.Table:
-        codec, spans, out = Codec(vocabulary), {}, []
+        if not loaded:
+            loaded.append(Codec(vocabulary))
+        codec, spans, out = loaded[0], {}, []
         for nodes in table.column("nodes").to_pylist():
             for n in nodes:
                 tokens, loss = n["tokens"], n["loss"]
