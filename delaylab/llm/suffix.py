@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from ._common import blocks, texts
+from ._common import pieces, texts
 
 LENGTH = 200
 GRAM = 8
@@ -120,8 +120,8 @@ def _census(source: DataFrame, length: int) -> DataFrame:
     """(context, mixed): trigger contexts seen twice or more, and whether in different phrases."""
     def run(batches):
         for batch in batches:
-            for _, block in blocks(texts(batch.column(0)), BLOCK_BYTES):
-                joined, _, first, last, _, context = phrases(block, length)
+            for part in pieces(batch, 0, BLOCK_BYTES):
+                joined, _, first, last, _, context = phrases(texts(part.column(0)), length)
                 if not len(first):
                     continue
                 phrase = _digests(joined, first, last, length)
@@ -192,9 +192,10 @@ def _occurrences(source: DataFrame, filters, length: int) -> DataFrame:
     def run(batches):
         bits, seen, mixed = filters.value
         for batch in batches:
-            ids, keys = batch.column(0), batch.column(1)
-            for start, block in blocks(texts(batch.column(2)), BLOCK_BYTES):
-                joined, owner, first, last, offsets, context = phrases(block, length)
+            for part in pieces(batch, 2, BLOCK_BYTES):
+                ids, keys = part.column(0), part.column(1)
+                joined, owner, first, last, offsets, context = phrases(
+                    texts(part.column(2)), length)
                 some = np.flatnonzero(_hits(seen, bits, context))
                 if not len(some):
                     continue
@@ -205,7 +206,7 @@ def _occurrences(source: DataFrame, filters, length: int) -> DataFrame:
                     if phrase[k] not in given:
                         given.add(phrase[k])
                         body[k] = joined[first[k]:last[k] + length]
-                rows = pa.array(owner + start)
+                rows = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(context), pa.array(phrase), ids.take(rows), keys.take(rows),
                      pa.array((first - offsets[owner]).astype(np.int32)),
@@ -339,41 +340,47 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"length must be {4 * GRAM} or more")
     spans = repeated_spans(docs, id_col, text_col, length, filter_bits, hot_phrases)
     names = docs.columns
-    packed = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"),
-                         docs[id_col].alias("_i"), F.xxhash64(docs[text_col]).alias("_k"),
-                         docs[text_col].alias("_text"))
+    rest = [docs[c] for c in names if c != text_col] or [F.lit(True).alias("_none")]
+    packed = docs.select(F.struct(*rest).alias("_row"), docs[id_col].alias("_i"),
+                         F.xxhash64(docs[text_col]).alias("_k"), docs[text_col].alias("_text"))
     same = packed["_i"].eqNullSafe(spans["_id"]) & (packed["_k"] == spans["_key"])
     joined = packed.join(spans.hint("shuffle_merge"), same, "left").select(
         "_row", "_text", "begins", "counts")
-    kind = T.StructType([T.StructField("n_bytes", T.LongType()),
-                         T.StructField("n_removed", T.LongType()),
-                         T.StructField("n_spans", T.LongType()),
-                         T.StructField("kept", T.BinaryType()),
-                         T.StructField("text", T.StringType())])
+    kinds = [("n_bytes", pa.int64(), T.LongType()), ("n_removed", pa.int64(), T.LongType()),
+             ("n_spans", pa.int64(), T.LongType()), ("kept", pa.binary(), T.BinaryType()),
+             ("text", pa.string(), T.StringType())]
 
     def run(batches):
         for batch in batches:
-            out = []
-            for text, begins, counts in zip(texts(batch.column(1)), batch.column(2).to_pylist(),
-                                            batch.column(3).to_pylist()):
-                if not begins:
-                    out.append((len(text), 0, 0, text, text.decode("utf-8", "ignore")))
-                    continue
-                begin = np.array(begins, dtype=np.int64)
-                begin, end = _merge(begin, begin + np.array(counts, dtype=np.int64) + length - 1)
-                keep = [text[a:b] for a, b in zip([0, *end.tolist()],
-                                                  [*begin.tolist(), len(text)])]
-                kept = b"".join(keep)
-                out.append((len(text), len(text) - len(kept), len(begin), kept,
-                            kept.decode("utf-8", "ignore")))
-            columns = [pa.array(x, type=t) for x, t in zip(
-                zip(*out) if out else ((),) * 5,
-                (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()))]
-            fields = ["n_bytes", "n_removed", "n_spans", "kept", "text"]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.StructArray.from_arrays(columns, fields)], ["_row", "_new"])
-
-    schema = T.StructType([joined.schema["_row"], T.StructField("_new", kind)])
-    done = joined.mapInArrow(run, schema)
-    return done.select(*[F.col("_row")[c].alias(c) for c in names], F.col("_new").alias(into))
-
+            for part in pieces(batch, 1, BLOCK_BYTES):
+                out = []
+                for text, begins, counts in zip(texts(part.column(1)),
+                                                part.column(2).to_pylist(),
+                                                part.column(3).to_pylist()):
+                    if not begins:  # nothing removed: the text stands beside
+                        out.append((len(text), 0, 0, None, None))
+                        continue
+                    begin = np.array(begins, dtype=np.int64)
+                    begin, end = _merge(
+                        begin, begin + np.array(counts, dtype=np.int64) + length - 1)
+                    keep = [text[a:b] for a, b in zip([0, *end.tolist()],
+                                                      [*begin.tolist(), len(text)])]
+                    kept = b"".join(keep)
+                    out.append((len(text), len(text) - len(kept), len(begin), kept,
+                                kept.decode("utf-8", "ignore")))
+                new = pa.StructArray.from_arrays(
+                    [pa.array(x, type=t) for x, (_, t, _) in zip(zip(*out), kinds)],
+                    [n for n, _, _ in kinds])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), new],
+                                                 ["_row", "_text", "_new"])
+
+    new = T.StructType([T.StructField(n, t) for n, _, t in kinds])
+    done = joined.mapInArrow(run, T.StructType([joined.schema["_row"], joined.schema["_text"],
+                                                T.StructField("_new", new)]))
+    whole = F.coalesce("_text", F.lit(""))
+    repeats = F.struct(
+        *[F.col("_new")[n].alias(n) for n in ("n_bytes", "n_removed", "n_spans")],
+        F.coalesce(F.col("_new")["kept"], whole.cast("binary")).alias("kept"),
+        F.coalesce(F.col("_new")["text"], whole).alias("text"))
+    return done.select(*[F.col("_text").alias(c) if c == text_col else F.col("_row")[c].alias(c)
+                         for c in names], repeats.alias(into))
