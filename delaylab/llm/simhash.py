@@ -18,10 +18,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import LOWER_BYTES, cut, texts
+from ._common import LOWER_BYTES, cut, pieces, texts
 from .components import connected_components
 
 SEED = 42
+#: Bytes of text taken out of an Arrow batch at a time.
+BLOCK_BYTES = 4 << 20
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
@@ -50,10 +52,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row (doc_id, fp) per row of ``docs``; fp holds the 64 bits as a signed long."""
     def run(batches):
         for batch in batches:
-            values = [fingerprint(t, shingle) for t in texts(batch.column(1))]
-            signed = np.array(values, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)],
-                                             ["doc_id", "fp"])
+            for part in pieces(batch, 1, BLOCK_BYTES):
+                values = [fingerprint(t, shingle) for t in texts(part.column(1))]
+                signed = np.array(values, dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(signed)],
+                                                 ["doc_id", "fp"])
 
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
