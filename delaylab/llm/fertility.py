@@ -19,11 +19,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut, texts
+from ..operators._plan import MAX_BROADCAST_BYTES, measured_bytes
+from ._common import cut, pieces, texts
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Words whose tokens a task remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+#: Bytes of text taken out of an Arrow batch at a time.
+BLOCK_BYTES = 4 << 20
 # Fixed value: how this vocabulary's texts are split before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MIN_WORDS = 50
@@ -144,7 +147,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches):
         tokens = Fertility(vocabulary)
-        for batch in batches:
+        for batch in (part for b in batches for part in pieces(b, 1, BLOCK_BYTES)):
             rows = []
             for text, lang in zip(texts(batch.column(1)), batch.column(2).to_pylist()):
                 words = text.split()
@@ -213,7 +216,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "base_failed", (F.col("n_words") < MIN_WORDS)
         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     measured = cut(measured)
-    limits = bands(measured)
+    limits = cut(bands(measured))
+    if measured_bytes(limits) <= MAX_BROADCAST_BYTES:
+        limits = F.broadcast(limits)
     judged = measured.join(limits, F.col("band") == F.col("_band"), "left")
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
