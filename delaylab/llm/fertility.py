@@ -4,8 +4,11 @@ A public byte-level vocabulary for many languages is applied to every word of a
 the share of tokens that are single bytes of a character, and the entropy of the tokens show text that the vocabulary was
 not made for (symbol runs, shouting, keyboard noise) without any labels. What is usual differs
 between languages and scripts, so the bands of rejection are taken from the corpus itself: per
-language (or, where none is given, script), quartiles over all its documents, widened by a
-multiple of their distance, wider for short texts. Words are tokenised one by one, so a word's tokens are computed once
+language (or, where none is given, script), quartiles over its different documents, widened by a
+multiple of their distance, wider for short texts. Copies and near copies count once: of the rows
+of a band that agree in the smallest hash of their token runs one is taken, and of those again
+under a second and a third hash, so that a group of copies of any size cannot move the quartiles.
+Words are tokenised one by one, so a word's tokens are computed once
 per task and looked up afterwards.
 """
 
@@ -35,6 +38,11 @@ MAX_REPEAT_PERCENT = 50
 #: tokens gets bands wider by the square root of two, as its measures scatter more.
 FENCE = (2.0, 4.0)
 SHORT = 100
+#: Tokens in a run whose hash may be a text's smallest.
+RUN = 5
+# Odd multipliers of a 64-bit mixing function, and one salt per hash.
+MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+SALTS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
 # Fixed value: symbol characters of the base rules.
 SYMBOLS = b"#*$%&|<>"
 # First code points of blocks and the script they begin ("" for no letters).
@@ -47,6 +55,7 @@ BLOCKS = [(0, ""), (0x41, "latin"), (0x5B, ""), (0x61, "latin"), (0x7B, ""), (0x
           (0xD7B0, ""), (0xF900, "han"), (0xFB00, "other"), (0x10000, "other"),
           (0x1F000, ""), (0x20000, "han"), (0xE0000, "")]
 MEASURES = ("chars_per_token", "byte_share", "entropy")
+SKETCHES = ("_run0", "_run1", "_run2")
 
 
 def script(text: bytes) -> str:
@@ -93,6 +102,24 @@ def _broken(piece: bytes) -> bool:
         return True
 
 
+def sketches(tokens: np.ndarray) -> list[int]:
+    """Smallest hash of the runs of ``RUN`` tokens under each salt (as signed longs): texts that
+    share most of their runs share most of these."""
+    ids, (a, b, c) = tokens.astype(np.uint64), map(np.uint64, MIX)
+    width = min(RUN, len(ids))
+    n = len(ids) - width + 1
+    h = np.zeros(n, dtype=np.uint64)
+    for k in range(width):
+        h = (h ^ ids[k:k + n]) * a
+        h ^= h >> np.uint64(29)
+    out = []
+    for salt in SALTS:
+        x = (h ^ np.uint64(salt)) * b
+        x = (x ^ (x >> np.uint64(32))) * c
+        out.append(int(x.min().view(np.int64)))
+    return out
+
+
 class Fertility:
     """Token counts of words under one vocabulary; ``lookup`` maps words to token ids."""
 
@@ -121,19 +148,20 @@ class Fertility:
             out.append(tokens)
         return out
 
-    def measure(self, words: list[bytes], chars: int) -> tuple[int, float, float, float]:
-        """n_tokens, characters per token, share of byte tokens, and token entropy relative to
-        that of as many different tokens; NULL-free zeros for a text without tokens."""
+    def measure(self, words: list[bytes], chars: int) -> tuple:
+        """n_tokens, characters per token, share of byte tokens, token entropy relative to that of
+        as many different tokens, and sketches; NULL-free zeros for a text without tokens."""
         flat = [i for tokens in self.lookup(words) for i in tokens]
         if not flat:
-            return 0, 0.0, 0.0, 0.0
-        ids, counts = np.unique(np.array(flat, dtype=np.int32), return_counts=True)
+            return 0, 0.0, 0.0, 0.0, *[0] * len(SALTS)
+        flat = np.array(flat, dtype=np.int32)
+        ids, counts = np.unique(flat, return_counts=True)
         n = len(flat)
         share = counts / n
         bits = float(-(share * np.log2(share)).sum())
         most = log2(min(n, self.size))
         return (n, chars / n, float(counts[self.is_byte[ids]].sum() / n),
-                bits / most if most else 1.0)
+                bits / most if most else 1.0, *sketches(flat))
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -171,20 +199,24 @@ KINDS = [("n_words", pa.int64(), "long"), ("word_chars", pa.int64(), "long"),
          ("n_symbols", pa.int64(), "long"), ("n_dup_lines", pa.int64(), "long"),
          ("n_repeat_words", pa.int64(), "long"), ("n_tokens", pa.int64(), "long"),
          ("chars_per_token", pa.float64(), "double"), ("byte_share", pa.float64(), "double"),
-         ("entropy", pa.float64(), "double"), ("band", pa.string(), "string")]
+         ("entropy", pa.float64(), "double"), *[(name, pa.int64(), "long") for name in SKETCHES],
+         ("band", pa.string(), "string")]
 SYMBOLS_EACH = [bytes([b]) for b in SYMBOLS]
 CONTINUATION = [bytes([b]) for b in range(0x80, 0xC0)]
 
 
 def bands(measured: DataFrame) -> DataFrame:
-    """Quartiles of each measure per language or script, over all its documents that pass the
-    base rules."""
-    aggregates = []
+    """Quartiles of each measure per language or script, over its different documents that pass
+    the base rules: a group of copies or near copies counts as one, the text with the smallest
+    key."""
+    rows, aggregates = measured.where("not base_failed"), []
+    for i, name in enumerate(SKETCHES):
+        first = F.min(F.struct("_key", *MEASURES, *SKETCHES[i + 1:]))
+        rows = rows.groupBy("band", name).agg(first.alias("_first")).select("band", "_first.*")
     for name in MEASURES:
         q = F.percentile_approx(name, [0.25, 0.75], 10_000)
         aggregates += [q[0].alias(f"{name}_q1"), q[1].alias(f"{name}_q3")]
-    return (measured.where("not base_failed").groupBy(F.col("band").alias("_band"))
-            .agg(*aggregates))
+    return rows.groupBy(F.col("band").alias("_band")).agg(*aggregates)
 
 
 #: Narrower quartile distances count as this much, so that uniform corpora keep a band.

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 from math import log2
 
+import pytest
+
 from delaylab.llm import fertility
 
 from .helpers import awkward_rows, key, table
@@ -56,6 +59,28 @@ def test_bands_reject_symbol_junk_and_keep_prose(spark):
     assert not any(got[i].kept for i, *_ in junk)
 
 
+@pytest.mark.parametrize("near", [False, True])
+@pytest.mark.parametrize("at", [0, 3, 7])
+def test_copies_of_one_document_do_not_move_the_bands(spark, near, at):
+    rnd = random.Random(at)
+    words = {lang: ["".join(rnd.choice(letters) for _ in range(rnd.randrange(2, 9)))
+                    for _ in range(400)] for lang, letters in (("en", "abcdehilnorst"),
+                                                               ("fr", "aeéinrstuàl"))}
+    prose = lambda lang: [rnd.choice(words[lang]) for _ in range(rnd.randrange(60, 200))]
+    clean = [(i, prose("en" if i < 160 else "fr")) for i in range(200)]
+    copies = []
+    for k in range(100):
+        text = list(clean[160 + at][1])
+        if near:
+            for _ in range(2):
+                text[rnd.randrange(len(text))] = rnd.choice(words["fr"])
+        copies.append((1000 + k, text))
+    rows = [(i, " ".join(t), "en" if i < 160 else "fr", "a") for i, t in clean + copies]
+    kept = {r.doc_id: r.kept for r in fertility.quality_rules(table(spark, rows)).collect()}
+    assert sum(kept[i] for i in range(160, 200)) >= 38
+    assert sum(kept[i] for i in range(160)) >= 152
+
+
 def test_script_and_empty_table(spark):
     assert fertility.script("слово one".encode()) == "cyrillic"
     assert fertility.script(b"123 #") == ""
