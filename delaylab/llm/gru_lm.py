@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ._common import LOWER_BYTES, blocks, crc_mod, cut, texts
 
-HEAD = 2048
+HEAD = 4096
 CLASS_WORDS = 64
-TAIL_CLASSES = 48
+TAIL_CLASSES = 64
 #: Words whose counts are sent to the tasks.
 KNOWN = 1 << 18
 EMBED, UNITS = 16, 24

@@ -103,5 +103,12 @@ def test_model_beats_base_on_held_out_text(spark):
     assert got[1] > got[0]
 
 
+def test_words_of_middle_rank_have_outputs_of_their_own(spark):
+    counts = spark.createDataFrame([(i, 9000 - i, i % gru_lm.TAIL_CLASSES) for i in range(4200)],
+                                   "w long, c long, tail int")
+    vocabulary = gru_lm.Vocabulary(spark, counts)
+    assert vocabulary.head == 4096 and len(vocabulary.tail_n) == 64
+
+
 def test_empty_table(spark):
     assert gru_lm.score_documents(table(spark, [])).collect() == []
