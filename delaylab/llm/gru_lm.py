@@ -6,7 +6,7 @@ by their ending; within such a class a word has its smoothed share of the traini
 each class keeps room for one unknown word, so the model is a distribution over open text. The
 network starts as the unigram model (output biases are log frequencies, output weights zero) and
 is trained by truncated backpropagation through time in tasks that each run over a part of the
-training sample and are averaged after every round. For scoring, many documents run side by side;
+training texts and are averaged after every round; every text is trained on once. For scoring, many documents run side by side;
 their states are carried from window to window, so every document is scored whole.
 
 Counts of rare words do not fit a task's memory: the most frequent words' counts are sent to the
@@ -35,9 +35,14 @@ WINDOW = 32
 STREAMS = 32
 PART = 1024
 ROUNDS = 4
+#: Fewest tasks of a round; there are more if each would get more than so many symbols.
 WORKERS = 12
+WORKER_SYMBOLS = 4 << 20
+#: Symbols trained on at a time, and sets of parameters that come to the driver per round.
+EPOCH_SYMBOLS = 1 << 20
+MERGED = 16
 #: Share of the training documents that the network is fitted on (counts are over all).
-SAMPLE = 1 / 16
+SAMPLE = 1.0
 RATE = 5e-3
 SEED = 5
 BLOCK_BYTES = 2 << 20
@@ -291,13 +296,43 @@ def encode_block(block: list[bytes], vocabulary: Vocabulary):
     return docs, *vocabulary.find(list(index))
 
 
+def _runs(column: pa.Array):
+    """Symbol sequences of an Arrow batch, in runs of about ``EPOCH_SYMBOLS`` symbols."""
+    rows, size = [], 0
+    for x in column:
+        rows.append(np.asarray(x.values, dtype=np.int64))
+        size += len(rows[-1])
+        if size >= EPOCH_SYMBOLS:
+            yield rows
+            rows, size = [], 0
+    if rows:
+        yield rows
+
+
+def _mean(rows) -> tuple[int, np.ndarray | float]:
+    """Total of n and mean, weighted by n, of the parameters of (n, flat) pairs."""
+    total, mean = 0, 0.0
+    for n, flat in rows:
+        flat = np.frombuffer(flat, dtype=np.float32).astype(np.float64)
+        total += n
+        mean = mean + (flat - mean) * (n / total)
+    return total, mean
+
+
+def _flat_batch(n: int, flat: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([n], type=pa.int64()),
+         pa.array([flat.astype(np.float32).tobytes()], type=pa.binary())], ["n", "flat"])
+
+
 def train_model(train: DataFrame, vocabulary: Vocabulary, sample: float = SAMPLE,
                 rounds: int = ROUNDS, workers: int = WORKERS) -> Model:
-    """Fit on a seeded share of ``train(doc_id, text)``: every round the current parameters go to
-    ``workers`` tasks, each trains on its part of the round's texts, one batch in memory at a
-    time, and the results (``workers`` sets of parameters) are averaged by the number of
-    symbols."""
+    """Fit on ``train(doc_id, text)`` (on a seeded share of it if ``sample`` is below 1): every
+    round the current parameters go to ``workers`` tasks or more, each trains on its part of the
+    round's texts, a bounded number of symbols in memory at a time, and the results (one set of
+    parameters per task) are averaged by the number of symbols, in tasks first if they are many."""
     spark = train.sparkSession
+    workers = max(workers, -int(-vocabulary.n * sample // (rounds * WORKER_SYMBOLS)))
     model = Model(vocabulary)
     shared = spark.sparkContext.broadcast(vocabulary)
     draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20))
@@ -322,23 +357,25 @@ def train_model(train: DataFrame, vocabulary: Vocabulary, sample: float = SAMPLE
             local, n, moments, step = Model.__new__(Model), 0, {}, 0
             local.head, local.classes = current.value.head, current.value.classes
             local.p = {k: v.copy() for k, v in current.value.p.items()}
-            for batch in batches:
-                rows = [np.asarray(x.values, dtype=np.int64) for x in batch.column(1)]
+            for rows in (run for batch in batches for run in _runs(batch.column(1))):
                 more, step = _epoch(local, rows, moments, step)
                 n += more
             if n:
-                flat = np.concatenate([v.ravel() for v in local.p.values()]).astype(np.float32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([n], type=pa.int64()),
-                     pa.array([flat.tobytes()], type=pa.binary())], ["n", "flat"])
+                yield _flat_batch(n, np.concatenate([v.ravel() for v in local.p.values()]))
+
+        def merge(batches):
+            n, flat = _mean((a.as_py(), b.as_py()) for batch in batches
+                            for a, b in zip(batch.column(0), batch.column(1)))
+            if n:
+                yield _flat_batch(n, flat)
 
         part = (sampled.where(F.pmod("h", F.lit(rounds)) == r).select("h", "s")
                 .repartition(workers, "h").sortWithinPartitions("h"))
-        total, mean = 0, 0.0
-        for row in part.mapInArrow(work, "n long, flat binary").collect():
-            flat = np.frombuffer(row["flat"], dtype=np.float32).astype(np.float64)
-            total += row["n"]
-            mean = mean + (flat - mean) * (row["n"] / total)
+        trained = part.mapInArrow(work, "n long, flat binary")
+        if workers > MERGED:
+            trained = (trained.repartition(MERGED).sortWithinPartitions("n", "flat")
+                       .mapInArrow(merge, "n long, flat binary"))
+        total, mean = _mean((row["n"], row["flat"]) for row in trained.collect())
         if total:
             at = 0
             for k, v in model.p.items():

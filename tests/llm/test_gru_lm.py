@@ -110,5 +110,17 @@ def test_words_of_middle_rank_have_outputs_of_their_own(spark):
     assert vocabulary.head == 4096 and len(vocabulary.tail_n) == 64
 
 
+@pytest.mark.parametrize("merged", [gru_lm.MERGED, 1])
+def test_every_training_text_reaches_the_network(spark, monkeypatch, merged):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(gru_lm, "MERGED", merged)
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(gru_lm.SEED)), F.lit(1 << 20))
+    train = (spark.range(400).select(F.col("id").alias("doc_id"), F.lit("a b a b a c").alias("text"))
+             .where(draw >= (1 << 20) // 16).limit(8))
+    vocabulary = gru_lm.Vocabulary(spark, gru_lm.count_words(train))
+    assert np.abs(gru_lm.train_model(train, vocabulary, workers=2).p["ww"]).max() > 0
+
+
 def test_empty_table(spark):
     assert gru_lm.score_documents(table(spark, [])).collect() == []
