@@ -33,7 +33,6 @@ KNOWN = 1 << 18
 EMBED, UNITS = 16, 24
 WINDOW = 32
 STREAMS = 32
-PART = 1024
 ROUNDS = 4
 #: Fewest tasks of a round; there are more if each would get more than so many symbols.
 WORKERS = 12
@@ -258,32 +257,30 @@ def _sigmoid(x):
 
 
 def _epoch(model: Model, texts_: list[np.ndarray], moments: dict, step: int) -> tuple[int, int]:
-    """Train on symbol sequences, in parts of ``PART`` symbols (so that a long one does not leave
-    the other streams empty), laid end to end over ``STREAMS`` streams; the state of a stream is
-    carried over windows and cleared where a part begins. Returns the number of symbols and
-    the steps taken so far."""
+    """Train on symbol sequences, laid end to end over ``STREAMS`` streams; the state of a stream is
+    carried over windows and cleared where a text begins, and streams that have ended are left
+    out. Returns the number of symbols and the steps taken so far."""
     start = len(model.p["embed"]) - 1
     loads, streams = [0] * STREAMS, [[] for _ in range(STREAMS)]
     for text in texts_:
-        for k in range(0, len(text), PART):
-            at = int(np.argmin(loads))
-            streams[at].append(text[k:k + PART])
-            loads[at] += len(text[k:k + PART])
-    steps = max(loads)
-    symbols = np.zeros((steps, STREAMS), dtype=np.int64)
-    inputs = np.full((steps, STREAMS), start, dtype=np.int64)
-    live = np.zeros((steps, STREAMS), dtype=bool)
-    for s, parts in enumerate(streams):
-        at = 0
-        for part in parts:
-            symbols[at:at + len(part), s] = part
-            inputs[at + 1:at + len(part), s] = part[:-1]
-            at += len(part)
-        live[:at, s] = True
-    state = np.zeros((STREAMS, UNITS), dtype=np.float32)
-    for at in range(0, steps, WINDOW):
-        part, step = slice(at, at + WINDOW), step + 1
-        state = model.learn(inputs[part], symbols[part], live[part], state, moments, step)
+        at = int(np.argmin(loads))
+        streams[at].append(text)
+        loads[at] += len(text)
+    streams = sorted(filter(None, streams), key=lambda x: -sum(map(len, x)))
+    symbols = [np.concatenate(x) for x in streams]
+    inputs = [np.concatenate([np.r_[start, text[:-1]] for text in x]) for x in streams]
+    lengths = np.array([len(x) for x in symbols], dtype=np.int64)
+    state = np.zeros((len(streams), UNITS), dtype=np.float32)
+    for at in range(0, int(lengths.max(initial=0)), WINDOW):
+        n, steps = int((lengths > at).sum()), min(WINDOW, int(lengths[0]) - at)
+        here, seen = np.zeros((steps, n), dtype=np.int64), np.full((steps, n), start)
+        for j in range(n):
+            part = symbols[j][at:at + steps]
+            here[:len(part), j] = part
+            seen[:len(part), j] = inputs[j][at:at + steps]
+        live = np.arange(steps)[:, None] + at < lengths[:n]
+        step += 1
+        state = model.learn(seen, here, live, state[:n], moments, step)
     return sum(loads), step
 
 

@@ -122,5 +122,23 @@ def test_every_training_text_reaches_the_network(spark, monkeypatch, merged):
     assert np.abs(gru_lm.train_model(train, vocabulary, workers=2).p["ww"]).max() > 0
 
 
+def test_training_carries_the_state_through_long_texts():
+    model, rng = small_model()
+    texts, states, starts = [rng.integers(0, Small.symbols, n) for n in (3000, 5, 1500)], [], 0
+
+    def learn(inputs, symbols, live, state, moments, step):
+        nonlocal starts
+        starts += int((inputs[live] == Small.symbols).sum())
+        states.append((inputs[live], symbols[live]))
+        return state + 1
+
+    model.learn = learn
+    assert gru_lm._epoch(model, texts, {}, 0)[0] == 4505
+    assert starts == 3
+    assert sorted(np.concatenate([s for _, s in states])) == sorted(np.concatenate(texts))
+    assert sorted(np.concatenate([i for i, _ in states])) == sorted(
+        np.concatenate([np.r_[Small.symbols, t[:-1]] for t in texts]))
+
+
 def test_empty_table(spark):
     assert gru_lm.score_documents(table(spark, [])).collect() == []
