@@ -7,6 +7,8 @@ made for each line, since a licence notice is commonly one line of a longer docu
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,51 @@ Permission is granted to anyone to use this software for any purpose, including
     ("CC0-1.0", "Licensed under CC0 1.0."),
     ("proprietary", "All rights reserved."),
 ]
+# Files of ``known`` with whole licences as they are distributed.
+FILES = [("Apache-2.0", "Apache-2.0"), ("Artistic-1.0-Perl", "Artistic"), ("BSD-3-Clause", "BSD"),
+         ("CC0-1.0", "CC0-1.0"), ("GFDL-1.2", "GFDL-1.2"), ("GFDL-1.3", "GFDL-1.3"),
+         ("GPL-1.0", "GPL-1"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("LGPL-2.0", "LGPL-2"),
+         ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3.0", "LGPL-3"), ("MPL-1.1", "MPL-1.1"),
+         ("MPL-2.0", "MPL-2.0")]
+# Fixed value: the line after which a licence only says how to apply it.
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+# Titles that distributed files of the short licences begin with.
+TITLES = {"MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+          "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+          "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "BSD 0-Clause License"],
+          "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License",
+                           "BSD 2-Clause \"Simplified\" License", "Simplified BSD License"],
+          "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License",
+                           "BSD 3-Clause \"New\" or \"Revised\" License"],
+          "Zlib": ["zlib License", "The zlib License", "The zlib/libpng License"]}
+
+
+def _distributed() -> list[tuple[str, str]]:
+    """The short licences with their titles, a separate line of reserved rights and clauses
+    without numbers, and the files with and without what follows their terms."""
+    whole = [x for x in KNOWN if "\n" in x[1]]
+    bsd = dict(whole)["BSD-2-Clause"]
+    third = ("3. Neither the name of the copyright holder nor the names of its contributors may be "
+             "used to endorse or promote products derived from this software without specific "
+             "prior written permission.\n")
+    whole.append(("BSD-3-Clause", bsd.replace("THIS SOFTWARE IS", third + "THIS SOFTWARE IS")))
+    found = []
+    for license_id, text in whole:
+        plain = "\n".join(x[3:] if x[:1].isdigit() else x for x in text.split("\n"))
+        found += [(license_id, "\n".join([*title, *rights, body]))
+                  for title in ([], *[[x] for x in TITLES[license_id]])
+                  for rights in ([], ["All rights reserved."])
+                  for body in dict.fromkeys([text, plain])]
+    for license_id, name in FILES:
+        text = (Path(__file__).parent / "known" / f"{name}.txt").read_text(encoding="utf-8")
+        found.append((license_id, text))
+        if END_OF_TERMS in text:
+            terms = text[:text.index(END_OF_TERMS)]
+            found += [(license_id, terms), (license_id, terms + END_OF_TERMS)]
+    return [x for x in found if x not in KNOWN]
+
+
+KNOWN += _distributed()
 # Spellings that licence matching treats as equal (variant, canonical).
 SPELLINGS = [
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import pytest
 
@@ -36,6 +37,26 @@ def test_awkward_rows_and_empty_table(spark):
     assert licenses.scan_licenses(table(spark, [])).collect() == []
 
 
+def test_licences_as_they_are_distributed(spark):
+    bsd = next(t for i, t in licenses.KNOWN if i == "BSD-2-Clause")
+    own = "Copyright (c) 2020 X\n"
+    rows = [("MIT", "MIT License\n\n" + own + "\n" + MIT),
+            ("MIT", "The MIT License (MIT)\n" + own + MIT),
+            ("BSD-2-Clause", own + "All rights reserved.\n\n" + bsd),
+            ("BSD-2-Clause", "BSD 2-Clause License\n\n" + own + "All rights reserved.\n\n"
+             + bsd.replace("1. ", "* ").replace("2. ", "* "))]
+    for name, license_id in (("Apache-2.0", "Apache-2.0"), ("GPL-2", "GPL-2.0"),
+                             ("GPL-3", "GPL-3.0"), ("LGPL-3", "LGPL-3.0"), ("CC0-1.0", "CC0-1.0"),
+                             ("LGPL-2.1", "LGPL-2.1"), ("MPL-2.0", "MPL-2.0"),
+                             ("BSD", "BSD-3-Clause")):
+        text = Path(f"/usr/share/common-licenses/{name}").read_text(encoding="utf-8")
+        rows += [(license_id, text), (license_id, " ".join(text.split("\n\n")[:1])
+                                      + "\n\n" + "\n\n".join(text.split("\n\n")[1:]) + "\n")]
+    got = licenses.scan_licenses(table(spark, [(i, t, None, None)
+                                               for i, (_, t) in enumerate(rows)])).collect()
+    assert {r.doc_id: r.license_id for r in got} == {i: x for i, (x, _) in enumerate(rows)}
+
+
 def test_main_path_is_native(spark):
     plan = licenses.scan_licenses(table(spark, awkward_rows()))
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop",
