@@ -327,7 +327,7 @@ def train_model(train: DataFrame, vocabulary: Vocabulary, sample: float = SAMPLE
     """Fit on ``train(doc_id, text)`` (on a seeded share of it if ``sample`` is below 1): every
     round the current parameters go to ``workers`` tasks or more, each trains on its part of the
     round's texts, a bounded number of symbols in memory at a time, and the results (one set of
-    parameters per task) are averaged by the number of symbols, in tasks first if they are many."""
+    parameters per task) are averaged by the number of symbols, in ``MERGED`` tasks first."""
     spark = train.sparkSession
     workers = max(workers, -int(-vocabulary.n * sample // (rounds * WORKER_SYMBOLS)))
     model = Model(vocabulary)
@@ -368,10 +368,8 @@ def train_model(train: DataFrame, vocabulary: Vocabulary, sample: float = SAMPLE
 
         part = (sampled.where(F.pmod("h", F.lit(rounds)) == r).select("h", "s")
                 .repartition(workers, "h").sortWithinPartitions("h"))
-        trained = part.mapInArrow(work, "n long, flat binary")
-        if workers > MERGED:
-            trained = (trained.repartition(MERGED).sortWithinPartitions("n", "flat")
-                       .mapInArrow(merge, "n long, flat binary"))
+        trained = (part.mapInArrow(work, "n long, flat binary").repartition(MERGED)
+                   .sortWithinPartitions("n", "flat").mapInArrow(merge, "n long, flat binary"))
         total, mean = _mean((row["n"], row["flat"]) for row in trained.collect())
         if total:
             at = 0
