@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontam, fertility, gru_lm, licenses, mixing, quality_pu, simhash,
-               suffix, toxicity)
+from . import (chat, decontam, fertility, fim, gru_lm, licenses, minhash, mixing, quality_pu,
+               rtree, simhash, suffix, toxicity)
 from ._common import read_table
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -127,6 +127,72 @@ FROM d LEFT JOIN known ON known.body = array_to_string(lines, ' ') AND len(lines
 """
 
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+                  sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+r AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS a,
+             CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS b,
+             CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3,
+             CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+f AS (SELECT *, least(a, b) AS c1, greatest(a, b) AS c2,
+             CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>')
+                       OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM r),
+t AS (SELECT *, substr(text, 1, c1) AS p, substr(text, c1 + 1, c2 - c1) AS m,
+             substr(text, c2 + 1) AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN c1 END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN c2 - c1 END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM t
+"""
+
+OP12_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\x20\x09-\x0D]+') AS w
+                     FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3
+                                   THEN [array_to_string(w, ' ')]
+                                   ELSE list_transform(range(1, len(w) - 1), lambda i:
+                                        w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g
+      FROM w),
+x AS (SELECT g, min(doc_id) AS node FROM (SELECT doc_id, list_sort(g) AS g FROM s) k
+      WHERE len(g) > 0 GROUP BY g),
+e AS (SELECT node, len(g) AS n, unnest(g) AS h FROM x),
+pairs AS (SELECT a.node AS u, b.node AS v FROM e a JOIN e b ON a.h = b.h AND a.node < b.node
+          GROUP BY a.node, b.node, a.n, b.n
+          HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT u, v FROM pairs UNION SELECT v, u FROM pairs),
+reach AS (SELECT node AS u, node AS v FROM x UNION
+          SELECT r.u, edges.v FROM reach r JOIN edges ON edges.u = r.v),
+roots AS (SELECT u AS node, min(v) AS component_id FROM reach GROUP BY u)
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles,
+       coalesce(roots.component_id, s.doc_id) AS component_id,
+       s.doc_id = coalesce(roots.component_id, s.doc_id) AS kept
+FROM s LEFT JOIN x ON x.g = list_sort(s.g) LEFT JOIN roots USING (node)
+"""
+
+OP13_SQL = """
+WITH p AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, p.vec_id AS id, a.label = p.label AS same,
+             CAST(list_dot_product(a.v, p.v) AS BIGINT) AS score
+      FROM p a JOIN p ON a.vec_id <> p.vec_id WHERE a.vec_id % 100 = 0),
+pos AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+            AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 5
+"""
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     return simhash.simhash_dedup(read_table(spark, sf_dir, "documents"))
@@ -185,6 +251,27 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and cuts of every document, with digests of the output and of the text restored."""
+    done = fim.fill_in_middle(read_table(spark, sf_dir, "documents"))
+    restored = fim.restore(F.col("output"), F.col("form"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restored, 256).alias("restored_sha256"))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document by the similarity of its shingle set."""
+    return minhash.minhash_dedup(read_table(spark, sf_dir, "documents"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the positives of every anchor."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rtree.hard_negatives(rows.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
@@ -196,10 +283,16 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_lm": op9_lm,
     "op10_licenses": op10_licenses,
+    "op11_fim": op11_fim,
+    "op12_minhash": op12_minhash,
+    "op13_negatives": op13_negatives,
 }
 ORACLE = {
     "op2_decontaminate": OP2_SQL,
     "op4_chat": OP4_SQL,
     "op8_mixing": OP8_SQL,
     "op10_licenses": op10_sql(),
+    "op11_fim": OP11_SQL,
+    "op12_minhash": OP12_SQL,
+    "op13_negatives": OP13_SQL,
 }
