@@ -16,8 +16,7 @@ inside a component found before are never made.
 
 from __future__ import annotations
 
-from functools import reduce
-from math import comb
+from math import lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +32,15 @@ SEED = 42
 #: bands with probability 1.2e-5, one of 0.9 with 1.3e-8.
 BANDS, ROWS = 24, 6
 #: Signature positions compared before each test; the last is the length of a signature.
-TESTS = (128, 256, 512)
+TESTS = (128, 256, 512, 1024)
 #: Posterior probability of a link below which a pair is dropped.
 MISS = 1e-4
 #: Bytes of text taken out of an Arrow batch at a time; shingles hashed at a time.
 BLOCK_BYTES, BLOCK_SHINGLES = 2 << 20, 1 << 15
-#: Sets of one band that are compared with the band in one piece.
-PIECE = 1024
+#: Sets of one band that are compared with the band in one piece, and pivots of a bucket.
+PIECE, PIVOTS = 1024, 4
 
-_U = np.uint64
+_U, _W = np.uint64, np.uint32
 _BITS, _PER_WORD = 2, 32
 
 
@@ -69,22 +68,24 @@ def shingle_set(text: bytes, shingle: int = 3) -> np.ndarray:
 
 def _functions(positions: int) -> tuple[np.ndarray, np.ndarray]:
     rnd = np.random.default_rng(SEED)
-    a = rnd.integers(0, 1 << 63, positions, dtype=_U) * _U(2) + _U(1)
-    return a, rnd.integers(0, 1 << 63, positions, dtype=_U)
+    a = rnd.integers(0, 1 << 31, positions, dtype=_W) * _W(2) + _W(1)
+    return a, rnd.integers(0, 1 << 32, positions, dtype=_W)
 
 
 def signatures(sets: list[np.ndarray], positions: int = TESTS[-1]) -> np.ndarray:
-    """MinHash signatures (upper 32 bits of the minima) of sets that are not empty."""
+    """MinHash signatures (32-bit minima, one linear function of the hashes' upper halves per
+    position) of sets that are not empty."""
     a, b = _functions(positions)
-    out = np.full((len(sets), positions), np.iinfo(_U).max, dtype=_U)
+    out = np.full((len(sets), positions), np.iinfo(_W).max, dtype=_W)
     at, group, size = 0, [], 0
 
     def done(first: int, group: list[np.ndarray]):
-        values = np.concatenate(group)
+        values = (np.concatenate(group) >> _U(32)).astype(_W)
         starts = np.cumsum([0, *map(len, group[:-1])])
-        rows = slice(first, first + len(group))
+        rows, moved = slice(first, first + len(group)), np.empty_like(values)
         for i in range(positions):
-            least = np.minimum.reduceat(values * a[i] + b[i], starts)
+            np.add(np.multiply(values, a[i], out=moved), b[i], out=moved)
+            least = np.minimum.reduceat(moved, starts)
             np.minimum(out[rows, i], least, out=out[rows, i])
 
     for i, s in enumerate(sets):
@@ -99,7 +100,7 @@ def signatures(sets: list[np.ndarray], positions: int = TESTS[-1]) -> np.ndarray
             size += len(piece)
     if group:
         done(at, group)
-    return (out >> _U(32)).astype(np.uint32)
+    return out
 
 
 def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
@@ -112,8 +113,8 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
 
 
 def packed(signature: np.ndarray) -> np.ndarray:
-    """The low two bits of every position, 32 to a word."""
-    low = (signature & np.uint32(3)).astype(_U).reshape(len(signature), -1, _PER_WORD)
+    """Two bits of every position, 32 to a word."""
+    low = ((signature ^ (signature >> _W(15))) & _W(3)).astype(_U).reshape(len(signature), -1, _PER_WORD)
     shifts = np.arange(_PER_WORD, dtype=_U) * _U(_BITS)
     return np.bitwise_or.reduce(low << shifts, axis=2).view(np.int64)
 
@@ -126,26 +127,34 @@ def least_matches(threshold: float, tests: tuple = TESTS, miss: float = MISS,
     A position matches with probability p = s + (1 - s) * chance for similarity s. Under a uniform
     prior of s, p has the density of Beta(m + 1, n - m + 1) above ``chance``, whose tail beyond q is
     the probability of m or fewer successes among n + 1 trials with q."""
-    def tail(m: int, n: int, q: float) -> float:
-        return sum(comb(n + 1, j) * q ** j * (1 - q) ** (n + 1 - j) for j in range(m + 1))
+    def tails(n: int, q: float) -> np.ndarray:
+        """For every m the probability of m or fewer successes among n + 1 trials."""
+        logs = [lgamma(n + 2) - lgamma(j + 1) - lgamma(n + 2 - j) + j * log(q)
+                + (n + 1 - j) * log(1 - q) for j in range(n + 1)]
+        return np.cumsum(np.exp(logs))
 
     q = threshold + (1 - threshold) * chance
-    return [next(m for m in range(n + 1) if tail(m, n, q) >= miss * tail(m, n, chance))
-            for n in tests]
+    return [int(np.argmax(tails(n, q) >= miss * tails(n, chance))) for n in tests]
 
 
-def _different(a: str, b: str, word: int) -> Column:
-    """Positions that differ in one word of two packed signatures."""
-    x = F.get(F.col(a), F.lit(word)).bitwiseXOR(F.get(F.col(b), F.lit(word)))
-    either = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-    return F.bit_count(either.bitwiseAND(F.lit(0x5555555555555555)))
+def _different(a: str, b: str, word: int) -> str:
+    """Positions that differ in one word of two packed signatures, as SQL."""
+    x = f"({a}{word} ^ {b}{word})"
+    return f"bit_count(({x} | shiftrightunsigned({x}, 1)) & {0x5555555555555555}L)"
 
 
 def likely(a: str, b: str, threshold: float, tests: tuple = TESTS, miss: float = MISS) -> Column:
-    """The sequence of tests as one condition; a pair that fails one is not compared further."""
-    return reduce(Column.__and__, [
-        reduce(Column.__add__, [_different(a, b, w) for w in range(n // _PER_WORD)]) <= n - least
-        for n, least in zip(tests, least_matches(threshold, tests, miss))])
+    """The sequence of tests as one condition on the words ``<a>0``, ``<a>1``, ... of two
+    signatures; a pair that fails one is not compared further."""
+    return F.expr(" AND ".join(
+        f"{' + '.join(_different(a, b, w) for w in range(n // _PER_WORD))} <= {n - least}"
+        for n, least in zip(tests, least_matches(threshold, tests, miss))))
+
+
+def _words(array: str, name: str, n: int) -> list[Column]:
+    """The elements of an array of longs as columns ``<name>0``, ``<name>1``, ...; short and never
+    NULL, so that a join condition over them stays a small compiled method."""
+    return [F.expr(f"coalesce(get({array}, {i}), 0L) AS {name}{i}") for i in range(n)]
 
 
 def _similar_size(a: str, b: str, num: int, den: int) -> Column:
@@ -212,27 +221,33 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def shared_bands(nodes: DataFrame) -> DataFrame:
-    """(band, key, node, n, pivot, members) for every band of a set that another set shares; pivot
-    is the smallest set of the band's bucket."""
+    """(band, hash, node, n, pivots, members) for every band of a set that another set shares;
+    pivots are up to ``PIVOTS`` sets of the band's bucket, chosen by hashes of their digests."""
     index = nodes.select("node", "n", F.posexplode("bands").alias("band", "hash"))
+    drawn = [F.min(F.struct(F.xxhash64("node", F.lit(i)), "node"))["node"] for i in range(PIVOTS)]
     buckets = index.groupBy("band", "hash").agg(
-        F.min("node").alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1")
+        F.array_distinct(F.array(*drawn)).alias("pivots"),
+        F.count(F.lit(1)).alias("members")).where("members > 1")
     return index.join(buckets, ["band", "hash"])
 
 
 def near_links(nodes: DataFrame, shared: DataFrame, sets: DataFrame, num: int, den: int,
-               tests: tuple, miss: float) -> DataFrame:
+               bands: int, tests: tuple, miss: float) -> DataFrame:
     """(node, root) of all sets that have a link; ``nodes(node, n, bands, sig)``."""
+    words = tests[-1] // _PER_WORD
+
     def alike(a: str, b: str) -> Column:
         return (_similar_size(f"n_{a}", f"n_{b}", num, den)
                 & likely(f"sig_{a}", f"sig_{b}", num / den, tests, miss))
 
-    # every member with the smallest set of its bucket
+    # every member with the pivots of its bucket
     one, two = (nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
-                             F.col("sig").alias(f"sig_{x}")) for x in "uv")
-    stars = (shared.where("node <> pivot")
-             .select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct())
-    tried = cut(stars.join(one, "u").join(two, "v").where(alike("u", "v")).select("u", "v"))
+                             *_words("sig", f"sig_{x}", words)) for x in "uv")
+    stars = (shared.select("node", F.explode("pivots").alias("pivot"))
+             .where("node <> pivot").select(F.greatest("node", "pivot").alias("u"),
+                                            F.least("node", "pivot").alias("v")).distinct())
+    near = (F.col("u") == F.col("u2")) & alike("u", "v")
+    tried = cut(stars.join(two, "v").join(one.withColumnRenamed("u", "u2"), near).select("u", "v"))
     roots = cut(connected_components(_verified(tried, sets, num, den)))
 
     # what is still in different components and shares a bucket
@@ -245,17 +260,22 @@ def near_links(nodes: DataFrame, shared: DataFrame, sets: DataFrame, num: int, d
     blocks = F.ceil(F.col("members") / F.lit(PIECE)).cast("int")
 
     def side(x: str, block: Column) -> DataFrame:
-        names = {"node": x, "n": f"n_{x}", "root": f"root_{x}", "bands": f"bands_{x}",
-                 "sig": f"sig_{x}"}
-        return rest.select("band", "hash", *[F.col(c).alias(a) for c, a in names.items()],
-                           block.alias("block"))
+        return rest.select(
+            "band", "hash", *[F.col(c).alias(a) for c, a in (
+                ("node", x), ("n", f"n_{x}"), ("root", f"root_{x}"))],
+            *_words("sig", f"sig_{x}", words), *_words("bands", f"key_{x}", bands),
+            block.alias("block"))
 
     one = side("u", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     two = side("v", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    first = F.get(F.array_intersect("bands_u", "bands_v"), F.lit(0)) == F.col("hash")
-    crossing = (F.col("u") > F.col("v")) & (F.col("root_u") != F.col("root_v"))
-    more = (one.join(two, ["band", "hash", "block"]).where(crossing & alike("u", "v") & first)
-            .select("u", "v").join(tried, ["u", "v"], "left_anti"))
+    before = F.expr(" OR ".join(f"(band > {i} AND key_u{i} = key_v{i})" for i in range(bands)))
+    crossing = (alike("u", "v") & (F.col("u") > F.col("v"))
+                & (F.col("root_u") != F.col("root_v")) & ~before)
+    met = (one.join(two.withColumnsRenamed({"band": "band_v", "hash": "hash_v",
+                                            "block": "block_v"}),
+                    (F.col("hash") == F.col("hash_v")) & (F.col("block") == F.col("block_v"))
+                    & (F.col("band") == F.col("band_v")) & crossing))
+    more = met.select("u", "v").join(tried, ["u", "v"], "left_anti")
     links = _verified(cut(more), sets, num, den)
     return connected_components(
         roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
@@ -287,8 +307,8 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shared = cut(shared_bands(nodes))
     paired = nodes.join(shared.select("node").distinct(), "node", "left_semi")
     sets = cut(full_sets(docs, text_col, paired, shingle))
-    roots = near_links(paired.select("node", "n", "bands", "sig"), shared, sets, num, den, tests,
-                       miss)
+    roots = near_links(paired.select("node", "n", "bands", "sig"), shared, sets, num, den, bands,
+                       tests, miss)
     joined = (nodes.select("node", "least").join(roots, "node", "left")
               .select("node", "least", F.coalesce("root", "node").alias("root")))
     best = joined.groupBy("root").agg(F.min("least").alias("component_id"))
