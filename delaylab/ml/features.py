@@ -14,10 +14,11 @@ from pyspark import keyword_only
 from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.feature import (FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler,
                                 VectorIndexer)
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,6 +123,15 @@ def feature_hasher(cols, num_features: int = 2000, out: str = "NominalHashed") -
                          categoricalCols=list(cols))
 
 
+def sparse_entries(col: str) -> Column:
+    """``slot:value`` of every entry of a vector that is not zero, joined by commas (whole values,
+    for inspection of a few distinct vectors)."""
+    cells = F.transform(vector_to_array(col), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    used = F.filter(cells, lambda e: e["x"] != 0)
+    return F.array_join(F.transform(used, lambda e: F.concat(
+        e["i"].cast("string"), F.lit(":"), e["x"].cast("int").cast("string"))), ",")
+
+
 def suggest_hash_sizes(df: DataFrame, cols, square_up_to: int = 1000, factor: int = 20,
                        exact: bool = True) -> DataFrame:
     """Cardinality of each column and a hash-space size: the square for small domains,

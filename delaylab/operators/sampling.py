@@ -78,13 +78,23 @@ def train_test_chunks(chunked: DataFrame, n_train: int = 5, col: str = "chunk"
     return (chunked.where(F.col(col) < n_train), chunked.where(F.col(col) == n_train))
 
 
-def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Row-wise Bernoulli sample without replacement."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-
-
-def random_split(df: DataFrame, weights=(0.7, 0.3), seed: int = 42) -> list[DataFrame]:
-    """Spark's ``randomSplit``; the seed is required so reruns agree on the same input layout."""
+def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42, keys=None) -> DataFrame:
+    """Row-wise Bernoulli sample without replacement. With ``keys`` a row is drawn by the md5 hash
+    of its key: the same sample whatever the layout of the table, its retries or its engine.
+    Without, Spark's ``sample`` draws by the row's place, which depends on the layout."""
+    if keys is None:
+        return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction must be between 0 and 1")
+    return df.where(hash_unit(keys, seed) < F.lit(hash_bound(fraction)))
+
+
+def random_split(df: DataFrame, weights=(0.7, 0.3), seed: int = 42, keys=None) -> list[DataFrame]:
+    """Random parts of the table by weight. With ``keys`` by the md5 hash of the key (see
+    ``split_frames``); without, Spark's ``randomSplit``, whose parts agree between reruns only on
+    the same input layout."""
+    if keys is not None:
+        return split_frames(df, keys, weights, seed)
     return df.randomSplit(list(weights), seed)
 
 

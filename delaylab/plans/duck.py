@@ -94,3 +94,38 @@ def hash_unit(keys: list[str], seed: int = 42) -> str:
     parts = " || ':' || ".join([f"'{seed}'"] + [f"coalesce(CAST({k} AS VARCHAR), '')"
                                                 for k in keys])
     return f"CAST(('0x' || substr(md5({parts}), 1, 15)) AS BIGINT)"
+
+
+# The constants of the public 32-bit murmur3 hash.
+_C1, _C2, _ADD, _F1, _F2 = 0xCC9E2D51, 0x1B873593, 0xE6546B64, 0x85EBCA6B, 0xC2B2AE35
+_WORD = 1 << 32
+
+
+def _mul(x: str, c: int) -> str:
+    return f"CAST(CAST({x} AS HUGEINT) * {c} % {_WORD} AS BIGINT)"
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"((({x} << {r}) & {_WORD - 1}) | ({x} >> {32 - r}))"
+
+
+def murmur3_slots(keys: str, slots: int, seed: int = 42) -> str:
+    """A table (k, slot) for the table ``keys(k)`` of ASCII texts: murmur3 of the text's bytes as
+    a signed number, modulo ``slots``. Each step of the hash is one subquery."""
+    mixed = _mul(_rotl(_mul("w", _C1), 15), _C2)
+    step = f"({_mul(_rotl(f'xor(a, {mixed})', 13), 5)} + {_ADD}) % {_WORD}"
+    tail = " + ".join(f"coalesce(b[4 * n + {i + 1}], 0) * {1 << 8 * i}" for i in range(3))
+    tailed = mixed.replace("w", "t")
+    return f"""
+(SELECT k, CAST(((CASE WHEN h >= {_WORD // 2} THEN h - {_WORD} ELSE h END) % {slots} + {slots})
+        % {slots} AS INTEGER) AS slot
+ FROM (SELECT k, xor(f2, f2 >> 16) AS h
+ FROM (SELECT k, {_mul('xor(f1, f1 >> 13)', _F2)} AS f2
+ FROM (SELECT k, {_mul('xor(f0, f0 >> 16)', _F1)} AS f1
+ FROM (SELECT k, xor(xor(a, {tailed}), len(b)) AS f0
+ FROM (SELECT k, b, n, {tail} AS t, list_reduce(list_prepend({seed}::BIGINT, blocks), lambda a, w: {step}) AS a
+ FROM (SELECT k, b, n, list_transform(range(0, n), lambda i: b[4 * i + 1] + b[4 * i + 2] * 256
+              + b[4 * i + 3] * 65536 + b[4 * i + 4] * 16777216) AS blocks
+ FROM (SELECT k, b, len(b) // 4 AS n
+ FROM (SELECT k, list_transform(string_split(k, ''), lambda c: CAST(ascii(c) AS BIGINT)) AS b
+       FROM {keys}) s0) s1) s2) s3) s4) s5) s6) s7)"""

@@ -13,7 +13,7 @@ from ..functions.encode import MONTH_PERIOD
 from ..ml import evaluate, features, models
 from ..operators import clean, explore
 from ..session import scratch_path
-from ..sources import flights, sinks
+from ..sources import flights, layout, rejects, sinks
 from . import duck
 from .common import FLIGHTS_FROM_LINEITEM_STRIPPED_SQL, r6, t
 from .ml_q import _GROUP_MEAN_SQL, LABEL, _lineitem_ml, _rounded_metrics, hhmm_sql
@@ -38,13 +38,8 @@ def q_csv_round_trip(spark, sf_dir):
     return _typed_orders(back)
 
 
-@register("csv_dropmalformed", ("SRC1",), oracle=f"""
-SELECT {", ".join(_ORDER_COLS)}, count(*) OVER () AS n_rows
-FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0""")
-def q_csv_dropmalformed(spark, sf_dir):
-    """Lines with a field missing (key % 11 = 0) or an extra field (key % 13 = 0) are written
-    as text, then read by the library's reader: those rows are dropped however the table is
-    projected (``n_rows`` counts them over one column)."""
+def _planted_lines(spark, sf_dir) -> str:
+    """A folder of CSV with orders whose line lacks a field (key % 11 = 0) or has one more."""
     o = t(spark, sf_dir, "orders").select(*_ORDER_COLS)
     k = F.col("o_orderkey")
     fields = [F.col(c).cast("string") for c in _ORDER_COLS]
@@ -56,11 +51,63 @@ def q_csv_dropmalformed(spark, sf_dir):
     path = scratch_path(spark, "orders-malformed")
     (o.select(line.alias(",".join(_ORDER_COLS))).write.mode("overwrite")
      .option("header", True).option("sep", "\u0001").csv(path))
+    return path
+
+
+@register("csv_dropmalformed", ("SRC1",), oracle=f"""
+SELECT {", ".join(_ORDER_COLS)}, count(*) OVER () AS n_rows
+FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0""")
+def q_csv_dropmalformed(spark, sf_dir):
+    """Lines with a field missing (key % 11 = 0) or an extra field (key % 13 = 0) are written
+    as text, then read by the library's reader: those rows are dropped however the table is
+    projected (``n_rows`` counts them over one column)."""
+    path = _planted_lines(spark, sf_dir)
     back = flights.read_flights(spark, path, columns=_ORDER_COLS)
     return _typed_orders(back).withColumn("n_rows", F.lit(back.select("o_custkey").count())
                                           .cast("long"))
 
 
+@register("csv_rejects", ("SRC1",), oracle="""
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'too few fields' ELSE 'too many fields' END
+         AS reason, CASE WHEN o_orderkey % 11 = 0 THEN 4 ELSE 6 END AS n_fields, true AS has_file,
+       (SELECT count(*) FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0) AS n_good,
+       count(*) OVER () AS n_rejected
+FROM orders WHERE o_orderkey % 11 = 0 OR o_orderkey % 13 = 0""")
+def q_csv_rejects(spark, sf_dir):
+    """The rejected lines with their reason, beside the counts of both kinds."""
+    found = rejects.ingest(spark, _planted_lines(spark, sf_dir), _ORDER_COLS)
+    return found.rejected.select(
+        F.split("line", ",")[0].try_cast("bigint").alias("o_orderkey"), "reason", "n_fields",
+        F.col("file").endswith(".csv").alias("has_file"),
+        F.lit(found.n_good).cast("long").alias("n_good"),
+        F.lit(found.n_rejected).cast("long").alias("n_rejected"))
+
+
+@register("csv_rejects_good", ("SRC1",), oracle=f"""
+SELECT {", ".join(_ORDER_COLS)} FROM orders
+WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0""")
+def q_csv_rejects_good(spark, sf_dir):
+    """The good rows beside the rejected lines."""
+    return _typed_orders(rejects.ingest(spark, _planted_lines(spark, sf_dir), _ORDER_COLS).good)
+
+
+@register("years_layout", ("SNK1", "SRC3"), oracle="""
+SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) AS Year,
+       CASE WHEN year(o_orderdate) = 1996 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice
+FROM orders WHERE year(o_orderdate) IN (1995, 1996)""")
+def q_years_layout(spark, sf_dir):
+    """Orders in folders by year; one year is written anew (negated) beside the others, then two
+    years are read."""
+    o = t(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.year("o_orderdate").cast("string").alias("Year"))
+    path = scratch_path(spark, "orders-by-year")
+    layout.write_partitioned(o, path)
+    layout.write_partitioned(o.where("Year = '1996'").withColumn("o_totalprice", -o.o_totalprice),
+                             path)
+    back = layout.read_partitioned(spark, path, only={"Year": ["1995", "1996"]})
+    return back.select("o_orderkey", "Year", "o_totalprice")
+
+
 @register("results_round_trip", ("SNK3", "SNK4"), oracle=_GROUP_MEAN_SQL)
 def q_results_round_trip(spark, sf_dir):
     li = t(spark, sf_dir, "lineitem").select("l_returnflag", LABEL)

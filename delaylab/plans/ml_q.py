@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..ml import evaluate, features, models, tuning
+from ..ml import evaluate, features, ledger, models, nominal, tuning
 from ..operators import explore, sampling
 from ..operators._plan import attach_small
 from ..session import scratch_path
@@ -66,24 +66,72 @@ def q_string_index_keep(spark, sf_dir):
     return model.transform(e)
 
 
-@register("feature_hash", "FEA3", oracle="""
-SELECT l_orderkey, l_linenumber, true AS slots_fit, true AS same_as_first FROM lineitem""")
+_RANK = """(SELECT CAST({c} AS VARCHAR) AS v,
+  CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1 AS DOUBLE) AS idx
+  FROM lineitem {where} GROUP BY {c})"""
+
+
+@register("nominal_index", "FEA1", oracle=f"""
+SELECT l_orderkey, l_linenumber, o.idx AS l_orderkey_Index, p.idx AS l_partkey_Index,
+       f.idx AS l_returnflag_Index
+FROM lineitem JOIN {_RANK.format(c="l_orderkey", where="")} o ON CAST(l_orderkey AS VARCHAR) = o.v
+     JOIN {_RANK.format(c="l_partkey", where="")} p ON CAST(l_partkey AS VARCHAR) = p.v
+     JOIN {_RANK.format(c="l_returnflag", where="")} f ON l_returnflag = f.v""")
+def q_nominal_index(spark, sf_dir):
+    """Index of columns with as many labels as a quarter of the rows: the labels stay a table."""
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
+                                             "l_returnflag")
+    model = nominal.frequency_indexer(["l_orderkey", "l_partkey", "l_returnflag"], "error").fit(li)
+    return model.transform(li).drop("l_partkey", "l_returnflag")
+
+
+@register("nominal_index_keep", "FEA2", oracle=f"""
+SELECT l_orderkey, l_linenumber, coalesce(p.idx, (SELECT count(DISTINCT l_partkey) FROM lineitem
+         WHERE l_linenumber = 1)) AS l_partkey_Index,
+       coalesce(f.idx, (SELECT count(DISTINCT l_returnflag) FROM lineitem
+         WHERE l_linenumber = 1 AND l_returnflag <> 'R')) AS l_returnflag_Index
+FROM lineitem
+LEFT JOIN {_RANK.format(c="l_partkey", where="WHERE l_linenumber = 1")} p
+  ON CAST(l_partkey AS VARCHAR) = p.v
+LEFT JOIN {_RANK.format(c="l_returnflag", where="WHERE l_linenumber = 1 AND l_returnflag <> 'R'")} f
+  ON l_returnflag = f.v""")
+def q_nominal_index_keep(spark, sf_dir):
+    """Fitted on the first line of every order: unseen labels and NULLs get the next index. The
+    model goes through storage."""
+    li = t(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        F.nullif(F.col("l_returnflag"), F.lit("R")).alias("l_returnflag"))
+    model = nominal.frequency_indexer(["l_partkey", "l_returnflag"]).fit(
+        li.where("l_linenumber = 1"))
+    path = scratch_path(spark, "nominal-index")
+    model.save(path)
+    loaded = nominal.FrequencyIndexerModel.load(path)
+    return loaded.transform(li).drop("l_partkey", "l_returnflag")
+
+
+_HASHED = ("l_returnflag", "l_linestatus", "l_suppkey")
+_KEYS = " UNION ".join(f"SELECT '{c}=' || CAST({c} AS VARCHAR) AS k FROM lineitem"
+                       for c in _HASHED)
+
+
+@register("feature_hash", "FEA3", oracle=f"""
+WITH m AS (SELECT * FROM {duck.murmur3_slots(f"({_KEYS})", 2000)} x),
+d AS (SELECT DISTINCT {", ".join(_HASHED)} FROM lineitem),
+e AS (SELECT {", ".join(_HASHED)}, slot, count(*) AS n
+      FROM d JOIN m ON m.k IN ({", ".join(f"'{c}=' || CAST({c} AS VARCHAR)" for c in _HASHED)})
+      GROUP BY ALL),
+s AS (SELECT {", ".join(_HASHED)}, string_agg(slot || ':' || n, ',' ORDER BY slot) AS slots
+      FROM e GROUP BY {", ".join(_HASHED)})
+SELECT l_orderkey, l_linenumber, slots FROM lineitem JOIN s USING ({", ".join(_HASHED)})""")
 def q_feature_hash(spark, sf_dir):
-    """Facts that hold whatever the hash function: one to three slots of value 1 to 3 that sum to
-    three, inside the hash space, and equal inputs have equal slots (compared with the first row
-    of the same inputs)."""
+    """Slot and value of every hashed feature, by row. The few thousand distinct inputs are
+    hashed, their slots read from the sparse vectors and joined back."""
     li = _lineitem_ml(spark, sf_dir)
-    names = ["l_returnflag", "l_linestatus", "l_suppkey"]
-    v = features.feature_hasher(names, 2000, "hashed").transform(li).select(
-        "l_orderkey", "l_linenumber", *names, vector_to_array("hashed").alias("v"))
-    used = F.filter("v", lambda x: x != 0)
-    v = v.select("l_orderkey", "l_linenumber", *names, F.xxhash64("v").alias("slots"), (
-        (F.size("v") == 2000) & F.size(used).between(1, 3)
-        & (F.aggregate(used, F.lit(0.0), lambda a, x: a + x) == 3)).alias("slots_fit"))
-    seen = v.groupBy(*names).agg(F.min("slots").alias("first"))
-    return attach_small(v, seen, names).select(
-        "l_orderkey", "l_linenumber", "slots_fit",
-        (F.col("slots") == F.col("first")).alias("same_as_first"))
+    names = list(_HASHED)
+    seen = li.select(*names).distinct()
+    v = features.feature_hasher(names, 2000, "hashed").transform(seen)
+    slots = v.select(*names, features.sparse_entries("hashed").alias("slots"))
+    return attach_small(li, slots, names).select("l_orderkey", "l_linenumber", "slots")
 
 
 @register("hash_sizes", "FEA4", oracle="""
@@ -356,6 +404,49 @@ def q_tune_cv_folds(spark, sf_dir):
         F.lit(type(tuning.best_stage(best)).__name__).alias("best_stage"))
 
 
+class _Interrupted(Exception):
+    """Stands for the end of a run."""
+
+
+@register("tune_restart", ("TUN1", "TUN2", "TUN4", "TUN5", "EVA6"), oracle=f"""
+WITH h AS (SELECT {LABEL}, l_quantity, CAST(least({_U} // {_THIRD}, 2) AS INTEGER) AS f
+           FROM lineitem),
+r AS (SELECT unnest([{", ".join(_regr(f"f <> {i}", f"f = {i}") for i in range(3))}]) AS rmse)
+SELECT g.grid_point, g.params, round(avg(rmse), 3) AS mean_rmse,
+       round(stddev_pop(rmse), 3) AS std_rmse, 4 AS fits_before, 3 AS fits_after,
+       'LinearRegressionModel' AS best_stage
+FROM r, (VALUES (0, 'maxIter=5'), (1, 'maxIter=10')) g(grid_point, params)
+GROUP BY g.grid_point, g.params""")
+def q_tune_restart(spark, sf_dir):
+    """A cross-validation that ends after four of its six fits and is started again with the same
+    ledger: the second run fits the other two and the best model."""
+    data, lr = _tagged(spark, sf_dir, solver="normal")
+    data = sampling.hash_split(data, ["l_orderkey", "l_linenumber"], (1, 1, 1), 42, "fold")
+    grid = tuning.param_grid(lr, {"maxIter": [5, 10]})
+    kept = ledger.Ledger(spark, scratch_path(spark, "ledger"), "cv")
+    fit, fits = lr.fit, []
+
+    def counted(train, params=None, stop=None):
+        if stop is not None and len(fits) >= stop:
+            raise _Interrupted
+        fits.append(params)
+        return fit(train, params)
+
+    lr.fit = lambda train, params=None: counted(train, params, 4)
+    try:
+        tuning.cross_validate(lr, grid, data, LABEL, fold_col="fold", ledger=kept)
+    except _Interrupted:
+        pass
+    before = len(fits)
+    lr.fit = counted
+    results, best, _ = tuning.cross_validate(lr, grid, data, LABEL, fold_col="fold", ledger=kept)
+    return results.select(
+        "grid_point", "params", F.round("mean_rmse", 3).alias("mean_rmse"),
+        F.round("std_rmse", 3).alias("std_rmse"), F.lit(before).alias("fits_before"),
+        F.lit(len(fits) - before).alias("fits_after"),
+        F.lit(type(tuning.best_stage(best)).__name__).alias("best_stage"))
+
+
 @register("tune_tvs_hash", ("TUN1", "TUN3", "TUN6", "EVA6"), oracle=f"""
 WITH h AS (SELECT {LABEL}, l_quantity, {_U} < {_QUARTERS} AS train FROM lineitem)
 SELECT 0 AS grid_point, 'solver=normal' AS params,

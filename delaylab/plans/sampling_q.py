@@ -84,11 +84,22 @@ def q_disjoint_chunks(spark, sf_dir):
             .unionByName(test.withColumn("role", F.lit("test"))))
 
 
-@register("bernoulli_sample", "SAM1", oracle="""
-SELECT 0 AS not_in_table, true AS near_share, true AS without_replacement""")
+_10 = sampling.hash_bound(0.1)
+
+
+@register("bernoulli_sample", "SAM1", oracle=f"""
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE {_U} < {_10}""")
 def q_bernoulli_sample(spark, sf_dir):
-    """The sample itself depends on the scan's layout; what must hold of any: every row is a row
-    of the table, none twice, and their number is within six standard deviations."""
+    """A tenth of the orders, drawn by key: the twin draws the same rows."""
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return sampling.bernoulli_sample(o, 0.1, seed=42, keys=["o_orderkey"])
+
+
+@register("bernoulli_sample_layout", "SAM1", oracle="""
+SELECT 0 AS not_in_table, true AS near_share, true AS without_replacement""")
+def q_bernoulli_sample_layout(spark, sf_dir):
+    """The sample without keys depends on the scan's layout; what must hold of any: every row is a
+    row of the table, none twice, and their number is within six standard deviations."""
     o = t(spark, sf_dir, "orders")
     s = sampling.bernoulli_sample(o, 0.1, seed=42)
     back = s.join(o.select(F.col("o_orderkey").alias("k")), F.col("o_orderkey") == F.col("k"),
@@ -100,11 +111,26 @@ def q_bernoulli_sample(spark, sf_dir):
         (F.count(F.lit(1)) == F.count_distinct("o_orderkey")).alias("without_replacement"))
 
 
-@register("random_split", "SAM2", oracle="""
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""")
+@register("random_split", "SAM2", oracle=f"""
+SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN {_U} < {_70} THEN 'train' ELSE 'test' END
+         AS part FROM orders""")
 def q_random_split(spark, sf_dir):
-    """Both sides of the split together are the table, each row once."""
+    """Both parts of a split by key, each row with its part."""
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    train, test = sampling.random_split(o, (0.7, 0.3), seed=42, keys=["o_orderkey"])
+    return (train.withColumn("part", F.lit("train"))
+            .unionByName(test.withColumn("part", F.lit("test"))))
+
+
+@register("random_split_layout", "SAM2", oracle="""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+       true AS near_share FROM orders""")
+def q_random_split_layout(spark, sf_dir):
+    """Both parts of Spark's split together are the table, each row once, and the first has its
+    share within six standard deviations."""
     o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                           "o_totalprice", "o_orderpriority")
     train, test = sampling.random_split(o, (0.7, 0.3), seed=42)
-    return train.unionByName(test)
+    n, part = o.count(), train.count()
+    return train.unionByName(test).withColumn(
+        "near_share", F.lit(abs(part - 0.7 * n) <= 6 * (0.21 * n) ** 0.5))
