@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -74,6 +76,17 @@ def pieces(batch: pa.RecordBatch, column: int, size: int):
         yield batch.slice(int(a), int(b - a))
 
 
+def release() -> None:
+    """Give the memory that Arrow keeps for further batches back to the machine: workers live on
+    after their task, beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+
+
+def process_cache() -> dict:
+    """What a worker process keeps from one task to the next (vocabularies)."""
+    return sys.__dict__.setdefault("_delaylab_process_cache", {})
+
+
 def with_text_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``_id`` and ``_text`` beside a digest ``_key`` of the text, without the other columns, so
     that columns of any other name cannot clash."""

@@ -23,11 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators._plan import MAX_BROADCAST_BYTES, measured_bytes
-from ._common import cut, pieces, texts
+from ._common import cut, pieces, process_cache, release, texts
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-#: Words whose tokens a task remembers; beyond it the memory starts anew.
-REMEMBERED = 200_000
+#: Bytes that a task spends on remembered words and their tokens; beyond them it starts anew.
+REMEMBERED_BYTES = 16 << 20
 #: Bytes of text taken out of an Arrow batch at a time.
 BLOCK_BYTES = 4 << 20
 # Fixed value: how this vocabulary's texts are split before merging.
@@ -134,27 +134,44 @@ class Fertility:
         self.is_byte = np.zeros(self.size, dtype=bool)
         self.is_byte[[i for piece, i in ranks.items()
                       if not piece.isascii() and _broken(piece)]] = True
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, np.ndarray] = {}
+        self.held = 0
+
+    def parts(self) -> tuple:
+        """What is the same in every task."""
+        return self.model, self.size, self.is_byte
+
+    @classmethod
+    def of(cls, parts: tuple) -> "Fertility":
+        """A vocabulary from its parts, with an empty memory of words."""
+        out = cls.__new__(cls)
+        out.model, out.size, out.is_byte = parts
+        out.known, out.held = {}, 0
+        return out
 
-    def lookup(self, words: list[bytes]) -> list[list[int]]:
+    def lookup(self, words: list[bytes]) -> list[np.ndarray]:
         known, out = self.known, []
-        if len(known) > REMEMBERED:
-            known.clear()
         for w in words:
             tokens = known.get(w)
             if tokens is None:
-                tokens = self.model.encode_ordinary(" " + w.decode("utf-8", "replace"))
-                known[w] = tokens
+                tokens = np.array(self.model.encode_ordinary(" " + w.decode("utf-8", "replace")),
+                                  dtype=np.int32)
+                size = len(w) + tokens.nbytes + 250  # objects and their place in the table
+                if self.held + size > REMEMBERED_BYTES:
+                    known.clear()
+                    self.held = 0
+                if size <= REMEMBERED_BYTES // 16:
+                    known[w] = tokens
+                    self.held += size
             out.append(tokens)
         return out
 
     def measure(self, words: list[bytes], chars: int) -> tuple:
         """n_tokens, characters per token, share of byte tokens, token entropy relative to that of
         as many different tokens, and sketches; NULL-free zeros for a text without tokens."""
-        flat = [i for tokens in self.lookup(words) for i in tokens]
-        if not flat:
+        flat = np.concatenate([np.zeros(0, dtype=np.int32), *self.lookup(words)])
+        if not len(flat):
             return 0, 0.0, 0.0, 0.0, *[0] * len(SALTS)
-        flat = np.array(flat, dtype=np.int32)
         ids, counts = np.unique(flat, return_counts=True)
         n = len(flat)
         share = counts / n
@@ -164,6 +181,14 @@ class Fertility:
                 bits / most if most else 1.0, *sketches(flat))
 
 
+def fertility_of(path: str) -> Fertility:
+    """The vocabulary of a file, loaded once per worker process."""
+    cache = process_cache()
+    if ("fertility", path) not in cache:
+        cache["fertility", path] = Fertility(path).parts()
+    return Fertility.of(cache["fertility", path])
+
+
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str | None = "lang", vocabulary: str = VOCABULARY) -> DataFrame:
     """Base counts and token measures, one row per row of ``docs``, with the ``band`` (language,
@@ -174,7 +199,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        tokens = Fertility(vocabulary)
+        tokens = fertility_of(vocabulary)
         for batch in (part for b in batches for part in pieces(b, 1, BLOCK_BYTES)):
             rows = []
             for text, lang in zip(texts(batch.column(1)), batch.column(2).to_pylist()):
@@ -190,6 +215,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 [batch.column(0), batch.column(3),
                  *[pa.array(c, type=t) for c, (_, t, _) in zip(columns, KINDS)]],
                 ["doc_id", "_key", *[n for n, _, _ in KINDS]])
+        release()
 
     return source.mapInArrow(run, f"doc_id {kind}, _key long, "
                              + ", ".join(f"{n} {t}" for n, _, t in KINDS))

@@ -117,8 +117,8 @@ def _prefix(sized: DataFrame, wanted: DataFrame) -> DataFrame:
         found.append(split.where(low | high).withColumn("extra", low).drop("bin", "start"))
         left = (split.where(~low & ~high).withColumn("before", F.col("start"))
                 .drop("bin", "start"))
-    upto = F.expr("before + sum(size) OVER (PARTITION BY pattern ORDER BY hash, id "
-                  "ROWS UNBOUNDED PRECEDING)")
+    upto = F.expr("before + sum(size) OVER (PARTITION BY pattern ORDER BY hash, id, "
+                  "_key, size ROWS UNBOUNDED PRECEDING)")
     last = left.withColumn("after", upto).withColumn(
         "extra", 2 * F.col("after") - F.col("size") <= 2 * F.col("r")).drop("after")
     for part in found:
@@ -134,9 +134,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``source_col`` is a string, or an array of strings for documents of several sources; of an
     array's sources source_size and target are sums. size counts words, taken those that the mix
-    takes, whole documents at a time, at most ``repeats`` times each. NULL and empty texts have
+    takes, whole documents at a time, at most ``repeats`` times each, in an order drawn from id and
+    text, so reruns agree on any layout, also where ids are shared or NULL. NULL and empty texts have
     size 0; NULL is a source of its own, the last; a document of no source (an empty array) is
-    not taken; rows with equal id and size are interchangeable, each is counted; an empty table
+    not taken; rows with equal id and text are interchangeable, each is counted; an empty table
     gives an empty result; other columns are not read.
     """
     several = docs.schema[source_col].dataType.simpleString().startswith("array")
@@ -146,7 +147,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("_key"),
         word_count(F.col(text_col)).alias("size"),
         F.to_json(names, {"ignoreNullFields": "false"}).alias("pattern"), names.alias("names"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")),
+                       F.lit(":"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
         .alias("hash")))
     rows = (sized.groupBy("pattern").agg(F.first("names").alias("names"),
                                          F.sum("size").alias("size"))

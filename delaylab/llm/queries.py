@@ -62,7 +62,7 @@ FROM t
 """
 
 OP8_SQL = r"""
-WITH d AS (SELECT doc_id, source, md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+WITH d AS (SELECT doc_id, source, md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS h,
                   CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT)
                       AS size
            FROM documents),

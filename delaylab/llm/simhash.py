@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import LOWER_BYTES, cut, pieces, texts
+from ._common import LOWER_BYTES, cut, pieces, release, texts
 from .components import connected_components
 
 SEED = 42
@@ -49,18 +49,21 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 3) -> DataFrame:
-    """One row (doc_id, fp) per row of ``docs``; fp holds the 64 bits as a signed long."""
+    """One row (doc_id, key, fp) per row of ``docs``; key is xxhash64 of the text, fp holds the 64
+    bits as a signed long."""
     def run(batches):
         for batch in batches:
             for part in pieces(batch, 1, BLOCK_BYTES):
                 values = [fingerprint(t, shingle) for t in texts(part.column(1))]
                 signed = np.array(values, dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(signed)],
-                                                 ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(2), pa.array(signed)], ["doc_id", "key", "fp"])
+            release()
 
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                         F.xxhash64(F.col(text_col)).alias("key"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, fp long")
+    return source.mapInArrow(run, f"doc_id {kind}, key long, fp long")
 
 
 def _masks(bits: int, radius: int) -> list[int]:
@@ -103,12 +106,21 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     id never names a component unless all its members have none; repeated rows are repeated in
     the result; an empty table gives an empty result. Other columns of ``docs`` are not read.
     """
+    return simhash_classes(docs, id_col, text_col, shingle, max_distance, segments).drop(
+        "root", "key")
+
+
+def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = 3, max_distance: int = 3, segments: int = 2) -> DataFrame:
+    """``simhash_dedup`` with root (the smallest fingerprint of the component, which names it also
+    where its documents have no id) and key (xxhash64 of the text)."""
     prints = cut(fingerprints(docs, id_col, text_col, shingle))
     classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = connected_components(links(classes.select("fp"), max_distance, segments))
     joined = (classes.join(roots, classes.fp == roots.node, "left")
               .select("fp", "least", F.coalesce("root", "fp").alias("root")))
     best = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = joined.join(best, "root").select("fp", "component_id")
+    named = joined.join(best, "root").select("fp", "component_id", "root")
     return prints.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
+        "root", "key")

@@ -297,6 +297,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     path = scratch_path(spark, "occurrences")
     occurrences = _occurrences(source, filters, length)
     occurrences.write.parquet(path)
+    filters.destroy()  # 64 MB at most on every executor, not needed again
     found = spark.read.schema(occurrences.schema).parquet(path)
     counted = found.groupBy("context", "phrase").agg(F.count(F.lit(1)).alias("c"))
     whole = counted.where("c > 1").select(

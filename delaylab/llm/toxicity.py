@@ -34,8 +34,6 @@ REMEMBERED = 1_000_000
 PRIOR = 0.05
 #: Least significance of a lexicon token (root of twice its log-likelihood ratio).
 MIN_Z = 4.5
-#: Size of the model: tokens of the lexicon, those with the largest z.
-LEXICON = 5000
 #: Texts used to fit the three curves (lambda and K, the logistic's two numbers).
 FIT_ROWS = 50_000
 THRESHOLD = 0.3
@@ -83,7 +81,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, label_col: str, train) -> Data
     if measured_bytes(first) <= MAX_BROADCAST_BYTES:
         first = F.broadcast(first)
     keyed = keyed.drop("label").join(first, "_key")
-    return keyed.where("_id = _first").select("_id", "text", "label")
+    return (keyed.where("_id = _first").dropDuplicates(["_key"])
+            .select("_id", "text", "label"))
 
 
 def word_tokens(word: str) -> list[str]:
@@ -91,8 +90,10 @@ def word_tokens(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in STEMS if n <= len(word))]
 
 
-def lexicon(train: DataFrame, size: int = LEXICON, min_z: float = MIN_Z):
-    """({token: score}, score of all other words) from ``train(text, label)``."""
+def lexicon(train: DataFrame, min_z: float = MIN_Z):
+    """({token: score}, score of all other words) from ``train(text, label)``. Every token of
+    significance ``min_z`` or more is in the lexicon; one that is too large for every task to hold
+    is an error (raise ``min_z``), never cut."""
     counts = cut(train.select(F.explode(F.array_distinct(words(F.col("text")))).alias("word"),
                               "label")
                  .groupBy("word").agg(F.sum(F.col("label").cast("long")).alias("y1"),
@@ -118,8 +119,9 @@ def lexicon(train: DataFrame, size: int = LEXICON, min_z: float = MIN_Z):
     top = cut(tokens.withColumn("odds", odds)
               .where(F.col("y1") > F.col("y") * share)
               .withColumn("z", F.sqrt(F.greatest(2 * gain, F.lit(0.0))))
-              .where(F.col("z") >= min_z).orderBy(F.desc("z"), "token").limit(size)
-              .select("token", "odds"))
+              .where(F.col("z") >= min_z).select("token", "odds"))
+    if measured_bytes(top) > MAX_BROADCAST_BYTES:
+        raise ValueError(f"the lexicon has more than {MAX_BROADCAST_BYTES} bytes: raise min_z")
     hits = (parts.join(F.broadcast(top), "token").select("word", "y1", "y").distinct()
             .agg(F.sum("y1"), F.sum("y")).first())
     hits1, hits0 = hits[0] or 0, (hits[1] or 0) - (hits[0] or 0)

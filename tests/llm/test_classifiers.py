@@ -97,3 +97,13 @@ def test_prior_and_non_negative_risk_on_gaussians():
     net = quality_pu.fit(good[2800:], unlabelled, prior, rng, 20)
     assert (net.forward(good[:1000])[0] > 0).mean() > 0.93
     assert (net.forward(bad[2000:])[0] < 0).mean() > 0.9
+
+
+def test_repeated_labelled_rows_count_once(spark):
+    docs = spark.createDataFrame([(1, "bad word"), (1, "bad word"), (1, "bad word"),
+                                  (2, "bad word"), (3, "good one")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    from pyspark.sql import functions as F
+
+    found = toxicity._labelled(docs, labels, "toxic", lambda _: F.lit(True))
+    assert sorted(map(tuple, found.collect())) == [(1, "bad word", 1), (3, "good one", 0)]
