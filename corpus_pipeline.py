@@ -21,36 +21,42 @@ ORACLE_SQL = None
 
 
 def _match(docs: DataFrame, verdicts: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` joined with ``verdicts(doc_id, _key, ...)``; verdicts are broadcast if
-    their measured size allows."""
-    verdicts = cut(verdicts.withColumnsRenamed({"doc_id": "_id", "_key": "_digest"}))
+    """Rows of ``docs`` that have a verdict (``left_semi``), or each with its verdict's further
+    columns (``inner``; columns of ``docs`` with their names give way to them).
+    ``verdicts(doc_id, _key, ...)`` are broadcast if their measured size allows. Rows travel as one
+    struct, so no column name can clash."""
+    more = [c for c in verdicts.columns if c not in ("doc_id", "_key")]
+    verdicts = cut(verdicts.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_digest"),
+                                   F.struct(F.lit(True), *more).alias("_verdict")))
     if measured_bytes(verdicts) <= MAX_BROADCAST_BYTES:
         verdicts = F.broadcast(verdicts)
-    same = (docs["doc_id"].eqNullSafe(verdicts["_id"])
-            & (F.xxhash64(docs["text"]) == verdicts["_digest"]))
-    return docs.join(verdicts, same, how)
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+                         docs["doc_id"].alias("_own"), F.xxhash64(docs["text"]).alias("_text"))
+    same = packed["_own"].eqNullSafe(verdicts["_id"]) & (packed["_text"] == verdicts["_digest"])
+    kept = packed.join(verdicts, same, how)
+    if how == "left_semi":
+        more = []
+    return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in more],
+                       *[F.col("_verdict")[c].alias(c) for c in more])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    rules = fertility.quality_rules(docs, lang_col="lang")
+    """Documents that the quality rules keep; without a column ``lang`` all are judged by script."""
+    rules = fertility.quality_rules(docs, lang_col="lang" if "lang" in docs.columns else None)
     return _match(docs, rules.where("kept").select("doc_id", "_key").distinct(), "left_semi")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id. Of rows that
-    repeat this id one stays; documents without an id are only compared with those that have one,
-    and by whole text."""
-    classes = simhash.simhash_dedup(docs)
-    best = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_best")).distinct()
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("_key"))
-    apart = F.when(F.col("doc_id").isNull(), F.col("_key"))
-    first = cut(keyed.groupBy("doc_id", apart.alias("_apart")).agg(
-        F.min("_key").alias("_key"), F.count(F.lit(1)).alias("_rows")).drop("_apart"))
-    picked = first.join(best, F.col("doc_id").eqNullSafe(F.col("_best")), "left_semi")
+    """One document of each near-duplicate group: the one with the smallest id (documents without
+    an id come last), of those that share it the one with the smallest text digest; of a repeated
+    row one stays. Every group keeps one, whatever ids its documents have."""
+    classes = simhash.simhash_classes(docs)
+    rows = classes.groupBy("root", "doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key", "n")).alias("f")
+    picked = cut(rows.groupBy("root").agg(first).select(
+        F.col("f.doc_id").alias("doc_id"), F.col("f.key").alias("_key"), F.col("f.n").alias("n")))
     kept = _match(docs, picked.select("doc_id", "_key"), "left_semi")
-    if first.where("_rows > 1").isEmpty():
+    if picked.where("n > 1").isEmpty():
         return kept
     return kept.dropDuplicates(["doc_id", "text"])
 
@@ -75,11 +81,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with size, source_size, target and taken (words taken,
-    repeats counted)."""
+    repeats counted; columns of these names in ``docs`` give way to them)."""
     mixed = mixing.mix(docs).where("taken > 0")
     mixed = mixed.groupBy("doc_id", "_key").agg(
         *[F.max(c).alias(c) for c in ("size", "source_size", "target", "taken")])
-    return _match(docs, mixed, "inner").drop("_id", "_digest")
+    return _match(docs, mixed, "inner")
 
 
 STAGES = [
