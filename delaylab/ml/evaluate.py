@@ -11,21 +11,21 @@ from .._util import as_list
 def regression_metrics(df: DataFrame, prediction: str = "prediction", label: str = "ArrDelay_Int",
                        by=None) -> DataFrame:
     """RMSE, MSE, MAE, R^2 and explained variance (mean squared deviation of the predictions
-    from the label mean), per group or overall. Two aggregates: label mean, then the sums;
-    partially aggregated, one row per group."""
+    from the label mean), per group or overall. One aggregate of mergeable central moments, one row
+    per group: the mean squared deviation of p from the mean of y is the variance of p plus the
+    square of the mean of p - y, so large labels do not cancel."""
     by = as_list(by)
     p, y = F.col(prediction).cast("double"), F.col(label).cast("double")
     pairs = df.select(*by, p.alias("_p"), y.alias("_y")).where(
         F.col("_p").isNotNull() & F.col("_y").isNotNull())
-    # sums of y and y^2 give SS_tot, so one pass is enough; (p - ybar)^2 expands likewise.
     agg = pairs.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum((F.col("_p") - F.col("_y")) ** 2).alias("_sse"),
         F.sum(F.abs(F.col("_p") - F.col("_y"))).alias("_sae"),
-        F.var_pop("_y").alias("_vy"), F.avg("_y").alias("_my"),
-        F.avg((F.col("_p")) ** 2).alias("_mp2"), F.avg("_p").alias("_mp"))
+        F.var_pop("_y").alias("_vy"), F.var_pop("_p").alias("_vp"),
+        F.avg(F.col("_p") - F.col("_y")).alias("_bias"))
     mse = F.col("_sse") / F.col("n")
-    var_expl = F.col("_mp2") - 2 * F.col("_mp") * F.col("_my") + F.col("_my") ** 2
+    var_expl = F.col("_vp") + F.col("_bias") ** 2
     return agg.select(*by, "n", F.sqrt(mse).alias("rmse"), mse.alias("mse"),
                       (F.col("_sae") / F.col("n")).alias("mae"),
                       (1 - mse / F.col("_vy")).alias("r2"), var_expl.alias("var"))

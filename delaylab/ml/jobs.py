@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..operators import sampling
 from ..operators._plan import spread
 from . import evaluate, features, models, tuning
+from .nominal import frequency_indexer
 
 # The columns that identify one flight (the split key), and the reference's grids.
 FLIGHT_KEY = ("Year", "Month", "DayofMonth", "UniqueCarrier", "FlightNum", "Origin", "CRSDepTime")
@@ -105,7 +106,7 @@ def indexed_stages(table: TrainingTable) -> tuple[list, int]:
     nominal = features.nominal_columns(table.columns)
     if not nominal or "NominalHashed" in table.columns:
         return [*features.nominal_stages(table.columns), features.assemble(table.columns)], 32
-    indexer = features.string_indexer(nominal, "keep").fit(table.train)
+    indexer = frequency_indexer(nominal, "keep").fit(table.train)
     return [indexer, features.assemble(table.columns)], models.max_bins_of(indexer)
 
 

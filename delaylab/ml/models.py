@@ -24,8 +24,11 @@ def max_bins_for(df: DataFrame, cols, minimum: int = 32) -> int:
 
 
 def max_bins_of(indexer, minimum: int = 32) -> int:
-    """``maxBins`` from the labels of a fitted multi-column indexer."""
-    return max([minimum, *[len(labels) + 1 for labels in indexer.labelsArray]])
+    """``maxBins`` from the numbers of labels of a fitted multi-column indexer."""
+    sizes = getattr(indexer, "sizes", None)
+    if sizes is None:
+        sizes = [len(labels) for labels in indexer.labelsArray]
+    return max([minimum, *[n + 1 for n in sizes]])
 
 
 def linear(features: str = "features", label: str = "ArrDelay_Int", max_iter: int = 10,

@@ -62,6 +62,14 @@ def attach_small(big: DataFrame, small: DataFrame, keys, how: str = "left",
     return null_safe_join(big, small, keys, how)
 
 
+def split_as(df: DataFrame, rows: int, per_task: int = 500_000, least: int = 8) -> int | None:
+    """Tasks that a table made from ``rows`` rows of ``df`` is to be dealt over: one per
+    ``per_task`` rows, at least ``least``; None where its input has as many splits already. A
+    property of the data, not of the cluster."""
+    wanted = max(least, -(-rows // per_task))
+    return None if df.rdd.getNumPartitions() >= wanted else wanted
+
+
 def spread(df: DataFrame, partitions: int | None) -> DataFrame:
     """Deal the rows round-robin over ``partitions`` tasks before iterative or CPU-heavy work on
     an under-split input (one unsplittable file); ``None`` leaves the layout alone. The number is

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -241,6 +243,29 @@ def correlation_matrix(df: DataFrame, cols) -> DataFrame:
         for x, y, i in entries])))
 
 
+def correlation_gram(df: DataFrame, cols) -> DataFrame:
+    """Correlations of many columns over the rows that have all of them, in the form of
+    ``correlation_matrix``: one mergeable matrix aggregate over assembled vectors in place of a
+    ``corr`` per pair. Columns are first moved by their means, so that large values do not cancel;
+    a constant column has NaN beside others and 1 on the diagonal. Only the matrix (the square of
+    the number of columns) reaches the driver."""
+    cols = list(cols)
+    x = [F.col(c).cast("double") for c in cols]
+    present = F.lit(True)
+    for c in x:
+        present = present & c.isNotNull()
+    full = df.where(present).select(*[c.alias(f"_{i}") for i, c in enumerate(x)])
+    means = full.agg(*[F.avg(f"_{i}") for i in range(len(cols))]).first()
+    if not cols or means[0] is None:
+        return df.sparkSession.createDataFrame([], "x string, y string, corr double")
+    moved = full.select(*[(F.col(f"_{i}") - F.lit(m)).alias(f"_{i}")
+                          for i, m in enumerate(means)])
+    vectors = VectorAssembler(inputCols=moved.columns, outputCol="v").transform(moved)
+    matrix = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
+    rows = [(a, b, float(matrix[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "x string, y string, corr double")
+
+
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Equal-width histogram over [min, max]: (``bin``, ``lo``, ``hi``, ``n``); the maximum
     falls into the last bin. The range is a one-row aggregate read back as two literals, then

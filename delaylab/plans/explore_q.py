@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import clean, explore, transform, windows
+from ..operators import clean, explore, sketches, transform, windows
 from ..operators.transform import default_lambdas
+from ..session import scratch_path
 from .common import r6, t
 from .registry import register
 
@@ -191,6 +192,46 @@ def q_correlation_matrix(spark, sf_dir):
     return c.select("x", "y", r6("corr").alias("corr"))
 
 
+_WIDE = {f"c{k}": f"l_quantity * {(k * 7) % 11 + 1} + l_discount * {(k * 13) % 17} "
+                  f"+ CAST((l_partkey * {k + 3}) % {k + 20} AS DOUBLE)" for k in range(40)}
+
+
+@register("correlation_gram", ("AGG12", "AGG13"), oracle=f"""
+WITH w AS (SELECT {", ".join(f"{e} AS {c}" for c, e in _WIDE.items())} FROM lineitem),
+m AS (SELECT {", ".join(f"corr({a}, {b}) AS {a}_{b}" for a in _WIDE for b in _WIDE if a <= b)}
+      FROM w),
+u AS (UNPIVOT m ON COLUMNS(*) INTO NAME pair VALUE v),
+r AS (SELECT split_part(pair, '_', 1) AS a, split_part(pair, '_', 2) AS b, round(v, 6) + 0.0 AS v
+      FROM u)
+SELECT a AS x, b AS y, v AS corr FROM r UNION ALL SELECT b, a, v FROM r WHERE a <> b""")
+def q_correlation_gram(spark, sf_dir):
+    """All correlations of forty columns from one matrix aggregate."""
+    wide = t(spark, sf_dir, "lineitem").select(*[F.expr(e).alias(c) for c, e in _WIDE.items()])
+    return explore.correlation_gram(wide, list(_WIDE)).select(
+        "x", "y", (F.round("corr", 6) + F.lit(0.0)).alias("corr"))
+
+
+_SKETCHED = ("o_custkey", "o_orderkey", "o_orderpriority")
+
+
+@register("distinct_sketches", ("AGG1", "FEA4"), oracle="""
+SELECT c.x AS "column", count(*) AS rows, true AS within_bound
+FROM orders, (VALUES ('o_custkey'), ('o_orderkey'), ('o_orderpriority')) c(x) GROUP BY c.x""")
+def q_distinct_sketches(spark, sf_dir):
+    """Distinct counts over all years from the stored sketches of each year, the last year added
+    later; held to five standard errors of the exact counts."""
+    o = t(spark, sf_dir, "orders").withColumn("Year", F.year("o_orderdate").cast("string"))
+    path = scratch_path(spark, "sketches")
+    last = o.agg(F.max("Year")).first()[0] or ""
+    sketches.store_sketches(o.where(F.col("Year") < last), path, _SKETCHED)
+    sketches.store_sketches(o.where(F.col("Year") >= last), path, _SKETCHED)
+    exact = o.agg(*[F.count_distinct(c).alias(c) for c in _SKETCHED]).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in _SKETCHED])))
+    found = sketches.stored_distinct(spark, path).join(F.broadcast(exact), "column")
+    return found.select("column", "rows", (F.abs(F.col("n_distinct") - F.col("exact")) <= F.lit(
+        5 * sketches.standard_error()) * F.col("exact") + 0.5).alias("within_bound"))
+
+
 @register("histogram", "AGG13", oracle="""
 WITH r AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
 b AS (SELECT least(CAST(floor((l_extendedprice - lo) / ((hi - lo) / 10.0)) AS INTEGER), 9) AS bin,

@@ -207,6 +207,39 @@ def q_holiday_distance_span(spark, sf_dir):
                     .alias("holiday_distance"))
 
 
+@register("asof_nearest_event", "JOI2", oracle="""
+WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS e FROM orders WHERE o_orderkey % 3 = 0)
+SELECT l_orderkey, l_linenumber, CAST(least(
+         CAST(l_shipdate AS DATE) - coalesce(b.e, DATE '0001-01-01'),
+         coalesce(f.e, DATE '9999-12-31') - CAST(l_shipdate AS DATE)) AS INTEGER) AS days
+FROM lineitem l ASOF LEFT JOIN d b ON CAST(l.l_shipdate AS DATE) >= b.e
+     ASOF LEFT JOIN d f ON CAST(l.l_shipdate AS DATE) <= f.e""")
+def q_asof_nearest_event(spark, sf_dir):
+    """Days to the nearest event of a calendar of hundreds of dates a year."""
+    from ..operators.asof import nearest_event_distance
+
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber",
+                                             F.to_date("l_shipdate").alias("d"))
+    events = t(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select("o_orderdate")
+    return nearest_event_distance(li, "d", events, "o_orderdate", "days").drop("d")
+
+
+@register("asof_by_user", "JOI2", oracle="""
+WITH e AS (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'purchase'
+           GROUP BY user_id, ts)
+SELECT v.event_id, e.ts AS ts_event, e.value
+FROM events v ASOF LEFT JOIN e ON v.user_id = e.user_id AND v.ts >= e.ts""")
+def q_asof_by_user(spark, sf_dir):
+    """To every event the user's last purchase up to it."""
+    from ..operators.asof import asof_join
+
+    v = t(spark, sf_dir, "events")
+    e = v.where("event_type = 'purchase'").groupBy("user_id", "ts").agg(
+        F.max("value").alias("value"))
+    met = asof_join(v.select("event_id", "user_id", "ts"), e, "ts", "ts", by="user_id")
+    return met.select("event_id", "ts_event", "value")
+
+
 @register("nearest_holiday_join", ("SCA6", "JOI2"), oracle=f"""
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS Date,
        {duck.holiday_distance("CAST(o_orderdate AS DATE)")} AS holiday_distance
