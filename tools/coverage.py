@@ -14,10 +14,10 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 FUNCTIONS = {
-    "SRC1": "sources.read_flights (mode=DROPMALFORMED, columnPruning off), header_columns",
+    "SRC1": "sources.read_flights (mode=DROPMALFORMED, columnPruning off), sources.rejects.ingest",
     "SRC2": "sources.read_flights(mode='PERMISSIVE')",
-    "SRC3": "sources.read_years, sources.union_by_name",
-    "SNK1": "sources.write_csv, sources.flights.convert",
+    "SRC3": "sources.read_years, sources.union_by_name, sources.layout.read_partitioned",
+    "SNK1": "sources.write_csv, sources.flights.convert, sources.layout.write_partitioned",
     "SNK2": "sources.save_model / load_model",
     "SNK3": "sources.write_results",
     "SNK4": "sources.register_view",
@@ -34,7 +34,7 @@ FUNCTIONS = {
     "FIL3": "operators.clean.exclude_value",
     "FIL4": "folded into FIL1 (try_cast, no sentinel test on ints)",
     "JOI1": "operators.sampling.remaining_rows; replaced by disjoint_chunks for sampling",
-    "JOI2": "functions.holiday_distance (expression); operators.calendar.nearest_holiday_distance",
+    "JOI2": "functions.holiday_distance (expression); operators.calendar.nearest_holiday_distance; operators.asof",
     "SCA1": "functions.flight_date",
     "SCA2": "functions.cyclic_sin / cyclic_cos",
     "SCA3": "functions.hhmm_hours / hhmm_minutes (hhmm_hour / hhmm_minute)",
@@ -48,7 +48,7 @@ FUNCTIONS = {
     "SCA8": "operators.transform.shifted_log",
     "SCA9": "operators.transform.boxcox_profile / best_lambda / boxcox; functions.boxcox_value",
     "SCA10": "F.concat_ws inside functions.flight_date",
-    "AGG1": "operators.explore.value_count",
+    "AGG1": "operators.explore.value_count, operators.sketches",
     "AGG2": "operators.explore.row_count",
     "AGG3": "operators.explore.frequency",
     "AGG4": "exclude_value + frequency",
@@ -60,7 +60,7 @@ FUNCTIONS = {
     "AGG10": "operators.explore.box_stats",
     "AGG11": "operators.explore.box_stats(by=...)",
     "AGG12": "operators.explore.correlations",
-    "AGG13": "operators.explore.correlation_matrix, histogram",
+    "AGG13": "operators.explore.correlation_matrix, correlation_gram, histogram",
     "WIN1": "operators.windows.add_group_count / add_group_aggregates",
     "WIN2": "operators.windows.add_group_count",
     "WIN3": "operators.windows.add_cancellation_counts(count_nonnull=...)",
@@ -70,13 +70,13 @@ FUNCTIONS = {
     "SET1": "sources.union_by_name / read_years",
     "SET2": "operators.sampling.remaining_rows(distinct=...)",
     "SET3": "operators.explore.value_count (distinct)",
-    "SAM1": "operators.sampling.bernoulli_sample",
-    "SAM2": "operators.sampling.random_split",
+    "SAM1": "operators.sampling.bernoulli_sample(keys=...)",
+    "SAM2": "operators.sampling.random_split(keys=...)",
     "SAM3": "operators.sampling.hash_split / split_frames",
     "SAM4": "operators.sampling.disjoint_chunks",
     "SAM5": "operators.sampling.train_test_chunks",
-    "FEA1": "ml.features.string_indexer(handle_invalid='error')",
-    "FEA2": "ml.features.string_indexer(handle_invalid='keep')",
+    "FEA1": "ml.features.string_indexer, ml.nominal.frequency_indexer ('error')",
+    "FEA2": "ml.features.string_indexer, ml.nominal.frequency_indexer ('keep')",
     "FEA3": "ml.features.feature_hasher",
     "FEA4": "ml.features.suggest_hash_sizes",
     "FEA5": "ml.features.assemble, FEATURE_SETS",
@@ -92,9 +92,9 @@ FUNCTIONS = {
     "EST4": "ml.models.gbt (depth <= 30), max_bins_for",
     "EST5": "ml.models.predict / fit",
     "TUN1": "ml.tuning.param_grid",
-    "TUN2": "ml.tuning.cross_validate",
-    "TUN3": "ml.tuning.train_validation",
-    "TUN4": "ml.tuning.chunked_selection",
+    "TUN2": "ml.tuning.cross_validate(ledger=...)",
+    "TUN3": "ml.tuning.train_validation(ledger=...)",
+    "TUN4": "ml.tuning.chunked_selection(ledger=...), lay_out_chunks",
     "TUN5": "ml.tuning.chunked_selection (avg, var_pop, stddev_pop)",
     "TUN6": "ml.tuning.best_stage",
     "EVA1": "ml.evaluate.regression_metrics (rmse)",
