@@ -15,6 +15,8 @@ tasks, the rest is looked up in a join.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,7 +34,8 @@ TAIL_CLASSES = 64
 KNOWN = 1 << 18
 EMBED, UNITS = 16, 24
 WINDOW = 32
-STREAMS = 32
+#: Texts trained on side by side: as many as leave each run this many steps, within these bounds.
+STREAMS, STEPS = (32, 256), 64
 ROUNDS = 4
 #: Fewest tasks of a round; there are more if each would get more than so many symbols.
 WORKERS = 12
@@ -257,15 +260,17 @@ def _sigmoid(x):
 
 
 def _epoch(model: Model, texts_: list[np.ndarray], moments: dict, step: int) -> tuple[int, int]:
-    """Train on symbol sequences, laid end to end over ``STREAMS`` streams; the state of a stream is
-    carried over windows and cleared where a text begins, and streams that have ended are left
-    out. Returns the number of symbols and the steps taken so far."""
+    """Train on symbol sequences, laid end to end over a number of streams that grows with them; the
+    state of a stream is carried over windows and cleared where a text begins, and streams that
+    have ended are left out. Returns the number of symbols and the steps taken so far."""
     start = len(model.p["embed"]) - 1
-    loads, streams = [0] * STREAMS, [[] for _ in range(STREAMS)]
-    for text in texts_:
-        at = int(np.argmin(loads))
+    total = sum(map(len, texts_))
+    wide = int(np.clip(total // (WINDOW * STEPS), *STREAMS))
+    loads, streams = [(0, i) for i in range(wide)], [[] for _ in range(wide)]
+    for text in texts_:  # to the shortest stream
+        size, at = heapq.heappop(loads)
         streams[at].append(text)
-        loads[at] += len(text)
+        heapq.heappush(loads, (size + len(text), at))
     streams = sorted(filter(None, streams), key=lambda x: -sum(map(len, x)))
     symbols = [np.concatenate(x) for x in streams]
     inputs = [np.concatenate([np.r_[start, text[:-1]] for text in x]) for x in streams]
@@ -281,7 +286,7 @@ def _epoch(model: Model, texts_: list[np.ndarray], moments: dict, step: int) ->
         live = np.arange(steps)[:, None] + at < lengths[:n]
         step += 1
         state = model.learn(seen, here, live, state[:n], moments, step)
-    return sum(loads), step
+    return total, step
 
 
 def encode_block(block: list[bytes], vocabulary: Vocabulary):
@@ -371,6 +376,7 @@ def train_model(train: DataFrame, vocabulary: Vocabulary, sample: float = SAMPLE
         trained = (part.mapInArrow(work, "n long, flat binary").repartition(MERGED)
                    .sortWithinPartitions("n", "flat").mapInArrow(merge, "n long, flat binary"))
         total, mean = _mean((row["n"], row["flat"]) for row in trained.collect())
+        current.destroy()
         if total:
             at = 0
             for k, v in model.p.items():
