@@ -64,11 +64,10 @@ def disjoint_chunks(df: DataFrame, keys, n: int = 6, fraction: float = 0.001, se
     width = hash_bound(fraction)
     if width < 1:
         raise ValueError("fraction is too small: its hash range is empty")
-    h = hash_unit(keys, seed)
-    chunk = F.when(h < F.lit(width), F.lit(0))
-    for i in range(1, n):
-        chunk = chunk.when(h < F.lit((i + 1) * width), F.lit(i))
-    tagged = df.withColumn(out, chunk)
+    # the hash is a column of its own, so that a row has it evaluated once
+    place = F.expr(f"_hash div {width}")
+    tagged = df.withColumn("_hash", hash_unit(keys, seed)).withColumn(
+        out, F.when(place < n, place.cast("int"))).drop("_hash")
     return tagged if keep_unassigned else tagged.where(F.col(out).isNotNull())
 
 

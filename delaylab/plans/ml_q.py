@@ -6,6 +6,7 @@ discount / tax the numeric features, return flag / line status / supplier the no
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -533,7 +534,14 @@ def q_chunked_selection(spark, sf_dir):
     li = _lineitem_ml(spark, sf_dir)
     prep = Pipeline(stages=_tree_stages(models.linear(label=LABEL))[:-1])
     chunked = sampling.disjoint_chunks(li, ["l_orderkey", "l_linenumber"], n=6, fraction=0.1)
-    assembled = prep.fit(chunked.where(F.col("chunk") < 5)).transform(chunked)
-    rf = models.forest(label=LABEL, max_depth=4)
-    grid = tuning.param_grid(rf, {"numTrees": [5, 10]})
-    return tuning.chunked_selection(rf, grid, assembled.select("features", LABEL, "chunk"), LABEL)
+    # kept narrow: the indexer, the sizes and the layout of the chunks each pass over it
+    chunked = chunked.select(*NUMERIC, *NOMINAL, LABEL, "chunk").persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        assembled = prep.fit(chunked.where(F.col("chunk") < 5)).transform(chunked)
+        rf = models.forest(label=LABEL, max_depth=4)
+        grid = tuning.param_grid(rf, {"numTrees": [5, 10]})
+        return tuning.chunked_selection(rf, grid, assembled.select("features", LABEL, "chunk"),
+                                        LABEL)
+    finally:
+        chunked.unpersist()
