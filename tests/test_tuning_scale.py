@@ -89,6 +89,17 @@ def test_boosted_trees_on_weighted_rows_are_those_on_all_rows(spark):
             assert same is other and all_rows is df
 
 
+def test_a_missing_label_is_an_error_on_weighted_rows_too(spark):
+    data = rows(spark).withColumn(LABEL, F.when(F.col("id") != 5, F.col(LABEL)))
+    data = features.assemble(["x"]).transform(data)
+    est = models.gbt(label=LABEL, max_iter=1, max_depth=2)
+    for fit in (lambda: est.fit(data), lambda: tuning.train_validation(
+            Pipeline(stages=pipeline(est).getStages()), tuning.param_grid(est, {"stepSize": [0.1]}),
+            data.drop("features"), LABEL)):
+        with pytest.raises(Exception):
+            fit()
+
+
 def test_large_fits_run_one_at_a_time(spark, monkeypatch):
     data = rows(spark, 100)
     assert tuning.fits_at_once(data, 4) == 4
