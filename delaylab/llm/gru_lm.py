@@ -48,6 +48,9 @@ SAMPLE = 1.0
 RATE = 5e-3
 SEED = 5
 BLOCK_BYTES = 2 << 20
+#: Rows of outputs worked on at a time (they stay in a core's cache), and how far the largest
+#: logit may lie below its bound for the bound to take its place.
+BLOCK_ROWS, SAFE = 1024, 60.0
 # Fixed value: stands for the end of a text; no word holds a line feed.
 END = b"\n"
 
@@ -159,104 +162,200 @@ class Model:
 
     def run(self, inputs: np.ndarray, state: np.ndarray, keep: bool = False):
         """States after each of the inputs (time, stream), cleared where a text starts; with
-        ``keep`` what training needs."""
-        p, n = self.p, UNITS
-        x = p["embed"][inputs] @ p["w"] + p["b"]
-        out = np.empty((*inputs.shape, n), dtype=np.float32)
+        ``keep`` what training needs (a row for each unit, a column for each stream)."""
+        p, n, kind = self.p, UNITS, state.dtype
+        # sigmoid(x) = 1 / (1 + exp(-x)), tanh(x) = 2 sigmoid(2 x) - 1
+        sign = np.repeat([-1, -2], [2 * n, n]).astype(kind)
+        into = np.ascontiguousarray((np.vstack([p["w"], p["b"]]) * sign).T)
+        again = np.ascontiguousarray((p["u"] * sign).T)
+        start = len(p["embed"]) - 1
+        embed = np.hstack([p["embed"], np.ones((start + 1, 1), dtype=p["embed"].dtype)])
+        (steps, width), fresh = inputs.shape, inputs == start
+        cleared = fresh.any(axis=1)
+        state = np.ascontiguousarray(state.T)
+        out = np.empty((steps, n, width), dtype=kind)
         kept = []
-        fresh = inputs == len(p["embed"]) - 1
-        for t in range(len(inputs)):
-            if fresh[t].any():
-                state = np.where(fresh[t][:, None], np.float32(0), state)
-            hu = state @ p["u"]
-            gates = _sigmoid(x[t, :, :2 * n] + hu[:, :2 * n])
-            z, r = gates[:, :n], gates[:, n:]
-            new = np.tanh(x[t, :, 2 * n:] + r * hu[:, 2 * n:])
+        for t in range(steps):
+            if cleared[t]:
+                state = np.where(fresh[t], kind.type(0), state)
+            rows = embed.take(inputs[t], axis=0)
+            x, hu = into @ rows.T, again @ state
+            gates, hn, new = x[:2 * n], hu[2 * n:], x[2 * n:]
+            gates += hu[:2 * n]
+            _sigmoid(gates)
+            z, r = gates[:n], gates[n:]
+            new += r * hn
+            _sigmoid(new)
+            new *= 2
+            new -= 1
             if keep:
-                kept.append((state, z, r, new, hu[:, 2 * n:]))
-            state = new + z * (state - new)
-            out[t] = state
-        return out, kept
+                kept.append((rows, state, z, r, new, hn))
+            after = np.subtract(state, new, out=out[t])
+            after *= z
+            after += new
+            state = after
+        return out.transpose(0, 2, 1), kept
 
     def outputs(self, h: np.ndarray, symbols: np.ndarray, gradient: bool = False):
         """Log-probability of each symbol after its state; with ``gradient`` also the gradient of
         the summed negative log-probability for the states and output parameters."""
         p, which = self.p, self.classes_of(symbols)
-        logits = h @ p["wc"] + p["bc"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        rows = np.arange(len(h))
-        score = logits[rows, which] - np.log(total)
-        if gradient:
-            e /= total[:, None]
-            e[rows, which] -= 1
-            dh = e @ p["wc"].T
-            grads = {"wc": h.T @ e, "bc": e.sum(axis=0), "ww": np.zeros_like(p["ww"]),
-                     "bw": np.zeros_like(p["bw"])}
-        order = np.argsort(which, kind="stable")
-        bounds = np.searchsorted(which[order], np.arange(self.classes + 1))
+        # classes are small numbers: numpy sorts 16 bits by radix
+        order = np.argsort(which.astype(np.int16) if self.classes < 1 << 14 else which,
+                           kind="stable")
+        which, symbols, n, kind = which[order], symbols[order], len(h), h.dtype
+        # the biases are weights of a last unit that is always one
+        rows = np.ones((n, UNITS + 1), dtype=kind)
+        rows[:, :-1] = h.take(order, axis=0)
+        reach = np.abs(h).max(initial=0)
+        wc = np.vstack([p["wc"], p["bc"]]).T
+        ww = np.hstack([p["ww"], p["bw"][:, None]])
+        dh, dwc, dww = np.empty_like(rows), np.zeros_like(wc), np.zeros_like(ww)
+        bounds = np.searchsorted(which, np.arange(self.classes + 1)).tolist()
+        starts = np.arange(0, self.head, CLASS_WORDS)
+        room, word_room = _room(wc, reach, [0]), _room(ww, reach, starts)
+        wide = max(wc.shape[0], CLASS_WORDS)
+        space, ones = np.empty(BLOCK_ROWS * wide, dtype=kind), np.ones(wide, dtype=kind)
+        own, totals = np.empty((2, n), dtype=kind), np.empty((2, n), dtype=kind)
+        own[1], totals[1] = 0, 1
+        number = np.arange(BLOCK_ROWS)
+
+        def softmax(level, at, end, weights, safe, right, grads, first):
+            for a in range(at, end, BLOCK_ROWS):
+                b = min(a + BLOCK_ROWS, end)
+                k, x = b - a, rows[a:b]
+                e = space[:k * len(weights)].reshape(k, len(weights))
+                np.matmul(x, weights.T, out=e)
+                if not safe:
+                    e -= e.max(axis=1, keepdims=True)
+                pick = number[:k], right[a:b]
+                own[level, a:b] = e[pick]
+                np.exp(e, out=e)
+                total = np.matmul(e, ones[:len(weights)], out=totals[level, a:b])
+                if gradient:
+                    e *= (1 / total)[:, None]
+                    e[pick] -= 1
+                    if first:
+                        np.matmul(e, weights, out=dh[a:b])
+                    else:
+                        dh[a:b] += e @ weights
+                    grads += e.T @ x
+
+        softmax(0, 0, n, wc, room[0], which, dwc, True)
+        within = symbols % CLASS_WORDS
         for c in range(self.classes):
-            at = order[bounds[c]:bounds[c + 1]]
-            if not len(at):
-                continue
-            words = slice(c * CLASS_WORDS, min((c + 1) * CLASS_WORDS, self.head))
-            hc = h[at]
-            inner = hc @ p["ww"][words].T + p["bw"][words]
-            inner -= inner.max(axis=1, keepdims=True)
-            ec = np.exp(inner)
-            sums = ec.sum(axis=1)
-            own = symbols[at] - c * CLASS_WORDS
-            score[at] += inner[np.arange(len(at)), own] - np.log(sums)
-            if gradient:
-                ec /= sums[:, None]
-                ec[np.arange(len(at)), own] -= 1
-                grads["ww"][words] = ec.T @ hc
-                grads["bw"][words] = ec.sum(axis=0)
-                dh[at] += ec @ p["ww"][words]
-        return (score, dh, grads) if gradient else score
+            if bounds[c] < bounds[c + 1]:
+                words = slice(c * CLASS_WORDS, min((c + 1) * CLASS_WORDS, self.head))
+                softmax(1, bounds[c], bounds[c + 1], ww[words], word_room[c], within, dww[words],
+                        False)
+        score = (own - np.log(totals)).sum(axis=0)
+        back = np.empty_like(order)
+        back[order] = np.arange(n)
+        if gradient:
+            return score[back], dh.take(back, axis=0)[:, :-1], {
+                "wc": dwc[:, :-1].T, "bc": dwc[:, -1], "ww": dww[:, :-1], "bw": dww[:, -1]}
+        return score[back]
 
     def learn(self, inputs, symbols, live, state, moments, step: int):
         """One window of truncated backpropagation; returns the last states."""
         p, n = self.p, UNITS
         h, kept = self.run(inputs, state, keep=True)
+        steps, width = inputs.shape
         use = live.reshape(-1)
-        _, dflat, g = self.outputs(h.reshape(-1, n)[use], symbols.reshape(-1)[use], True)
-        dh = np.zeros((h.shape[0] * h.shape[1], n), dtype=np.float32)
-        dh[use] = dflat
-        dh = dh.reshape(h.shape)
-        dx = np.empty((*inputs.shape, 3 * n), dtype=np.float32)
-        g["u"], back = np.zeros_like(p["u"]), np.zeros_like(state)
-        for t in range(len(inputs) - 1, -1, -1):
-            before, z, r, new, hn = kept[t]
-            d = dh[t] + back
-            dn = d * (1 - z) * (1 - new * new)
-            dz = d * (before - new) * z * (1 - z)
-            dr = dn * hn * r * (1 - r)
-            dx[t] = np.concatenate([dz, dr, dn], axis=1)
-            du = np.concatenate([dz, dr, dn * r], axis=1)
-            g["u"] += before.T @ du
-            back = d * z + du @ p["u"].T
-            back[inputs[t] == len(p["embed"]) - 1] = 0
-        flat = dx.reshape(-1, 3 * n)
+        flat = h.reshape(-1, n)
+        if use.all():
+            _, dh, g = self.outputs(flat, symbols.reshape(-1), True)
+        else:
+            dh = np.zeros((steps * width, n), dtype=h.dtype)
+            _, dh[use], g = self.outputs(flat[use], symbols.reshape(-1)[use], True)
+        dh = np.ascontiguousarray(dh.reshape(steps, width, n).transpose(0, 2, 1))
+        start = len(p["embed"]) - 1
+        fresh = inputs == start
+        cleared = fresh.any(axis=1)
+        dx = np.empty((steps, 3 * n, width), dtype=h.dtype)
+        du, back = np.empty((3 * n, width), dtype=h.dtype), np.zeros((n, width), dtype=h.dtype)
+        gu, gw = np.zeros_like(p["u"]), np.zeros((n * 3, EMBED + 1), dtype=h.dtype)
+        dembed = np.empty((EMBED, steps, width), dtype=h.dtype)
+        for t in range(steps - 1, -1, -1):
+            rows, before, z, r, new, hn = kept[t]
+            d, (dz, dr, dn) = dh[t], dx[t].reshape(3, n, width)
+            d += back
+            np.subtract(1, z, out=dn)
+            np.subtract(before, new, out=dz)
+            dz *= z
+            dz *= dn
+            dz *= d
+            dn *= d
+            new *= new
+            dn *= np.subtract(1, new, out=new)
+            np.subtract(1, r, out=dr)
+            dr *= r
+            dr *= hn  # the state's part of the candidate, times -2
+            dr *= dn
+            dr *= -0.5
+            du[:2 * n] = dx[t, :2 * n]
+            np.multiply(dn, r, out=du[2 * n:])
+            gu += before @ du.T
+            gw += dx[t] @ rows
+            dembed[:, t] = p["w"] @ dx[t]
+            back = p["u"] @ du
+            back += np.multiply(d, z, out=d)
+            if cleared[t]:
+                back[:, fresh[t]] = 0
         seen = inputs.reshape(-1)
-        g["w"], g["b"] = p["embed"][seen].T @ flat, flat.sum(axis=0)
-        g["embed"] = np.zeros_like(p["embed"])
-        np.add.at(g["embed"], seen, flat @ p["w"].T)
+        g["u"], g["w"], g["b"] = gu, gw[:, :-1].T, gw[:, -1]
+        g["embed"] = np.stack([np.bincount(seen, d.reshape(-1), start + 1) for d in dembed],
+                              axis=1)
+        g = {k: np.ascontiguousarray(x, dtype=h.dtype) for k, x in g.items()}
         scale = 1 / max(1, use.sum())
-        norm = scale * np.sqrt(sum(float((x * x).sum()) for x in g.values()))
+        norm = scale * np.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
         scale *= min(1.0, 1.0 / max(norm, 1e-9))
         for k, x in g.items():
-            m, s = moments.setdefault(k, (np.zeros_like(x), np.zeros_like(x)))
-            x = x * np.float32(scale)
-            m += np.float32(0.1) * (x - m)
-            s += np.float32(0.01) * (x * x - s)
-            p[k] -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-7)
+            if k not in moments:
+                moments[k] = np.zeros_like(x), np.zeros_like(x)
+            m, s = moments[k]
+            x *= np.float32(0.1 * scale)
+            m *= np.float32(0.9)
+            m += x
+            x *= x  # a hundredth of the square
+            s *= np.float32(0.99)
+            s += x
+            np.multiply(s, np.float32(1 / (1 - 0.99 ** step)), out=x)
+            np.sqrt(x, out=x)
+            x += np.float32(1e-7)
+            np.divide(m, x, out=x)
+            x *= np.float32(RATE / (1 - 0.9 ** step))
+            p[k] -= x
         return h[-1]
 
 
-def _sigmoid(x):
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def _sigmoid(x: np.ndarray) -> None:
+    """In place, of the negative of ``x``."""
+    with np.errstate(over="ignore"):  # 1 / (1 + inf) = 0
+        np.exp(x, out=x)
+    x += 1
+    np.divide(1, x, out=x)
+
+
+def _room(weights: np.ndarray, reach: float, starts) -> list[bool]:
+    """Lowers the biases (the last column) of every softmax, whose rows of ``weights`` begin at
+    ``starts``, by a number that no product with a state of components up to ``reach`` is above.
+    True for a softmax whose largest product is never far below that: it need not be looked for."""
+    reaches = reach * np.abs(weights[:, :-1]) @ np.ones(weights.shape[1] - 1, weights.dtype)
+    if not len(reaches):
+        return []
+    most = np.maximum.reduceat(weights[:, -1] + reaches, starts)
+    least = np.maximum.reduceat(weights[:, -1] - reaches, starts)
+    weights[:, -1] -= np.repeat(most, np.diff([*starts, len(weights)]))
+    return (most - least < SAFE).tolist()
+
+
+def _window(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, at: int, steps: int):
+    """(time, stream) symbols of the sequences that begin in ``flat`` at ``starts``, from ``at``
+    on, and which of them are within their sequence (the others are 0)."""
+    time = np.arange(at, at + steps)[:, None]
+    live = time < lengths
+    return np.where(live, flat[np.where(live, starts + time, 0)], 0), live
 
 
 def _epoch(model: Model, texts_: list[np.ndarray], moments: dict, step: int) -> tuple[int, int]:
@@ -272,18 +371,17 @@ def _epoch(model: Model, texts_: list[np.ndarray], moments: dict, step: int) ->
         streams[at].append(text)
         heapq.heappush(loads, (size + len(text), at))
     streams = sorted(filter(None, streams), key=lambda x: -sum(map(len, x)))
-    symbols = [np.concatenate(x) for x in streams]
-    inputs = [np.concatenate([np.r_[start, text[:-1]] for text in x]) for x in streams]
-    lengths = np.array([len(x) for x in symbols], dtype=np.int64)
+    symbols = np.concatenate([np.zeros(1, dtype=np.int64), *(t for x in streams for t in x)])[1:]
+    inputs = np.concatenate([[start], symbols[:-1]])
+    lengths = np.array([sum(map(len, x)) for x in streams], dtype=np.int64)
+    starts = np.cumsum(lengths) - lengths
+    sizes = np.array([len(t) for x in streams for t in x], dtype=np.int64)
+    inputs[(np.cumsum(sizes) - sizes)[sizes > 0]] = start
     state = np.zeros((len(streams), UNITS), dtype=np.float32)
     for at in range(0, int(lengths.max(initial=0)), WINDOW):
         n, steps = int((lengths > at).sum()), min(WINDOW, int(lengths[0]) - at)
-        here, seen = np.zeros((steps, n), dtype=np.int64), np.full((steps, n), start)
-        for j in range(n):
-            part = symbols[j][at:at + steps]
-            here[:len(part), j] = part
-            seen[:len(part), j] = inputs[j][at:at + steps]
-        live = np.arange(steps)[:, None] + at < lengths[:n]
+        here, live = _window(symbols, starts[:n], lengths[:n], at, steps)
+        seen = np.where(live, _window(inputs, starts[:n], lengths[:n], at, steps)[0], start)
         step += 1
         state = model.learn(seen, here, live, state[:n], moments, step)
     return total, step
@@ -395,21 +493,17 @@ def score_sequences(model: Model, docs: list[np.ndarray], side: int = 512,
     for k in range(0, len(order), side):
         group = order[k:k + side]
         lengths = np.array([len(docs[i]) for i in group])
+        starts, flat = np.cumsum(lengths) - lengths, np.concatenate([docs[i] for i in group])
         state = np.zeros((len(group), UNITS), dtype=np.float32)
         last = np.full(len(group), start, dtype=np.int64)
         for at in range(0, int(lengths[0]), window):
             n = int((lengths > at).sum())
             steps = min(window, int(lengths[0]) - at)
-            symbols = np.zeros((steps, n), dtype=np.int64)
-            live = np.arange(steps)[:, None] + at < lengths[:n]
-            for j in range(n):
-                part = docs[group[j]][at:at + steps]
-                symbols[:len(part), j] = part
+            symbols, live = _window(flat, starts[:n], lengths[:n], at, steps)
             inputs = np.vstack([last[None, :n], symbols[:-1]])
             h, _ = model.run(inputs, state[:n])
             state, last = h[-1], symbols[-1]
-            scores = model.outputs(h.reshape(-1, UNITS)[live.reshape(-1)],
-                                   symbols.reshape(-1)[live.reshape(-1)])
+            scores = model.outputs(h[live], symbols[live])
             owner = np.broadcast_to(np.arange(n), live.shape)[live]
             out[group[:n]] += np.bincount(owner, weights=scores, minlength=n)
     return out

@@ -142,3 +142,55 @@ def test_training_carries_the_state_through_long_texts():
 
 def test_empty_table(spark):
     assert gru_lm.score_documents(table(spark, [])).collect() == []
+
+
+def test_outputs_far_below_their_bound():
+    """Logits whose bound says nothing (huge weights) and those under a close bound: both are the
+    plain softmax, in values and gradient."""
+    rng = np.random.default_rng(3)
+    for size in (0.1, 400.0):
+        model, _ = small_model()
+        model.p["wc"] = size * rng.normal(size=model.p["wc"].shape)
+        model.p["ww"] = size * rng.normal(size=model.p["ww"].shape)
+        h = rng.uniform(-1, 1, (2500, gru_lm.UNITS))
+        symbols = rng.integers(0, Small.symbols, len(h))
+        score, dh, grads = model.outputs(h, symbols, True)
+        logits = h @ model.p["wc"] + model.p["bc"]
+        logits -= logits.max(axis=1, keepdims=True)
+        which, rows = model.classes_of(symbols), np.arange(len(h))
+        wanted = logits[rows, which] - np.log(np.exp(logits).sum(axis=1))
+        for i in np.flatnonzero(symbols < Small.head):
+            words = slice(which[i] * gru_lm.CLASS_WORDS,
+                          min((which[i] + 1) * gru_lm.CLASS_WORDS, Small.head))
+            inner = model.p["ww"][words] @ h[i] + model.p["bw"][words]
+            inner -= inner.max()
+            wanted[i] += inner[symbols[i] % gru_lm.CLASS_WORDS] - np.log(np.exp(inner).sum())
+        assert np.allclose(score, wanted, atol=1e-6)
+        assert np.isfinite(dh).all() and all(np.isfinite(g).all() for g in grads.values())
+        assert abs(grads["bc"].sum()) < 1e-6 * len(h)
+
+
+def test_states_match_the_plain_recurrence():
+    """States side by side are those of the cell written out, over gates that saturate as well."""
+    model, rng = small_model()
+    model.p["u"] = model.p["u"] * 300
+    symbols = rng.integers(0, Small.symbols, (9, 4))
+    symbols[5, 2] = Small.symbols
+    h, _ = model.run(symbols, np.zeros((4, gru_lm.UNITS)))
+    n, p = gru_lm.UNITS, model.p
+    for j in range(4):
+        state = np.zeros(n)
+        for t in range(9):
+            state = np.zeros(n) if symbols[t, j] == Small.symbols else state
+            x, hu = p["embed"][symbols[t, j]] @ p["w"] + p["b"], state @ p["u"]
+            z, r = (0.5 + 0.5 * np.tanh(0.5 * (x + hu)[a:a + n]) for a in (0, n))
+            new = np.tanh(x[2 * n:] + r * hu[2 * n:])
+            state = new + z * (state - new)
+            assert np.allclose(h[t, j], state, atol=1e-9)
+
+
+def test_window_of_uneven_sequences():
+    flat, lengths = np.arange(10, 17), np.array([4, 3])
+    here, live = gru_lm._window(flat, np.array([0, 4]), lengths, 2, 3)
+    assert here.tolist() == [[12, 16], [13, 0], [0, 0]]
+    assert live.tolist() == [[True, True], [True, False], [False, False]]
