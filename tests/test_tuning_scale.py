@@ -135,3 +135,14 @@ def test_forest_chunks_of_fewer_rows_than_labels(flights):
     found = jobs.forest_chunks_job(flights, {"numTrees": [2], "maxDepth": [3]}, fraction=0.05,
                                    missing="impute", parallelism=2).first()
     assert found["n_chunks"] == 5 and found["n"] > 0
+
+
+def test_keeping_nodes_grows_the_same_deep_trees(spark):
+    data = features.assemble(["x", "id"]).transform(rows(spark, 600)).persist()
+    keep = jobs.deep_trees(spark, 30)
+    assert keep == {"cacheNodeIds": True} and jobs.deep_trees(spark, 10) == {}
+    for make in (lambda **kw: models.gbt(label=LABEL, max_iter=3, max_depth=30, **kw),
+                 lambda **kw: models.forest(label=LABEL, num_trees=3, max_depth=30, **kw)):
+        plain, kept = (make(**kw).fit(data) for kw in ({}, keep))
+        strip = lambda m: m.toDebugString.split("\n", 1)[1]  # noqa: E731  (the first line is the uid)
+        assert strip(kept) == strip(plain)
