@@ -137,6 +137,20 @@ def test_forest_chunks_of_fewer_rows_than_labels(flights):
     assert found["n_chunks"] == 5 and found["n"] > 0
 
 
+def test_trees_of_fits_side_by_side_have_bounded_leaves(spark, monkeypatch):
+    data = features.assemble(["x"]).transform(rows(spark, 600)).persist()
+    rf = models.forest(label=LABEL)
+    grid = tuning.param_grid(rf, {"numTrees": [2, 30], "maxDepth": [3, 30]})
+    assert tuning.most_leaves(rf, grid, 600) == 30 * 600
+    assert tuning.most_leaves(rf, grid[:1], 600) == 2 * 8
+    assert tuning.most_leaves(models.linear(label=LABEL), [{}], 600) == 0
+    assert tuning.fits_at_once(data, 4, rf, grid) == 4
+    monkeypatch.setattr(tuning, "LEAVES_AT_ONCE", 2 * 30 * 600)
+    assert tuning.fits_at_once(data, 4, rf, grid) == 2
+    monkeypatch.setattr(tuning, "LEAVES_AT_ONCE", 1)
+    assert tuning.fits_at_once(data, 4, rf, grid) == 1
+
+
 def test_keeping_nodes_grows_the_same_deep_trees(spark):
     data = features.assemble(["x", "id"]).transform(rows(spark, 600)).persist()
     keep = jobs.deep_trees(spark, 30)
