@@ -54,18 +54,6 @@ def seeded_rows(df: DataFrame, key: str, bound: int, seed: int) -> DataFrame:
     return df.orderBy(h, key).limit(bound)
 
 
-def blocks(values: list[bytes], size: int):
-    """(index of the first, texts) for runs of texts of about ``size`` bytes."""
-    at, total = 0, 0
-    for i, text in enumerate(values):
-        total += len(text)
-        if total >= size:
-            yield at, values[at:i + 1]
-            at, total = i + 1, 0
-    if at < len(values):
-        yield at, values[at:]
-
-
 def pieces(batch: pa.RecordBatch, column: int, size: int):
     """The batch in slices of about ``size`` bytes of text, so that few texts are Python objects
     at a time."""

@@ -19,13 +19,15 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..session import scratch_path
-from ._common import LOWER_BYTES, blocks, crc_mod, cut, texts
+from ._common import crc_mod, cut, pieces
 
 HEAD = 4096
 CLASS_WORDS = 64
@@ -34,6 +36,8 @@ TAIL_CLASSES = 64
 KNOWN = 1 << 18
 EMBED, UNITS = 16, 24
 WINDOW = 32
+#: How many times longer a window may be where few streams are left.
+LONGER = 32
 #: Texts trained on side by side: as many as leave each run this many steps, within these bounds.
 STREAMS, STEPS = (32, 256), 64
 ROUNDS = 4
@@ -41,45 +45,83 @@ ROUNDS = 4
 WORKERS = 12
 WORKER_SYMBOLS = 4 << 20
 #: Symbols trained on at a time, and sets of parameters that come to the driver per round.
-EPOCH_SYMBOLS = 1 << 20
+EPOCH_SYMBOLS = 1 << 22
 MERGED = 16
 #: Share of the training documents that the network is fitted on (counts are over all).
 SAMPLE = 1.0
 RATE = 5e-3
 SEED = 5
-BLOCK_BYTES = 2 << 20
+#: Bytes of text that are cut into words at a time: to count them, and to keep their places.
+COUNT_BYTES, BLOCK_BYTES = 32 << 20, 16 << 20
 #: Rows of outputs worked on at a time (they stay in a core's cache), and how far the largest
 #: logit may lie below its bound for the bound to take its place.
 BLOCK_ROWS, SAFE = 1024, 60.0
+#: Symbols whose inputs to the gates are made at a time.
+BLOCK_SYMBOLS = 1 << 13
+#: How symbols are stored: holds all of ``HEAD + TAIL_CLASSES``.
+SYMBOL = np.dtype("<u2")
 # Fixed value: stands for the end of a text; no word holds a line feed.
 END = b"\n"
-
-
-def tokens(text: bytes) -> list[bytes]:
-    return [*text.translate(LOWER_BYTES).split(), END]
-
-
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word) - (1 << 63)
+#: Punctuation that may follow the letters of a word.
+MARKS = b".,;:!?*$%&#"
+
+
+def split_words(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Of a column of texts: the number of tokens of each, the distinct words (the end of a text is
+    the last of them; the first may be an empty one that does not occur), and the number of every
+    token's word, text after text."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
+    sizes = pc.list_value_length(found).to_numpy().astype(np.int64)
+    coded = found.flatten().dictionary_encode()
+    words, flat = coded.dictionary, coded.indices.to_numpy()
+    blank = pc.index(words, pa.scalar("", type=words.type)).as_py()
+    if blank >= 0:  # before, between and after white space at the ends
+        word = flat != blank
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[word], minlength=len(sizes))
+        flat = flat[word]
+    flat = np.insert(flat, np.cumsum(sizes), len(words))
+    end = pa.array([END.decode()], type=words.type)
+    return sizes + 1, pa.concat_arrays([words, end]), flat
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """Hashes of ``split_words``' distinct words, as signed numbers in the order of the unsigned."""
+    n = len(words) - 1
+    lists = pa.ListArray.from_arrays(pa.array([0, n], type=pa.int32()), words.slice(0, n))
+    joined = pc.binary_join(lists, END.decode())[0].as_buffer().to_pybytes()
+    each = [*(joined.split(END) if n else []), END]
+    made = np.fromiter(map(xxhash.xxh64_intdigest, each), dtype=np.uint64, count=n + 1)
+    return (made ^ np.uint64(1 << 63)).view(np.int64)
 
 
 def tail_class(word: bytes) -> int:
     """Class of a rare word: by its last two letters, without punctuation after them."""
-    return xxhash.xxh32_intdigest(word.rstrip(b".,;:!?*$%&#")[-2:]) % TAIL_CLASSES
+    return xxhash.xxh32_intdigest(word.rstrip(MARKS)[-2:]) % TAIL_CLASSES
+
+
+def tail_classes(words: pa.Array) -> np.ndarray:
+    """``tail_class`` of ``split_words``' distinct words, worked out once for each ending."""
+    bare = pc.ascii_rtrim(words, characters=MARKS.decode()).cast(pa.large_binary())
+    ends = np.frombuffer(bare.buffers()[1], dtype=np.int64)[bare.offset:][:len(bare) + 1]
+    data = np.frombuffer(bare.buffers()[2], dtype=np.uint8).astype(np.int64)
+    sizes, ends = np.diff(ends), ends[1:]
+    ending = np.where(sizes > 0, 1 + data[np.maximum(ends, 1) - 1], 0)
+    ending += 257 * np.where(sizes > 1, 1 + data[np.maximum(ends, 2) - 2], 0)
+    _, first, at = np.unique(ending, return_index=True, return_inverse=True)
+    return np.array([tail_class(words[i].as_buffer().to_pybytes()) for i in first.tolist()])[at]
 
 
 def count_words(train: DataFrame) -> DataFrame:
     """(w, c, tail): hash, count and tail class of every distinct token of ``train(text)``."""
     def run(batches):
         for batch in batches:
-            index: dict[bytes, int] = {}
-            for text in texts(batch.column(0)):
-                for word in tokens(text):
-                    index[word] = index.get(word, 0) + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([word_hash(w) for w in index], type=pa.int64()),
-                 pa.array(list(index.values()), type=pa.int64()),
-                 pa.array([tail_class(w) for w in index], type=pa.int32())], ["w", "c", "tail"])
+            for piece in pieces(batch, 0, COUNT_BYTES):
+                _, words, flat = split_words(piece.column(0))
+                c = np.bincount(flat, minlength=len(words))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[c > 0]) for x in (
+                        word_hashes(words), c, tail_classes(words).astype(np.int32))],
+                    ["w", "c", "tail"])
 
     counted = train.select("text").mapInArrow(run, "w long, c long, tail int")
     return counted.groupBy("w").agg(F.sum("c").alias("c"), F.min("tail").alias("tail"))
@@ -117,10 +159,10 @@ class Vocabulary:
         self.words, self.rank = w[order], order
         self.counts = top["c"].to_numpy()[order]
 
-    def find(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of some words: symbol (head rank, or ``head`` + tail class), count (-1 if it is not
-        among the known words), and hash."""
-        w = np.array([word_hash(x) for x in words], dtype=np.int64)
+    def find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of ``split_words``' distinct words: symbol (head rank, or ``head`` + tail class), count
+        (-1 if it is not among the known words), and hash."""
+        w = word_hashes(words)
         if not len(self.words):
             at, hit = np.zeros(len(w), dtype=np.int64), np.zeros(len(w), dtype=bool)
             rank, count = at, at - 1
@@ -128,10 +170,7 @@ class Vocabulary:
             at = np.minimum(np.searchsorted(self.words, w), len(self.words) - 1)
             hit = self.words[at] == w
             rank, count = self.rank[at], np.where(hit, self.counts[at], -1)
-        symbol = np.where(hit & (rank < self.head), rank, -1)
-        rest = np.flatnonzero(symbol < 0)
-        symbol[rest] = [self.head + tail_class(words[i]) for i in rest]
-        return symbol, count, w
+        return np.where(hit & (rank < self.head), rank, self.head + tail_classes(words)), count, w
 
     @property
     def symbols(self) -> int:
@@ -162,7 +201,7 @@ class Model:
 
     def run(self, inputs: np.ndarray, state: np.ndarray, keep: bool = False):
         """States after each of the inputs (time, stream), cleared where a text starts; with
-        ``keep`` what training needs (a row for each unit, a column for each stream)."""
+        ``keep`` what training needs (by time, a row for each unit, a column for each stream)."""
         p, n, kind = self.p, UNITS, state.dtype
         # sigmoid(x) = 1 / (1 + exp(-x)), tanh(x) = 2 sigmoid(2 x) - 1
         sign = np.repeat([-1, -2], [2 * n, n]).astype(kind)
@@ -172,28 +211,40 @@ class Model:
         embed = np.hstack([p["embed"], np.ones((start + 1, 1), dtype=p["embed"].dtype)])
         (steps, width), fresh = inputs.shape, inputs == start
         cleared = fresh.any(axis=1)
-        state = np.ascontiguousarray(state.T)
+        first = state = np.ascontiguousarray(state.T)
         out = np.empty((steps, n, width), dtype=kind)
-        kept = []
-        for t in range(steps):
-            if cleared[t]:
-                state = np.where(fresh[t], kind.type(0), state)
-            rows = embed.take(inputs[t], axis=0)
-            x, hu = into @ rows.T, again @ state
-            gates, hn, new = x[:2 * n], hu[2 * n:], x[2 * n:]
-            gates += hu[:2 * n]
-            _sigmoid(gates)
-            z, r = gates[:n], gates[n:]
-            new += r * hn
-            _sigmoid(new)
-            new *= 2
-            new -= 1
-            if keep:
-                kept.append((rows, state, z, r, new, hn))
-            after = np.subtract(state, new, out=out[t])
-            after *= z
-            after += new
-            state = after
+        held = np.empty((steps if keep else 1, 3 * n, width), dtype=np.result_type(again, kind))
+        part = np.empty((n, width), dtype=held.dtype)
+        # inputs to the gates for a number of steps at a time (they stay in a core's cache)
+        stride = steps if keep else max(1, BLOCK_SYMBOLS // max(1, width))
+        with np.errstate(over="ignore"):  # 1 / (1 + inf) = 0
+            for at in range(0, steps, max(1, stride)):
+                rows = embed.take(inputs[at:at + stride], axis=0)
+                inner = np.matmul(into, rows.transpose(0, 2, 1))
+                for t, x in enumerate(inner, at):
+                    if cleared[t]:
+                        state = np.where(fresh[t], kind.type(0), state)
+                    hu = np.matmul(again, state, out=held[t if keep else 0])
+                    gates, new = x[:2 * n], x[2 * n:]
+                    gates += hu[:2 * n]
+                    np.exp(gates, out=gates)
+                    gates += 1
+                    np.divide(1, gates, out=gates)
+                    new += np.multiply(gates[n:], hu[2 * n:], out=part)
+                    np.exp(new, out=new)
+                    new += 1
+                    np.divide(2, new, out=new)
+                    new -= 1
+                    after = np.subtract(state, new, out=out[t])
+                    after *= gates[:n]
+                    after += new
+                    state = after
+        kept = None
+        if keep:
+            before = np.concatenate([first[None], out[:-1]])
+            if cleared.any():
+                before *= ~fresh[:, None]
+            kept = rows, before, inner, held[:, 2 * n:]
         return out.transpose(0, 2, 1), kept
 
     def outputs(self, h: np.ndarray, symbols: np.ndarray, gradient: bool = False):
@@ -208,7 +259,7 @@ class Model:
         rows = np.ones((n, UNITS + 1), dtype=kind)
         rows[:, :-1] = h.take(order, axis=0)
         reach = np.abs(h).max(initial=0)
-        wc = np.vstack([p["wc"], p["bc"]]).T
+        wc = np.ascontiguousarray(np.vstack([p["wc"], p["bc"]]).T)
         ww = np.hstack([p["ww"], p["bw"][:, None]])
         dh, dwc, dww = np.empty_like(rows), np.zeros_like(wc), np.zeros_like(ww)
         bounds = np.searchsorted(which, np.arange(self.classes + 1)).tolist()
@@ -237,9 +288,10 @@ class Model:
                     e[pick] -= 1
                     if first:
                         np.matmul(e, weights, out=dh[a:b])
+                        grads += (x.T @ e).T
                     else:
                         dh[a:b] += e @ weights
-                    grads += e.T @ x
+                        grads += e.T @ x
 
         softmax(0, 0, n, wc, room[0], which, dwc, True)
         within = symbols % CLASS_WORDS
@@ -272,40 +324,45 @@ class Model:
         start = len(p["embed"]) - 1
         fresh = inputs == start
         cleared = fresh.any(axis=1)
-        dx = np.empty((steps, 3 * n, width), dtype=h.dtype)
-        du, back = np.empty((3 * n, width), dtype=h.dtype), np.zeros((n, width), dtype=h.dtype)
-        gu, gw = np.zeros_like(p["u"]), np.zeros((n * 3, EMBED + 1), dtype=h.dtype)
-        dembed = np.empty((EMBED, steps, width), dtype=h.dtype)
+        rows, before, inner, hn = kept
+        z, r, new = inner[:, :n], inner[:, n:2 * n], inner[:, 2 * n:]
+        # by step: the candidate, both gates, and the candidate's state part; until its step has
+        # its turn, each without the gradient that comes to it
+        every = np.empty((steps, 4 * n, width), dtype=h.dtype)
+        dn, dz, dr, dp = (every[:, i * n:(i + 1) * n] for i in range(4))
+        np.subtract(1, z, out=dp)
+        np.subtract(before, new, out=dz)
+        dz *= z
+        dz *= dp
+        np.multiply(new, new, out=dn)
+        np.subtract(1, dn, out=dn)
+        dn *= dp
+        np.subtract(1, r, out=dr)
+        dr *= r
+        dr *= hn  # the state's part of the candidate, times -2
+        dr *= -0.5
+        u, back = p["u"], np.zeros((n, width), dtype=h.dtype)
         for t in range(steps - 1, -1, -1):
-            rows, before, z, r, new, hn = kept[t]
-            d, (dz, dr, dn) = dh[t], dx[t].reshape(3, n, width)
+            d, candidate = dh[t], dn[t]
             d += back
-            np.subtract(1, z, out=dn)
-            np.subtract(before, new, out=dz)
-            dz *= z
-            dz *= dn
-            dz *= d
-            dn *= d
-            new *= new
-            dn *= np.subtract(1, new, out=new)
-            np.subtract(1, r, out=dr)
-            dr *= r
-            dr *= hn  # the state's part of the candidate, times -2
-            dr *= dn
-            dr *= -0.5
-            du[:2 * n] = dx[t, :2 * n]
-            np.multiply(dn, r, out=du[2 * n:])
-            gu += before @ du.T
-            gw += dx[t] @ rows
-            dembed[:, t] = p["w"] @ dx[t]
-            back = p["u"] @ du
-            back += np.multiply(d, z, out=d)
+            candidate *= d
+            dz[t] *= d
+            dr[t] *= candidate
+            np.multiply(candidate, r[t], out=dp[t])
+            np.matmul(u, every[t, n:], out=back)
+            d *= z[t]
+            back += d
             if cleared[t]:
                 back[:, fresh[t]] = 0
+        gu = np.matmul(before, every[:, n:].transpose(0, 2, 1)).sum(axis=0)
+        dx = every[:, :3 * n]
+        order = np.r_[n:3 * n, :n]  # gates first, as in the parameters
+        gw = np.matmul(dx, rows).sum(axis=0)[order]
+        lanes = np.ascontiguousarray(np.roll(p["w"], n, axis=1))
+        dembed = np.matmul(lanes, dx).transpose(1, 0, 2).reshape(EMBED, -1)
         seen = inputs.reshape(-1)
         g["u"], g["w"], g["b"] = gu, gw[:, :-1].T, gw[:, -1]
-        g["embed"] = np.stack([np.bincount(seen, d.reshape(-1), start + 1) for d in dembed],
-                              axis=1)
+        g["embed"] = np.stack([np.bincount(seen, d, start + 1) for d in dembed], axis=1)
         g = {k: np.ascontiguousarray(x, dtype=h.dtype) for k, x in g.items()}
         scale = 1 / max(1, use.sum())
         norm = scale * np.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
@@ -329,14 +386,6 @@ class Model:
         return h[-1]
 
 
-def _sigmoid(x: np.ndarray) -> None:
-    """In place, of the negative of ``x``."""
-    with np.errstate(over="ignore"):  # 1 / (1 + inf) = 0
-        np.exp(x, out=x)
-    x += 1
-    np.divide(1, x, out=x)
-
-
 def _room(weights: np.ndarray, reach: float, starts) -> list[bool]:
     """Lowers the biases (the last column) of every softmax, whose rows of ``weights`` begin at
     ``starts``, by a number that no product with a state of components up to ``reach`` is above.
@@ -358,49 +407,107 @@ def _window(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, at: int,
     return np.where(live, flat[np.where(live, starts + time, 0)], 0), live
 
 
+def _streams(lengths: np.ndarray, wide: int) -> list[np.ndarray]:
+    """Numbers of texts for up to ``wide`` streams of about equal length, the longest stream
+    first: the longest texts are placed first, each on the shortest stream, and follow one another
+    in the order they came."""
+    loads, streams = [(0, i) for i in range(wide)], [[] for _ in range(wide)]
+    for k in np.argsort(-lengths, kind="stable").tolist():
+        size, at = loads[0]
+        streams[at].append(k)
+        heapq.heapreplace(loads, (size + int(lengths[k]), at))
+    streams = [np.sort(np.array(x)) for x in streams if x]
+    return sorted(streams, key=lambda x: -lengths[x].sum())
+
+
+def _laid(texts_: list[np.ndarray], wide: int, start: int):
+    """Symbol sequences laid end to end over streams: the order they have, symbols, inputs (the
+    symbol before, ``start`` where a text begins), first place and length of each stream."""
+    lengths = np.array([len(t) for t in texts_], dtype=np.int64)
+    streams = _streams(lengths, wide)
+    order = np.concatenate([np.zeros(0, dtype=np.int64), *streams]).astype(np.int64)
+    symbols = np.concatenate([np.zeros(0, np.int32), *(texts_[k] for k in order)]).astype(np.int32)
+    inputs = np.concatenate([[start], symbols[:-1]]).astype(np.int32)[:len(symbols)]
+    sizes = lengths[order]
+    inputs[(np.cumsum(sizes) - sizes)[sizes > 0]] = start
+    long = np.array([lengths[x].sum() for x in streams], dtype=np.int64)
+    return order, symbols, inputs, np.cumsum(long) - long, long
+
+
 def _epoch(model: Model, texts_: list[np.ndarray], moments: dict, step: int) -> tuple[int, int]:
     """Train on symbol sequences, laid end to end over a number of streams that grows with them; the
     state of a stream is carried over windows and cleared where a text begins, and streams that
-    have ended are left out. Returns the number of symbols and the steps taken so far."""
+    have ended are left out. Where few streams are left their windows are longer. Returns the
+    number of symbols and the steps taken so far."""
     start = len(model.p["embed"]) - 1
     total = sum(map(len, texts_))
     wide = int(np.clip(total // (WINDOW * STEPS), *STREAMS))
-    loads, streams = [(0, i) for i in range(wide)], [[] for _ in range(wide)]
-    for text in texts_:  # to the shortest stream
-        size, at = heapq.heappop(loads)
-        streams[at].append(text)
-        heapq.heappush(loads, (size + len(text), at))
-    streams = sorted(filter(None, streams), key=lambda x: -sum(map(len, x)))
-    symbols = np.concatenate([np.zeros(1, dtype=np.int64), *(t for x in streams for t in x)])[1:]
-    inputs = np.concatenate([[start], symbols[:-1]])
-    lengths = np.array([sum(map(len, x)) for x in streams], dtype=np.int64)
-    starts = np.cumsum(lengths) - lengths
-    sizes = np.array([len(t) for x in streams for t in x], dtype=np.int64)
-    inputs[(np.cumsum(sizes) - sizes)[sizes > 0]] = start
-    state = np.zeros((len(streams), UNITS), dtype=np.float32)
-    for at in range(0, int(lengths.max(initial=0)), WINDOW):
-        n, steps = int((lengths > at).sum()), min(WINDOW, int(lengths[0]) - at)
+    _, symbols, inputs, starts, lengths = _laid(texts_, wide, start)
+    state = np.zeros((len(lengths), UNITS), dtype=np.float32)
+    at, end = 0, int(lengths.max(initial=0))
+    while at < end:
+        n = int((lengths > at).sum())
+        steps = min(WINDOW * min(wide // n, LONGER), end - at)
         here, live = _window(symbols, starts[:n], lengths[:n], at, steps)
         seen = np.where(live, _window(inputs, starts[:n], lengths[:n], at, steps)[0], start)
         step += 1
         state = model.learn(seen, here, live, state[:n], moments, step)
+        at += steps
     return total, step
 
 
-def encode_block(block: list[bytes], vocabulary: Vocabulary):
-    """Per text its word numbers within the block, then of the block's distinct words: symbol,
-    count, hash."""
-    index: dict[bytes, int] = {}
-    docs = [np.array([index.setdefault(w, len(index)) for w in tokens(t)], dtype=np.int64)
-            for t in block]
-    return docs, *vocabulary.find(list(index))
+def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(row, doc_id, n_tokens, hits, base, inner, s, rest) of ``docs(doc_id, text)``: a number of
+    its own for each row, the tokens and those among the known words, the base score and the rare
+    words' shares of their classes (both without the words in ``rest``, hashes with numbers of
+    occurrences, whose counts are not known here), and the symbols, two bytes each."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    rest_kind = [pa.field("w", pa.int64()), pa.field("m", pa.int32())]
+
+    def run(batches):
+        vocabulary = shared.value
+        base_total = np.log10(vocabulary.n + vocabulary.v + 1)
+        tail_total = np.log10(vocabulary.tail_n + vocabulary.tail_v + 1)
+        row = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for piece in pieces(batch, 1, BLOCK_BYTES):
+                sizes, words, flat = split_words(piece.column(1))
+                symbol, count, w = vocabulary.find(words)
+                n, ends = len(sizes), np.cumsum(sizes)
+                owner = np.repeat(np.arange(n), sizes)
+                known = np.where(count >= 0, np.log10(np.maximum(count, 0) + 1.0), 0.0)
+                tail = symbol >= vocabulary.head
+                inner = np.where(tail, known - tail_total[np.where(
+                    tail, symbol - vocabulary.head, 0)], 0.0)
+                per_text = lambda x: np.bincount(owner, x[flat], n)
+                place = np.flatnonzero((count < 0)[flat])
+                far, m = np.unique(owner[place] * len(w) + flat[place], return_counts=True)
+                begin = np.searchsorted(far, np.arange(n + 1) * len(w))
+                rest = pa.ListArray.from_arrays(
+                    pa.array(begin, type=pa.int32()), pa.StructArray.from_arrays(
+                        [pa.array(w[far % len(w)]), pa.array(m, type=pa.int32())],
+                        fields=rest_kind))
+                symbols = symbol.astype(SYMBOL)[flat]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + n)), piece.column(0),
+                     pa.array(sizes), pa.array(per_text(count > 0).astype(np.int64)),
+                     pa.array(per_text(known) - sizes * base_total), pa.array(per_text(inner)),
+                     pa.array([symbols[b - k:b].tobytes() for b, k in zip(
+                         ends.tolist(), sizes.tolist())], type=pa.binary()), rest],
+                    ["row", "doc_id", "n_tokens", "hits", "base", "inner", "s", "rest"])
+                row += n
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"row long, doc_id {kind}, n_tokens long, hits long, base double, inner double, "
+             "s binary, rest array<struct<w: long, m: int>>")
 
 
 def _runs(column: pa.Array):
     """Symbol sequences of an Arrow batch, in runs of about ``EPOCH_SYMBOLS`` symbols."""
     rows, size = [], 0
     for x in column:
-        rows.append(np.asarray(x.values, dtype=np.int64))
+        rows.append(np.frombuffer(x.as_buffer(), dtype=SYMBOL))
         size += len(rows[-1])
         if size >= EPOCH_SYMBOLS:
             yield rows
@@ -431,25 +538,20 @@ def train_model(train: DataFrame, vocabulary: Vocabulary, sample: float = SAMPLE
     round the current parameters go to ``workers`` tasks or more, each trains on its part of the
     round's texts, a bounded number of symbols in memory at a time, and the results (one set of
     parameters per task) are averaged by the number of symbols, in ``MERGED`` tasks first."""
-    spark = train.sparkSession
+    return fit_network(cut(encode(train, vocabulary).select("doc_id", "s")), vocabulary, sample,
+                       rounds, workers)
+
+
+def fit_network(sequences: DataFrame, vocabulary: Vocabulary, sample: float = SAMPLE,
+                rounds: int = ROUNDS, workers: int = WORKERS) -> Model:
+    """``train_model`` on ``sequences(doc_id, s)``, stored rows of ``encode``, which every round
+    reads once."""
+    spark = sequences.sparkSession
     workers = max(workers, -int(-vocabulary.n * sample // (rounds * WORKER_SYMBOLS)))
     model = Model(vocabulary)
-    shared = spark.sparkContext.broadcast(vocabulary)
     draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20))
-
-    def encode(batches):
-        for batch in batches:
-            out = []
-            for _, block in blocks(texts(batch.column(1)), BLOCK_BYTES):
-                docs, symbol, _, _ = encode_block(block, shared.value)
-                out += [symbol[d].astype(np.int32) for d in docs]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out, type=pa.list_(pa.int32()))], ["h", "s"])
-
-    chosen = train.where(draw < int(sample * (1 << 20))).select(
-        F.xxhash64("doc_id", F.lit(SEED + 1)).alias("h"), "text")
-    sampled = cut(chosen.mapInArrow(encode, "h long, s array<int>")
-                  .repartition(rounds * workers, "h"))
+    sampled = sequences.where(draw < int(sample * (1 << 20))).select(
+        F.xxhash64("doc_id", F.lit(SEED + 1)).alias("h"), "s")
     for r in range(rounds):
         current = spark.sparkContext.broadcast(model)
 
@@ -483,30 +585,29 @@ def train_model(train: DataFrame, vocabulary: Vocabulary, sample: float = SAMPLE
     return model
 
 
-def score_sequences(model: Model, docs: list[np.ndarray], side: int = 512,
+def score_sequences(model: Model, docs: list[np.ndarray], side: int = 256,
                     window: int = 2 * WINDOW) -> np.ndarray:
-    """Log-probability (natural) of every symbol sequence. Sequences of like lengths run side by
-    side; their states go from window to window."""
+    """Log-probability (natural) of every symbol sequence. Sequences run end to end on ``side``
+    streams; their states go from window to window."""
     start = len(model.p["embed"]) - 1
+    order, symbols, inputs, starts, lengths = _laid(docs, side, start)
+    state = np.zeros((len(lengths), UNITS), dtype=np.float32)
+    scores = np.zeros(len(symbols))
+    at, end = 0, int(lengths.max(initial=0))
+    while at < end:
+        n = int((lengths > at).sum())
+        steps = min(window * (side // n), end - at)
+        here, live = _window(symbols, starts[:n], lengths[:n], at, steps)
+        seen = np.where(live, _window(inputs, starts[:n], lengths[:n], at, steps)[0], start)
+        h, _ = model.run(seen, state[:n])
+        state = h[-1]
+        place = (starts[:n] + np.arange(at, at + steps)[:, None])[live]
+        scores[place] = model.outputs(h[live], here[live])
+        at += steps
     out = np.zeros(len(docs))
-    order = np.argsort([-len(d) for d in docs], kind="stable")
-    for k in range(0, len(order), side):
-        group = order[k:k + side]
-        lengths = np.array([len(docs[i]) for i in group])
-        starts, flat = np.cumsum(lengths) - lengths, np.concatenate([docs[i] for i in group])
-        state = np.zeros((len(group), UNITS), dtype=np.float32)
-        last = np.full(len(group), start, dtype=np.int64)
-        for at in range(0, int(lengths[0]), window):
-            n = int((lengths > at).sum())
-            steps = min(window, int(lengths[0]) - at)
-            symbols, live = _window(flat, starts[:n], lengths[:n], at, steps)
-            inputs = np.vstack([last[None, :n], symbols[:-1]])
-            h, _ = model.run(inputs, state[:n])
-            state, last = h[-1], symbols[-1]
-            scores = model.outputs(h[live], symbols[live])
-            owner = np.broadcast_to(np.arange(n), live.shape)[live]
-            out[group[:n]] += np.bincount(owner, weights=scores, minlength=n)
-    return out
+    sizes = np.array([len(docs[k]) for k in order], dtype=np.int64)
+    owner = np.repeat(order, sizes)
+    return out + np.bincount(owner, weights=scores, minlength=len(docs))
 
 
 def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, sample: float = SAMPLE,
@@ -526,51 +627,34 @@ def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, sample:
     count_words(train).write.parquet(path)
     counts = spark.read.schema("w long, c long, tail int").parquet(path)
     vocabulary = Vocabulary(spark, counts)
-    model = train_model(train, vocabulary, sample, rounds, workers)
-    shared = spark.sparkContext.broadcast((vocabulary, model))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rest_kind = pa.list_(pa.struct([("w", pa.int64()), ("m", pa.int32())]))
+    path = scratch_path(spark, "symbols")
+    encoded = encode(docs, vocabulary)
+    encoded.write.parquet(path)
+    encoded = spark.read.schema(encoded.schema).parquet(path)
+    model = fit_network(encoded.where(crc_mod(F.col("doc_id"), folds) != held_out), vocabulary,
+                        sample, rounds, workers)
+    shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        vocabulary, model = shared.value
-        base_total = np.log10(vocabulary.n + vocabulary.v + 1)
-        tail_total = np.log10(vocabulary.tail_n + vocabulary.tail_v + 1)
-        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for start, block in blocks(texts(batch.column(1)), BLOCK_BYTES):
-                docs, symbol, count, w = encode_block(block, vocabulary)
-                known = np.where(count >= 0, np.log10(np.maximum(count, 0) + 1.0), 0.0)
-                tail = symbol >= vocabulary.head
-                inner = np.where(tail, known - tail_total[np.where(
-                    tail, symbol - vocabulary.head, 0)], 0.0)
-                network = score_sequences(model, [symbol[d] for d in docs]) / np.log(10)
-                base, score, sizes, hits, rest = [], [], [], [], []
-                for d, s in zip(docs, network):
-                    base.append(float(known[d].sum()) - len(d) * base_total)
-                    score.append(float(s + inner[d].sum()))
-                    sizes.append(len(d))
-                    hits.append(int((count[d] > 0).sum()))
-                    far, m = np.unique(d[count[d] < 0], return_counts=True)
-                    rest.append([{"w": a, "m": b} for a, b in zip(w[far].tolist(), m.tolist())])
-                n = len(block)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), batch.column(0).slice(start, n),
-                     pa.array(sizes, type=pa.int64()), pa.array(hits, type=pa.int64()),
-                     pa.array(base), pa.array(score), pa.array(rest, type=rest_kind)],
-                    ["row", "doc_id", "n_tokens", "hits", "base", "own", "rest"])
-                row += n
+            network = np.concatenate([score_sequences(shared.value, rows)
+                                      for rows in _runs(batch.column(0))] or [np.zeros(0)])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.array(network / np.log(10))],
+                [*batch.schema.names[1:], "network"])
 
-    made = docs.mapInArrow(run, f"row long, doc_id {kind}, n_tokens long, hits long, base double, "
-                                "own double, rest array<struct<w: long, m: int>>")
+    kept = encoded.select("row", "doc_id", "n_tokens", "hits", "base", "inner")
+    schema = StructType([*kept.schema.fields, StructField("network", DoubleType())])
     path = scratch_path(spark, "scores")
-    made.write.parquet(path)
-    made = spark.read.schema(made.schema).parquet(path)
-    far = made.select("row", F.explode("rest").alias("x")).select("row", "x.w", "x.m")
+    encoded.select("s", *kept.columns).mapInArrow(run, schema).write.parquet(path)
+    made = spark.read.schema(schema).parquet(path)
+    far = encoded.select("row", F.explode("rest").alias("x")).select("row", "x.w", "x.m")
     looked = far.join(counts, "w").groupBy("row").agg(
         F.sum("m").alias("more"), F.sum(F.col("m") * F.log10(F.col("c") + 1)).alias("gain"))
     gain = F.coalesce("gain", F.lit(0.0))
-    return made.drop("rest").join(looked, "row", "left").select(
+    return made.join(looked, "row", "left").select(
         "doc_id", (crc_mod(F.col("doc_id"), folds) == held_out).alias("held_out"), "n_tokens",
         (F.col("hits") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(vocabulary.n).cast("long").alias("train_tokens"),
-        (F.col("base") + gain).alias("base_score"), (F.col("own") + gain).alias("score"))
+        (F.col("base") + gain).alias("base_score"),
+        (F.col("network") + F.col("inner") + gain).alias("score"))

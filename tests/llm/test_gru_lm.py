@@ -194,3 +194,47 @@ def test_window_of_uneven_sequences():
     here, live = gru_lm._window(flat, np.array([0, 4]), lengths, 2, 3)
     assert here.tolist() == [[12, 16], [13, 0], [0, 0]]
     assert live.tolist() == [[True, True], [True, False], [False, False]]
+
+
+def test_a_long_text_does_not_take_windows_for_itself():
+    """One text of 20,000 symbols among 2,000 short ones: few more windows than full ones, every
+    symbol trained on after the one before it, in one state."""
+    rng, made = np.random.default_rng(2), []
+    texts = [rng.integers(0, Small.symbols, n) for n in [*[150] * 1000, 20_000, *[150] * 1000]]
+    model, _ = small_model()
+
+    def learn(inputs, symbols, live, state, moments, step):
+        made.append(int(live.sum()))
+        return state
+
+    model.learn = learn
+    total, steps = gru_lm._epoch(model, texts, {}, 0)
+    assert total == sum(made) == 320_000 and steps == len(made)
+    assert steps <= 1.5 * gru_lm.STEPS  # 625 when windows were of one length
+
+
+def test_streams_are_even_and_keep_the_order():
+    lengths = np.array([5, 900, 40, 0, 300, 310, 290, 7])
+    streams = gru_lm._streams(lengths, 2)
+    assert sorted(np.concatenate(streams).tolist()) == list(range(8))
+    assert [int(lengths[x].sum()) for x in streams] == [940, 912]
+    assert all((np.diff(x) > 0).all() for x in streams)
+
+
+def test_words_of_a_column_are_those_of_its_texts():
+    import pyarrow as pa
+    import xxhash
+
+    texts = ["  A b\t\x0bc. ", "", None, "   ", "x\x1cy\x85z\xa0q r!? \xc9..", "\x00 a a?", "\n",
+             "a\r\nb  b \xc0Z# #", "..."]
+    for column in (pa.array(texts), pa.array(texts).slice(3, 4), pa.array([None, ""]),
+                   pa.array([], pa.string())):
+        sizes, words, flat = gru_lm.split_words(column)
+        wanted = [[*re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()), gru_lm.END]
+                  for t in column.to_pylist()]
+        assert sizes.tolist() == [len(w) for w in wanted]
+        wanted = sum(wanted, [])
+        assert [words[i].as_py().encode() for i in flat.tolist()] == wanted
+        hashes, tails = gru_lm.word_hashes(words)[flat], gru_lm.tail_classes(words)[flat]
+        assert hashes.tolist() == [xxhash.xxh64_intdigest(w) - (1 << 63) for w in wanted]
+        assert tails.tolist() == [gru_lm.tail_class(w) for w in wanted]
