@@ -36,8 +36,9 @@ TAIL_CLASSES = 64
 KNOWN = 1 << 18
 EMBED, UNITS = 16, 24
 WINDOW = 32
-#: How many times longer a window may be where few streams are left.
-LONGER = 32
+#: How many times longer a window may be where few streams are left: once per so many symbols of
+#: the run (short runs need every step), and at most.
+LONGER_SYMBOLS, LONGER = 1 << 16, 32
 #: Texts trained on side by side: as many as leave each run this many steps, within these bounds.
 STREAMS, STEPS = (32, 256), 64
 ROUNDS = 4
@@ -445,9 +446,10 @@ def _epoch(model: Model, texts_: list[np.ndarray], moments: dict, step: int) ->
     _, symbols, inputs, starts, lengths = _laid(texts_, wide, start)
     state = np.zeros((len(lengths), UNITS), dtype=np.float32)
     at, end = 0, int(lengths.max(initial=0))
+    longer = int(np.clip(total // LONGER_SYMBOLS, 1, LONGER))
     while at < end:
         n = int((lengths > at).sum())
-        steps = min(WINDOW * min(wide // n, LONGER), end - at)
+        steps = min(WINDOW * min(max(1, wide // n), longer), end - at)
         here, live = _window(symbols, starts[:n], lengths[:n], at, steps)
         seen = np.where(live, _window(inputs, starts[:n], lengths[:n], at, steps)[0], start)
         step += 1
